@@ -313,9 +313,9 @@ def screen_nothing_left(spark, folder):
 @query("screen_by_sector", f"""with {v.UNIVERSE_SQL}, marked as (select * from universe where multiple > 0 and dy > 0.045::double),
   limits as (select sector, quantile_cont(multiple, 0.25) as q1, quantile_cont(dy, 0.75) as q2 from marked group by sector),
   judged as (select m.*, multiple <= q1 and dy >= q2 as good from marked m join limits using (sector)),
-  eligible as (select *, bool_or(good) over (partition by sector) as some from judged)
+  eligible as (select *, bool_or(good) over (partition by sector) as any_good from judged)
   select sector, id, pos from (select *, row_number() over (partition by sector order by dy desc, multiple, liquidity desc, id) as pos
-    from eligible where good or not some) where pos <= 20""")
+    from eligible where good or not any_good) where pos <= 20""")
 def screen_by_sector(spark, folder):
     top, _ = screen.screen(
         v.universe(spark, folder), [v.UNIVERSE_FIXED[0], v.UNIVERSE_FIXED[2]], v.UNIVERSE_QUARTILES[:2],

@@ -123,7 +123,7 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "supplier").select(
         "s_suppkey", F.when(F.col("s_nationkey") % 2 == 0, "A").otherwise("B").alias("cls")
     )
-    return monthly.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return monthly.where(F.col("d").isNotNull()).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "d",
         "cls",
         F.col("l_suppkey").alias("id"),
@@ -141,7 +141,7 @@ history as (
                cast(sum({cents_sql("l_discount")}) as double) / 100 as disc,
                cast(sum({cents_sql("l_extendedprice")}) as double) / 100 as ext,
                cast(sum(cast(l_quantity as bigint)) as double) as qty
-        from lineitem group by all) m
+        from lineitem where l_shipdate is not null group by all) m
   join supplier on l_suppkey = s_suppkey)"""
 
 # --- series: daily mean of each event type as a percent rate -------------------------------------------

@@ -22,8 +22,7 @@ def quoted(name: str) -> str:
 
 def to_number(value: Column) -> Column:
     """Text or number to double; null when it is not a finite-looking number."""
-    text = F.trim(value.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.regexp_extract(F.trim(value.cast("string")), NUMBER, 0).try_cast("double")
 
 
 def number(df: DataFrame, name: str) -> Column:
@@ -46,6 +45,13 @@ def without_nan(df: DataFrame, names: Iterable[str]) -> DataFrame:
     )
 
 
+def filled(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rows in which none of the named columns is null, as plain predicates that reach the scan."""
+    for name in names:
+        df = df.where(col(name).isNotNull())
+    return df
+
+
 def rounded(value: Column, digits: int) -> Column:
     """Round half to even after scaling, the rule the reported figures follow."""
     scale = float(10**digits)

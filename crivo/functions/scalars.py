@@ -20,7 +20,8 @@ def exportable(value: Column, digits: int = 4) -> Column:
 
 
 def clamp(value: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))
+    """`value` held within the range; a missing value stays missing."""
+    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
 
 
 def linear_scale(value: Column, low: float, high: float) -> Column:

@@ -1,4 +1,8 @@
-"""Locale-formatted text to values, as column expressions (no Python per row)."""
+"""Locale-formatted text to values, as column expressions (no Python per row).
+
+Texts that stand for "missing" (N/A, nan, None, a dash, nothing) need no list here: they are no numbers, and
+whatever is no number becomes null.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,6 @@ from pyspark.sql import functions as F
 
 from crivo.columns import to_number
 
-# Texts that stand for "missing" in the source tables.
-INVALID = ("N/A", "nan", "None", "")
-# Texts that stand for "missing" in stored payloads (compared in lower case).
-BLANK_NUMBER = ("", "nan", "none", "null", "-", "—", "<na>")
 # Texts that are no ticker (compared in upper case).
 BLANK_TICKER = ("", "NAN", "NONE", "NULL", "<NA>")
 
@@ -27,53 +27,42 @@ def _decimal_comma(value: Column) -> Column:
     return F.replace(_without(value, "."), F.lit(","), F.lit("."))
 
 
-def _valid(text: Column) -> Column:
-    text = F.trim(text)
-    return F.when(~text.isin(*INVALID), text)
-
-
 def percent(value: Column) -> Column:
     """`1.234,56%` to 12.3456."""
-    return to_number(_valid(_decimal_comma(_without(value, ZERO_WIDTH_SPACE, "%")))) / F.lit(100.0)
+    return to_number(_decimal_comma(_without(value, ZERO_WIDTH_SPACE, "%"))) / F.lit(100.0)
 
 
 def money(value: Column) -> Column:
     """`R$ 1.234,56` to 1234.56."""
-    return to_number(_valid(_decimal_comma(_without(value, ZERO_WIDTH_SPACE, "R$"))))
+    return to_number(_decimal_comma(_without(value, ZERO_WIDTH_SPACE, "R$")))
 
 
 def plain_float(value: Column) -> Column:
     """`1,05` to 1.05. A dot stays a decimal point here."""
-    return to_number(_valid(F.replace(value, F.lit(","), F.lit("."))))
+    return to_number(F.replace(value, F.lit(","), F.lit(".")))
 
 
 def integer(value: Column) -> Column:
     """`30.949` to 30949: dots and commas only separate thousands."""
-    return to_number(_valid(_without(value, ".", ","))).try_cast("bigint")
+    return to_number(_without(value, ".", ",")).try_cast("bigint")
 
 
 def any_number(value: Column) -> Column:
     """Number written in an unknown locale.
 
     Brackets make it negative. When both marks occur the later one is the decimal mark; a lone comma is
-    decimal; of several dots only the last is decimal.
+    decimal; of several dots only the last is decimal. Every step is a rewrite of the text before it, so
+    the expression stays small; texts without digits end as null.
     """
     text = F.trim(value.cast("string"))
-    blank = F.lower(text).isin(*BLANK_NUMBER)
-    bracketed = text.startswith("(") & text.endswith(")")
-    inner = F.when(bracketed, F.regexp_replace(text, r"^\(|\)$", "")).otherwise(text)
-    kept = F.regexp_replace(inner, r"[^0-9,.+\-]", "")
-
-    last_comma = F.length(kept) - F.instr(F.reverse(kept), ",")
-    last_dot = F.length(kept) - F.instr(F.reverse(kept), ".")
-    comma, dot = F.contains(kept, F.lit(",")), F.contains(kept, F.lit("."))
-    plain = (
-        F.when(comma & dot & (last_comma < last_dot), _without(kept, ","))
-        .when(comma, _decimal_comma(kept))
-        .otherwise(F.regexp_replace(kept, r"\.(?=.*\.)", ""))
-    )
-    parsed = to_number(plain)
-    return F.when(~blank, F.when(bracketed, -parsed).otherwise(parsed))
+    text = F.regexp_replace(text, r"^\(([^0-9-]*)-(.*)\)$", "$1$2")
+    text = F.regexp_replace(text, r"^\([^0-9+.,]*\+?(.*)\)$", "-$1")
+    text = F.regexp_replace(text, r"[^0-9,.+\-]", "")
+    marks = F.regexp_replace(text, r"\.(?=.*,[^.]*$)", "")
+    marks = F.regexp_replace(marks, r",(?=.*\.[^,]*$)", "")
+    marks = F.replace(marks, F.lit(","), F.lit("."))
+    dots_only = F.regexp_replace(text, r"\.(?=.*\.)", "")
+    return to_number(F.when(F.contains(text, F.lit(",")), marks).otherwise(dots_only))
 
 
 def ticker(value: Column) -> Column:

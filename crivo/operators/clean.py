@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crivo.columns import col, number, to_number
+from crivo.columns import col, filled, number, to_number
 from crivo.functions import text
 from crivo.operators.order import keep_last
 from crivo.spec import AssetSpec, CleanRoles
@@ -95,7 +95,7 @@ def numericise(df: DataFrame, id: str, date: str, price: str, share: float = 0.8
             return text.any_number(col(name)).alias(name)
         return col(name).cast("string").alias(name)
 
-    typed = df.select(*[cell(c) for c in df.columns]).dropna(subset=[id, date, price])
+    typed = filled(df.select(*[cell(c) for c in df.columns]), [id, date, price])
     if "_seq" not in typed.columns:
         return typed.dropDuplicates([date, id])
     return keep_last(typed, [date, id])

@@ -43,10 +43,12 @@ def with_confidence(table: DataFrame, min_windows: int = MIN_WINDOWS, target_win
         F.when(enough, confidence_level(F.col("Confiabilidade_Pct"), windows, min_windows))
         .otherwise(F.lit(NOT_MEASURABLE))
         .alias("Nivel_Confiabilidade"),
-        rounded(F.when(enough, coverage).otherwise(warming) * 100, 2).alias("cobertura_historica"),
-        component(hit).alias("hit_rate"),
-        component(ic).alias("spearman_ic"),
-        component(alpha).alias("alpha_vs_score_top"),
+        F.struct(
+            rounded(F.when(enough, coverage).otherwise(warming) * 100, 2).alias("cobertura_historica"),
+            component(hit).alias("hit_rate"),
+            component(ic).alias("spearman_ic"),
+            component(alpha).alias("alpha_vs_score_top"),
+        ).alias("Componentes_Confiabilidade"),
     )
 
 

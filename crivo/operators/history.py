@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crivo.columns import attach, col, first_present, number
+from crivo.columns import attach, col, filled, first_present, number
 from crivo.functions.text import iso_date, ticker
 from crivo.operators.order import keep_last
 from crivo.spec import AssetSpec
@@ -78,7 +78,7 @@ def prepared(df: DataFrame, spec: AssetSpec) -> DataFrame:
     """History ready for time operators: normalised ticker, date and price, none of them missing, and one
     row per (ticker, date), the last by `_seq`. From here on a ticker has at most one row per day, which
     bounds every per-ticker window by the length of the calendar."""
-    typed = df.select(
+    typed = filled(df.select(
         *[
             {
                 spec.id: ticker(col(spec.id)).alias(spec.id),
@@ -87,7 +87,7 @@ def prepared(df: DataFrame, spec: AssetSpec) -> DataFrame:
             }.get(c, col(c))
             for c in df.columns
         ]
-    ).dropna(subset=[spec.id, spec.date, spec.price])
+    ), [spec.id, spec.date, spec.price])
     if "_seq" not in typed.columns:
         typed = typed.withColumn("_seq", F.lit(0))
     return keep_last(typed, [spec.id, spec.date]).drop("_seq")

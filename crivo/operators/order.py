@@ -1,12 +1,13 @@
-"""Exact ranks, percentiles, quantiles and top-n that never put one whole group in one task.
+"""Exact ranks, percentiles, quantiles and top-n that never put one whole large group in one task.
 
 A cross-section may be a single group, or one group may hold a third of all rows, so nothing here opens
-a window over "all rows of a group". Instead:
+a window over "all rows of a group" without knowing its size. Instead:
 
 1. equal values are counted first (a plain aggregate, combined before its shuffle, so a hot value is cheap);
-2. the distinct values are cut into blocks by a monotone function of the value: neighbouring values share
-   a block, and which block a value falls into depends on nothing but the value, so re-runs agree;
-3. block totals give each block its offset, a window inside each block gives the rest.
+2. groups with many distinct values are cut into blocks by a monotone function of the value: neighbouring
+   values share a block, and which block a value falls into depends on nothing but the value, so re-runs
+   agree; a group with few distinct values is one block;
+3. a window inside each block counts the rows before a value, and block totals give each block its offset.
 
 `small_groups=True` is for callers who know that every group fits one task (a daily universe of a few
 thousand assets): one shuffle and two sorts instead.
@@ -19,8 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crivo.columns import attach, col, number, require
+from crivo.columns import attach, col, filled, number, require
 
+# Groups with more distinct values than this are cut into blocks.
+SPLIT_ABOVE = 1_000_000
 # About 65 thousand blocks for each factor e in magnitude: a block spans 0.0015 % of its value.
 _BLOCKS_PER_E_FOLD = 65_536
 _MISSING_BLOCK = 2**62
@@ -31,40 +34,46 @@ def _block(value: Column) -> Column:
     return F.coalesce(F.floor(scaled), F.lit(_MISSING_BLOCK).cast("bigint"))
 
 
-def _melted(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Rows (keys, factor, value): all factors are ranked by one job instead of one job each."""
+def _melted(df: DataFrame, by: Sequence[str], key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Rows (by, key, factor, value): all factors are ranked by one job instead of one job each.
+
+    Rows without a group have no rank. Saying so here, before the table is used twice, keeps both uses
+    identical, so that Spark computes the shared part once.
+    """
+    keys = [*by, *key]
     numeric = df.select(*[col(k) for k in keys], *[number(df, v).alias(v) for v in values])
-    return numeric.unpivot(
-        [col(k) for k in keys], [col(v) for v in values], "factor", "value"
-    )
+    return filled(numeric, by).unpivot([col(k) for k in keys], [col(v) for v in values], "factor", "value")
 
 
-def value_counts(long: DataFrame, by: Sequence[str]) -> DataFrame:
+def value_counts(long: DataFrame, by: Sequence[str], split_above: int | None = None) -> DataFrame:
     """Per group and distinct value: its `count`, the rows `before` it, and the group's `filled` and
     `missing` rows and number of `distinct` filled values. Missing values sort last, as one value."""
+    split_above = SPLIT_ABOVE if split_above is None else split_above
     groups = [*by, "factor"]
+    value = F.col("value")
     counts = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.withColumn("_block", _block(F.col("value")))
+    sizes = counts.groupBy(*groups).agg(
+        F.coalesce(F.sum(F.when(value.isNotNull(), F.col("count"))), F.lit(0)).alias("filled"),
+        F.coalesce(F.sum(F.when(value.isNull(), F.col("count"))), F.lit(0)).alias("missing"),
+        F.count(value).alias("distinct"),
+    )
+    block = F.when(F.col("distinct") > split_above, _block(value)).otherwise(F.lit(0).cast("bigint"))
+    blocked = counts.join(sizes, groups).withColumn("_block", block)
 
-    whole = Window.partitionBy(*groups)
-    gone = F.col("_block") == _MISSING_BLOCK
-    blocks = (
-        counts.groupBy(*groups, "_block")
-        .agg(F.sum("count").alias("_rows"), F.count(F.lit(1)).alias("_values"))
-        .select(
-            *groups,
-            "_block",
-            (F.sum("_rows").over(whole.orderBy("_block")) - F.col("_rows")).alias("_offset"),
-            F.coalesce(F.sum(F.when(~gone, F.col("_rows"))).over(whole), F.lit(0)).alias("filled"),
-            F.coalesce(F.sum(F.when(gone, F.col("_rows"))).over(whole), F.lit(0)).alias("missing"),
-            F.coalesce(F.sum(F.when(~gone, F.col("_values"))).over(whole), F.lit(0)).alias("distinct"),
-        )
+    totals = (
+        blocked.where(F.col("distinct") > split_above)
+        .groupBy(*groups, "_block")
+        .agg(F.sum("count").alias("_rows"))
     )
-    within = Window.partitionBy(*groups, "_block").orderBy(F.col("value").asc_nulls_last())
-    local = counts.withColumn("_local", F.sum("count").over(within) - F.col("count"))
+    running = F.sum("_rows").over(Window.partitionBy(*groups).orderBy("_block"))
+    offsets = totals.select(*groups, "_block", (running - F.col("_rows")).alias("_offset"))
+
+    within = Window.partitionBy(*groups, "_block").orderBy(value.asc_nulls_last())
+    local = F.sum("count").over(within) - F.col("count")
     return (
-        local.join(blocks, [*groups, "_block"])
-        .withColumn("before", F.col("_offset") + F.col("_local"))
+        blocked.withColumn("_local", local)
+        .join(offsets, [*groups, "_block"], "left")
+        .withColumn("before", F.coalesce("_offset", F.lit(0)) + F.col("_local"))
         .select(*groups, "value", "count", "before", "filled", "missing", "distinct")
     )
 
@@ -88,7 +97,7 @@ def percentiles_long(
     null, and a group with one distinct value gets 50 throughout.
     """
     require(df, [*by, *key, *values], "percentiles")
-    long = _melted(df, [*by, *key], values)
+    long = _melted(df, by, key, values)
     scores = value_counts(long, by).select(
         *[F.col(b).alias(f"_{b}") for b in by],
         F.col("factor").alias("_factor"),
@@ -154,7 +163,7 @@ def quantiles(df: DataFrame, by: Sequence[str], wanted: dict[str, tuple[str, flo
     (output name -> (column, q)). Missing values are left out."""
     values = list(dict.fromkeys(column for column, _ in wanted.values()))
     require(df, [*by, *values], "quantiles")
-    counts = value_counts(_melted(df, by, values), by).where(F.col("value").isNotNull())
+    counts = value_counts(_melted(df, by, [], values), by).where(F.col("value").isNotNull())
 
     after = F.col("before") + F.col("count")
     picks, used = [], F.lit(False)

@@ -10,21 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crivo.columns import col, rounded
+from crivo.functions.scalars import clamp
 from crivo.operators.order import percentiles, percentiles_long
 from crivo.spec import Factor
 
 
 def _oriented(percentile: Column, best: str) -> Column:
     value = F.lit(100.0) - percentile if best == "min" else percentile
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), value))
-
-
-def _with_parts(
-    df: DataFrame, factors: Sequence[Factor], by: Sequence[str], key: Sequence[str], small_groups: bool
-) -> tuple[DataFrame, list[Factor]]:
-    present = [f for f in factors if f.column in df.columns]
-    pct = percentiles(df, by, key, [f.column for f in present], small_groups=small_groups, prefix="_pct_")
-    return pct, present
+    return clamp(value, 0.0, 100.0)
 
 
 def score(
@@ -44,10 +37,10 @@ def score(
     present = [f for f in factors if f.column in df.columns]
     if not present:
         return df.withColumn(out, F.lit(0.0))
-    pct, present = _with_parts(df, factors, by, key, small_groups)
+    pct = percentiles(df, by, key, [f.column for f in present], small_groups=small_groups, prefix="_pct_")
     weighted = [_oriented(col(f"_pct_{f.column}"), f.best) * F.lit(f.weight) for f in present]
     total = reduce(add, weighted) / F.lit(sum(f.weight for f in present))
-    total = F.greatest(F.lit(0.0), F.least(F.lit(100.0), total))
+    total = clamp(total, 0.0, 100.0)
     if digits is not None:
         total = rounded(total, digits)
     narrow = pct.select(*[col(k) for k in [*by, *key]], total.alias(out))

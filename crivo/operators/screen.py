@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crivo.columns import attach, col, number, require, without_nan
+from crivo.columns import attach, col, filled, number, require, without_nan
 from crivo.operators.order import keep_first, quantiles, top_n
 from crivo.spec import AssetSpec, QuartileRule, Rule
 
@@ -128,8 +128,7 @@ def screen_assets(
     """Screens one asset class by its description: validation, mandatory values, one row per company
     (first in ingest order), then the rules."""
     require(df, spec.required, f"{spec.kind} universe")
-    if spec.mandatory:
-        df = df.dropna(subset=list(spec.mandatory))
+    df = filled(df, spec.mandatory)
     if spec.unique_by:
         df = keep_first(df, [*by, *spec.unique_by])
     order = [(c, d) for c, d in spec.order if c in df.columns]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so later jobs neither recompute nor depend on one executor."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows as a table written to the shared folder.
+
+    For a table that several later jobs read: they neither recompute it nor lose it with an executor, and
+    they read only the columns they need. The folder is the caller's to empty.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

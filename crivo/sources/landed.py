@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crivo.columns import col, to_number
+from crivo.columns import col, filled, to_number
 from crivo.functions.text import any_number, br_date, iso_date, ticker
 from crivo.spec import AssetSpec
 
@@ -58,13 +58,14 @@ def quotes(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
     rows = df.select(
         *[col(b) for b in by], F.explode(F.from_json(col(text), QUOTE_SHAPE)).alias("name", "q")
     )
-    return rows.select(
+    parsed = rows.select(
         *[col(b) for b in by],
         F.concat("q.code", F.lit("/"), "q.codein").alias("pair"),
         to_number(F.col("q.bid")).alias("value"),
         to_number(F.col("q.pctChange")).alias("pct_change"),
         F.coalesce("q.create_date", F.lit("")).alias("updated_at"),
-    ).dropna(subset=["pair", "value", "pct_change"])
+    )
+    return filled(parsed, ["pair", "value", "pct_change"])
 
 
 def payload_rows(
