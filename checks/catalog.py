@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from checks import views as v
 from crivo.functions import scalars, text
 from crivo.operators import (
-    clean, confidence, evaluate, features, history, order, quality, report, score, screen, series,
+    clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series,
 )
+from crivo.session import cut
 from crivo.sources import landed
 from crivo.spec import BASELINE, CleanRoles
 
@@ -837,6 +838,40 @@ def performance_listing(spark, folder):
     return listed.select("Tipo", "Modelo", "place")
 
 
+# --- trained models: suppliers of class A --------------------------------------------------------------
+
+RIDGE_FEATURES = ["dy", "Retorno_Desde_Snapshot_Anterior"]
+
+
+def training_set(spark, folder):
+    return cut(features.dataset(v.history(spark, folder).where("cls = 'A'"), v.HISTORY, horizons=[30]))
+
+
+@query("ridge_predictions", f"""with {v.HISTORY_SQL},
+  rows as (select q.d, q.id, q.dy as x1, q.price / lag(q.price) over (partition by q.id order by q.d) - 1 as x2, f.price / q.price - 1 as y
+    from history q asof left join history f on q.cls = f.cls and q.id = f.id and f.d >= q.d + 30 where q.cls = 'A'),
+  past as (select * from rows where d < (select max(d) from rows) and y is not null),
+  med as (select quantile_cont(x1, 0.5) as m1, quantile_cont(x2, 0.5) as m2 from past),
+  filled as (select coalesce(x1, m1) as x1, coalesce(x2, m2) as x2, y from past cross join med),
+  mom as (select avg(x1) as a1, stddev_pop(x1) as s1, avg(x2) as a2, stddev_pop(x2) as s2, avg(y) as ay from filled),
+  z as (select (x1 - a1) / s1 as z1, (x2 - a2) / s2 as z2, y - ay as y from filled cross join mom),
+  g as (select sum(z1 * z1) + 1 as g11, sum(z1 * z2) as g12, sum(z2 * z2) + 1 as g22, sum(z1 * y) as b1, sum(z2 * y) as b2 from z),
+  w as (select (g22 * b1 - g12 * b2) / (g11 * g22 - g12 * g12) as w1, (g11 * b2 - g12 * b1) / (g11 * g22 - g12 * g12) as w2 from g)
+  select d as date, cast(id as varchar) as id,
+    round(ay + w1 * (coalesce(x1, m1) - a1) / s1 + w2 * (coalesce(x2, m2) - a2) / s2, 6) as predicted_return
+  from rows cross join med cross join mom cross join w where d = (select max(d) from rows)""")
+def ridge_predictions(spark, folder):
+    found, _ = models.training(training_set(spark, folder), v.HISTORY, "Retorno_Futuro_30d", RIDGE_FEATURES)
+    out = models.ridge(found)
+    return out.select("date", "id", r6(F.col("predicted_return")).alias("predicted_return"))
+
+
+@query("ml_shadow")
+def ml_shadow(spark, folder):
+    """All models with fewer trees and rounds than the defaults, which take minutes on one machine."""
+    return models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories(trees=20, rounds=5))
+
+
 # === reports ============================================================================================
 
 

@@ -25,6 +25,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str = "")
         return spark.createDataFrame([], empty)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a parquet table to read."""
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
