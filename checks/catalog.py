@@ -568,7 +568,7 @@ INDEX_SQL = f"""{v.PORTFOLIO_SQL},
 
 
 def portfolio_index_of(spark, folder):
-    return series.portfolio_index(portfolio(spark, folder), v.history(spark, folder), ["cls"], "id", "d", "price")
+    return series.portfolio_index(cut(portfolio(spark, folder)), v.history(spark, folder), ["cls"], "id", "d", "price")
 
 
 @query("portfolio_index", f"with {INDEX_SQL} select cls, date, round(value, 4) as value from idx")
@@ -617,7 +617,7 @@ BENCHMARKS = ["market_a", "market_b"]
 
 
 def _backtest(spark, folder):
-    picks = portfolio(spark, folder).where((F.col("cls") == "A") & F.month("d").isin(3, 9))
+    picks = cut(portfolio(spark, folder).where((F.col("cls") == "A") & F.month("d").isin(3, 9)))
     past = v.history(spark, folder)
     market = past.groupBy(F.concat(F.lit("market_"), F.lower("cls")).alias("series"), "d").agg(
         (F.sum(F.rint(F.col("volume") * 100).cast("bigint")) / 100).alias("price")
@@ -746,7 +746,7 @@ def realised(spark, folder):
 
 
 def _pairs(spark, folder):
-    return evaluate.paired(predictions(spark, folder), realised(spark, folder), "Retorno_Futuro_30d")
+    return evaluate.paired(cut(predictions(spark, folder)), realised(spark, folder), "Retorno_Futuro_30d")
 
 
 WINDOW_KEYS_SQL = 'model as "Modelo", cls as "Tipo", d as "Data_Execucao"'
@@ -760,7 +760,7 @@ def eval_pairs(spark, folder):
 @query("eval_windows", f"""with {v.EVALUATION_SQL} select {WINDOW_KEYS_SQL}, round(top_return, 6) as top_return,
   round(hit_rate, 6) as hit_rate, round(rank_ic, 6) as rank_ic from measures""")
 def eval_windows(spark, folder):
-    out = evaluate.window_measures(_pairs(spark, folder))
+    out = evaluate.window_measures(cut(_pairs(spark, folder)))
     return out.select(*evaluate.GROUP, *[r6(F.col(c)).alias(c) for c in ("top_return", "hit_rate", "rank_ic")])
 
 
@@ -770,7 +770,7 @@ PERF_SQL = """cls as "Tipo", model as "Modelo", '30d' as "Horizonte", windows as
 
 
 def performance(spark, folder, classes=()):
-    table = evaluate.evaluate(predictions(spark, folder), realised(spark, folder), "Retorno_Futuro_30d", "30d", classes)
+    table = evaluate.evaluate(cut(predictions(spark, folder)), realised(spark, folder), "Retorno_Futuro_30d", "30d", classes)
     return table.select(*[r6(F.col(c)).alias(c) if c in evaluate.MEASURES else F.col(c) for c in table.columns])
 
 
@@ -804,7 +804,7 @@ def _confidence(spark, folder):
 @query("confidence", f"""with {CONFIDENCE_SQL} select "Tipo", "Modelo", "Horizonte", round(pct, 2) as "Confiabilidade_Pct",
   case when pct <= 0 then 'Não mensurável' when pct < 40 then 'Baixa' when pct < 70 then 'Média' else 'Alta' end as "Nivel_Confiabilidade" from conf""")
 def confidence_table(spark, folder):
-    table = performance(spark, folder)
+    table = cut(performance(spark, folder))
     out = confidence.enriched(table, confidence.with_confidence(table))
     return out.select("Tipo", "Modelo", "Horizonte", "Confiabilidade_Pct", "Nivel_Confiabilidade")
 
@@ -814,7 +814,7 @@ def confidence_table(spark, folder):
     (select date_diff('day', min(date), max(date)) from series) as dias_historico,
     (select count(distinct date) from series) as qtd_snapshots, count(*) as modelos from conf""")
 def confidence_summary(spark, folder):
-    out = confidence.summary(_confidence(spark, folder), v.series(spark, folder))
+    out = confidence.summary(cut(_confidence(spark, folder)), v.series(spark, folder))
     return out.select(
         "status", "confiabilidade_preditiva_pct", "janelas_validas_max", "dias_historico", "qtd_snapshots",
         F.size("por_modelo").cast("bigint").alias("modelos"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crivo.columns import col
 from crivo.functions.scalars import place_in
 from crivo.operators.order import keep_last, percentiles, top_n
+from crivo.session import cut
 from crivo.spec import BASELINE, ENSEMBLE, MODELS
 
 KEYS = ("Data_Execucao", "Tipo", "Ticker")
@@ -95,8 +96,10 @@ def with_warm_up(measured: DataFrame, classes: Sequence[str], horizon: str) -> D
 def evaluate(
     predictions: DataFrame, realised: DataFrame, target: str, horizon: str, classes: Sequence[str] = (), n: int = 20
 ) -> DataFrame:
-    """Performance table of all models."""
-    table = performance(window_measures(paired(predictions, realised, target), n), horizon)
+    """Performance table of all models. The pairs are stored once: lists, ranks and the baseline's lists all
+    read them."""
+    pairs = cut(paired(predictions, realised, target))
+    table = performance(window_measures(pairs, n), horizon)
     return with_warm_up(table, classes, horizon) if classes else table
 
 

@@ -42,12 +42,13 @@ NO_MODEL = "Nenhum modelo supervisionado disponível; usando Score Top como base
 
 @dataclass(frozen=True)
 class Training:
-    """What a model is fitted on. `train` and `today` have double columns `features` without gaps."""
+    """What a model is fitted on. `train` and `today` have `id`, `date`, `target` and one double column without
+    gaps per feature, named `f0`, `f1`, ... (`inputs`); `features` are the names these have in the data."""
 
     train: DataFrame
     today: DataFrame
     features: list[str]
-    target: str
+    inputs: list[str]
     rows: int
     target_spread: float
     means: dict[str, float]
@@ -81,8 +82,12 @@ def training(
     names = list(features) if features is not None else feature_columns(data, spec, target)
     if not names:
         return None, NO_FEATURES
+    codes = {f"f{i}": n for i, n in enumerate(names)}
     typed = as_features(data, [*names, target]).select(
-        col(spec.id).alias("id"), col(spec.date).alias("date"), col(target).alias("target"), *[col(n) for n in names]
+        col(spec.id).alias("id"),
+        col(spec.date).alias("date"),
+        col(target).alias("target"),
+        *[col(n).alias(f) for f, n in codes.items()],
     )
     typed = cut(typed)  # read by the split, the medians, the moments and every model
     newest = typed.agg(F.max("date")).first()[0]
@@ -94,31 +99,31 @@ def training(
             f"Mínimo: {MIN_TRAIN_ROWS} linhas e {MIN_TRAIN_DATES} datas."
         )
 
-    medians = quantiles(known, [], {n: (n, 0.5) for n in names}).first().asDict()
-    medians = {n: m for n, m in medians.items() if m is not None}
-    usable = [n for n in names if n in medians]
-    moments = known.fillna(medians).agg(
+    medians = quantiles(known, [], {f: (f, 0.5) for f in codes}).first().asDict()
+    medians = {f: m for f, m in medians.items() if m is not None}
+    if not medians:
+        return None, NO_FEATURES
+    train, inputs = known.fillna(medians), list(medians)
+    moments = train.agg(
         F.stddev_pop("target").alias("target"),
-        *[F.avg(col(n)).alias(f"m_{n}") for n in usable],
-        *[F.stddev_pop(col(n)).alias(f"s_{n}") for n in usable],
+        *[F.avg(f).alias(f"m_{f}") for f in inputs],
+        *[F.stddev_pop(f).alias(f"s_{f}") for f in inputs],
     ).first()
     note = f"Modelos treinados com {facts['rows']} linhas e {facts['dates']} datas."
     return Training(
-        train=known.fillna(medians),
+        train=train,
         today=typed.where(F.col("date") == F.lit(newest)).fillna(medians),
-        features=usable,
-        target="target",
+        features=[codes[f] for f in inputs],
+        inputs=inputs,
         rows=facts["rows"],
         target_spread=moments["target"],
-        means={n: moments[f"m_{n}"] for n in usable},
-        spreads={n: moments[f"s_{n}"] or 1.0 for n in usable},
+        means={f: moments[f"m_{f}"] for f in inputs},
+        spreads={f: moments[f"s_{f}"] or 1.0 for f in inputs},
     ), note
 
 
 def _standardised(df: DataFrame, t: Training) -> DataFrame:
-    return df.select(
-        "id", "date", "target", *[((col(n) - t.means[n]) / t.spreads[n]).alias(n) for n in t.features]
-    )
+    return df.select("id", "date", "target", *[((F.col(f) - t.means[f]) / t.spreads[f]).alias(f) for f in t.inputs])
 
 
 def _predicted(df: DataFrame) -> DataFrame:
@@ -126,14 +131,11 @@ def _predicted(df: DataFrame) -> DataFrame:
 
 
 def _fit(estimator, t: Training, standardise: bool = False) -> DataFrame:
-    inputs = [n.replace(".", "_") for n in t.features]  # an assembler reads a dot as a nested field
-
-    def named(df: DataFrame) -> DataFrame:
-        df = _standardised(df, t) if standardise else df
-        return df.select("id", "date", "target", *[col(n).alias(i) for n, i in zip(t.features, inputs)])
-
-    stages = [VectorAssembler(inputCols=inputs, outputCol="features"), estimator]
-    return _predicted(Pipeline(stages=stages).fit(named(t.train)).transform(named(t.today)))
+    train, today = t.train, t.today
+    if standardise:
+        train, today = _standardised(train, t), _standardised(today, t)
+    stages = [VectorAssembler(inputCols=t.inputs, outputCol="features"), estimator]
+    return _predicted(Pipeline(stages=stages).fit(train).transform(today))
 
 
 def ridge(t: Training, alpha: float = RIDGE_ALPHA) -> DataFrame:

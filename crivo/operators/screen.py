@@ -128,7 +128,7 @@ def screen_assets(
     """Screens one asset class by its description: validation, mandatory values, one row per company
     (first in ingest order), then the rules."""
     require(df, spec.required, f"{spec.kind} universe")
-    df = filled(df, spec.mandatory)
+    df = filled(without_nan(df, spec.mandatory), spec.mandatory)
     if spec.unique_by:
         df = keep_first(df, [*by, *spec.unique_by])
     order = [(c, d) for c, d in spec.order if c in df.columns]

@@ -168,10 +168,14 @@ def export_day(
     return spark.read.text(path, wholetext=False).select(F.col("value").alias("text"))
 
 
+def stored_documents(spark: SparkSession, root: str) -> DataFrame:
+    """All stored documents: rows (snapshot_date, text)."""
+    return spark.read.text(f"{root}/{PAYLOAD_TABLE}").select(lake.DAY, F.col("value").alias("text"))
+
+
 def exported_days(spark: SparkSession, root: str) -> DataFrame:
     """Dates of the stored documents, newest first: rows (date)."""
-    stored = spark.read.text(f"{root}/{PAYLOAD_TABLE}").select(lake.DAY)
-    return dates_of(stored, lake.DAY)
+    return dates_of(stored_documents(spark, root), lake.DAY)
 
 
 __all__ = ["document", "export_day", "exported_days", "sections"]
