@@ -4,10 +4,11 @@ A cross-section may be a single group, or one group may hold a third of all rows
 a window over "all rows of a group" without knowing its size. Instead:
 
 1. equal values are counted first (a plain aggregate, combined before its shuffle, so a hot value is cheap);
-2. groups with many distinct values are cut into blocks by a monotone function of the value: neighbouring
-   values share a block, and which block a value falls into depends on nothing but the value, so re-runs
-   agree; a group with few distinct values is one block;
-3. a window inside each block counts the rows before a value, and block totals give each block its offset.
+2. groups with many distinct values are cut into blocks, and these into leaves, by a monotone function of the
+   value: neighbouring values share a leaf, and which leaf a value falls into depends on nothing but the
+   value, so re-runs agree; a group with few distinct values is one leaf;
+3. a window inside each leaf counts the rows before a value, and the totals of leaves and blocks give each
+   leaf its offset.
 
 `small_groups=True` is for callers who know that every group fits one task (a daily universe of a few
 thousand assets): one shuffle and two sorts instead.
@@ -20,18 +21,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crivo.columns import attach, col, filled, number, require
+from crivo.columns import attach, col, filled, number, quoted, require
 
-# Groups with more distinct values than this are cut into blocks.
+# Groups with more distinct values than this are cut into blocks and leaves.
 SPLIT_ABOVE = 1_000_000
-# About 65 thousand blocks for each factor e in magnitude: a block spans 0.0015 % of its value.
-_BLOCKS_PER_E_FOLD = 65_536
-_MISSING_BLOCK = 2**62
-
-
-def _block(value: Column) -> Column:
-    scaled = F.signum(value) * F.log1p(F.abs(value)) * F.lit(float(_BLOCKS_PER_E_FOLD))
-    return F.coalesce(F.floor(scaled), F.lit(_MISSING_BLOCK).cast("bigint"))
+# Where a value stands on a scale of 65,536 steps for each factor e in magnitude, from the smallest double up.
+_STEPS = "((ln(abs(value)) + 746D) * 65536D)"
+# Its step is its block, and a 65,536th of a step its leaf; both grow with the value. So a window over the
+# blocks of a group sees as many rows as there are steps in the range of the data (some 45,000 per factor 2),
+# a window over the leaves of a block at most 65,536, and a leaf holds values equal to ten digits.
+_BLOCK = f"""case when value is null then {2**62}L when value = 0 then 0L
+  else cast(signum(value) as bigint) * least(floor({_STEPS}), {2**61}L) end"""
+_LEAF = f"""case when value is null or value = 0 or abs(value) = double('infinity') then 0L
+  else cast(signum(value) as bigint) * floor(({_STEPS} - floor({_STEPS})) * 65536D) end"""
 
 
 def _melted(df: DataFrame, by: Sequence[str], key: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -48,44 +50,50 @@ def _melted(df: DataFrame, by: Sequence[str], key: Sequence[str], values: Sequen
 def value_counts(long: DataFrame, by: Sequence[str], split_above: int | None = None) -> DataFrame:
     """Per group and distinct value: its `count`, the rows `before` it, and the group's `filled` and
     `missing` rows and number of `distinct` filled values. Missing values sort last, as one value."""
-    split_above = SPLIT_ABOVE if split_above is None else split_above
+    limit = SPLIT_ABOVE if split_above is None else split_above
     groups = [*by, "factor"]
-    value = F.col("value")
-    counts = long.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("count"))
+    named = ", ".join(quoted(g) for g in groups)
+    counts = long.groupBy(*groups, "value").agg(F.expr("count(1) as count"))
     sizes = counts.groupBy(*groups).agg(
-        F.coalesce(F.sum(F.when(value.isNotNull(), F.col("count"))), F.lit(0)).alias("filled"),
-        F.coalesce(F.sum(F.when(value.isNull(), F.col("count"))), F.lit(0)).alias("missing"),
-        F.count(value).alias("distinct"),
+        F.expr("sum(if(value is null, 0, count)) as filled"),
+        F.expr("sum(if(value is null, count, 0)) as missing"),
+        F.expr("count(value) as distinct"),
+    )
+    blocked = counts.join(sizes, groups).selectExpr(
+        "*", f"if(distinct > {limit}, {_BLOCK}, 0L) as _block", f"if(distinct > {limit}, {_LEAF}, 0L) as _leaf"
     )
-    block = F.when(F.col("distinct") > split_above, _block(value)).otherwise(F.lit(0).cast("bigint"))
-    blocked = counts.join(sizes, groups).withColumn("_block", block)
 
-    totals = (
-        blocked.where(F.col("distinct") > split_above)
-        .groupBy(*groups, "_block")
-        .agg(F.sum("count").alias("_rows"))
+    # Offsets exist only for split groups; without any, Spark drops this branch while the query runs.
+    leaves = blocked.where(f"distinct > {limit}").groupBy(*groups, "_block", "_leaf").agg(F.expr("sum(count) as _rows"))
+    blocks = leaves.groupBy(*groups, "_block").agg(F.expr("sum(_rows) as _all"))
+    kept = [quoted(g) for g in groups]
+    before_block = blocks.selectExpr(
+        *kept, "_block", f"sum(_all) over (partition by {named} order by _block) - _all as _a"
+    )
+    before_leaf = leaves.selectExpr(
+        *kept, "_block", "_leaf", f"sum(_rows) over (partition by {named}, _block order by _leaf) - _rows as _b"
     )
-    running = F.sum("_rows").over(Window.partitionBy(*groups).orderBy("_block"))
-    offsets = totals.select(*groups, "_block", (running - F.col("_rows")).alias("_offset"))
-
-    within = Window.partitionBy(*groups, "_block").orderBy(value.asc_nulls_last())
-    local = F.sum("count").over(within) - F.col("count")
-    return (
-        blocked.withColumn("_local", local)
-        .join(offsets, [*groups, "_block"], "left")
-        .withColumn("before", F.coalesce("_offset", F.lit(0)) + F.col("_local"))
-        .select(*groups, "value", "count", "before", "filled", "missing", "distinct")
+    offsets = before_leaf.join(before_block, [*groups, "_block"]).selectExpr(
+        *kept, "_block", "_leaf", "_a + _b as _offset"
+    )
+    local = blocked.selectExpr(
+        "*", f"sum(count) over (partition by {named}, _block, _leaf order by value nulls last) - count as _local"
+    )
+    return local.join(offsets, [*groups, "_block", "_leaf"], "left").selectExpr(
+        *kept,
+        "value",
+        "count",
+        "coalesce(_offset, 0L) + _local as before",
+        "filled",
+        "missing",
+        "distinct",
     )
 
 
-def _percentile(missing_counts: bool) -> Column:
-    """Average-tie rank as a percentage, from the columns of `value_counts`."""
-    rank = F.col("before") + (F.col("count") + F.lit(1)) / F.lit(2.0)
-    if missing_counts:
-        return rank / (F.col("filled") + F.col("missing")) * 100
-    constant = F.when(F.col("distinct") <= 1, F.lit(50.0))
-    share = F.coalesce(constant, rank / F.col("filled") * 100)
-    return F.when(F.col("filled") > 0, F.when(F.col("value").isNotNull() | (F.col("distinct") <= 1), share))
+# Average-tie rank as a percentage, from the columns of `value_counts`.
+_RANK = "(before + (count + 1) / 2D)"
+_MISSING_LAST = f"{_RANK} / (filled + missing) * 100"
+_MISSING_OUT = f"if(filled = 0, null, if(distinct <= 1, 50D, if(value is null, null, {_RANK} / filled * 100)))"
 
 
 def percentiles_long(
@@ -98,19 +106,14 @@ def percentiles_long(
     """
     require(df, [*by, *key, *values], "percentiles")
     long = _melted(df, by, key, values)
-    scores = value_counts(long, by).select(
-        *[F.col(b).alias(f"_{b}") for b in by],
-        F.col("factor").alias("_factor"),
-        F.col("value").alias("_value"),
-        _percentile(missing_counts).alias("percentile"),
-    )
-    same = F.col("factor") == F.col("_factor")
-    for b in by:
-        same = same & (col(b) == col(f"_{b}"))
-    same = same & F.col("value").eqNullSafe(F.col("_value"))
-    return long.join(scores, same, "left").select(
-        *[col(k) for k in [*by, *key]], "factor", "value", "percentile"
+    scores = value_counts(long, by).selectExpr(
+        *[quoted(b) for b in by],
+        "factor",
+        "value",
+        f"{_MISSING_LAST if missing_counts else _MISSING_OUT} as percentile",
     )
+    same = " and ".join([*[f"l.{quoted(g)} = r.{quoted(g)}" for g in [*by, "factor"]], "l.value <=> r.value"])
+    return long.alias("l").join(scores.alias("r"), F.expr(same), "left").selectExpr("l.*", "r.percentile")
 
 
 def percentiles(
@@ -129,14 +132,16 @@ def percentiles(
     if small_groups:
         return _windowed(df, by, key, values, missing_counts, prefix)
     long = percentiles_long(df, by, key, values, missing_counts)
-    return long.groupBy(*[col(k) for k in [*by, *key]]).agg(
-        *[
-            F.max(F.when(F.col("factor") == v, F.col("percentile"))).alias(f"{prefix}{v}")
-            for v in values
-        ]
+    return long.groupBy(*[quoted(k) for k in [*by, *key]]).agg(
+        *[F.expr(f"max(if(factor = {_text(v)}, percentile, null))").alias(f"{prefix}{v}") for v in values]
     )
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _windowed(df, by, key, values, missing_counts, prefix) -> DataFrame:
     out = df.select(*[col(k) for k in [*by, *key]], *[number(df, v).alias(v) for v in values])
     groups = [col(b) for b in by] or [F.lit(0)]
@@ -165,33 +170,24 @@ def quantiles(df: DataFrame, by: Sequence[str], wanted: dict[str, tuple[str, flo
     require(df, [*by, *values], "quantiles")
     counts = value_counts(_melted(df, by, [], values), by).where(F.col("value").isNotNull())
 
-    after = F.col("before") + F.col("count")
-    picks, used = [], F.lit(False)
-    for name, (column, q) in wanted.items():
-        place = F.lit(q) * (F.col("filled") - F.lit(1))
-        low, high = F.floor(place), F.ceil(place)
-        mine = F.col("factor") == column
-        at_low = mine & (F.col("before") <= low) & (low < after)
-        at_high = mine & (F.col("before") <= high) & (high < after)
-        used = used | at_low | at_high
+    picks, used, results = [], [], []
+    for i, (name, (column, q)) in enumerate(wanted.items()):
+        place = f"{float(q)}D * (filled - 1)"
+        mine = f"factor = {_text(column)} and before"
+        low = f"({mine} <= floor({place}) and floor({place}) < before + count)"
+        high = f"({mine} <= ceil({place}) and ceil({place}) < before + count)"
+        used += [low, high]
         picks += [
-            F.max(F.when(at_low, F.col("value"))).alias(f"_low_{name}"),
-            F.max(F.when(at_high, F.col("value"))).alias(f"_high_{name}"),
-            F.max(F.when(at_low, place - low)).alias(f"_part_{name}"),
+            F.expr(f"max(if({low}, value, null)) as _low{i}"),
+            F.expr(f"max(if({high}, value, null)) as _high{i}"),
+            F.expr(f"max(if({low}, {place} - floor({place}), null)) as _part{i}"),
         ]
-    grouped = counts.where(used).groupBy(*[col(b) for b in by]).agg(*picks)
-    return grouped.select(
-        *[col(b) for b in by],
-        *[
-            _between(col(f"_low_{n}"), col(f"_high_{n}"), col(f"_part_{n}")).alias(n)
-            for n in wanted
-        ],
-    )
-
-
-def _between(low: Column, high: Column, part: Column) -> Column:
-    step = high - low
-    return F.when(part >= 0.5, high - step * (F.lit(1.0) - part)).otherwise(low + step * part)
+        step = f"(_high{i} - _low{i})"
+        results.append(
+            F.expr(f"if(_part{i} >= 0.5D, _high{i} - {step} * (1D - _part{i}), _low{i} + {step} * _part{i})").alias(name)
+        )
+    grouped = counts.where(" or ".join(used)).groupBy(*[quoted(b) for b in by]).agg(*picks)
+    return grouped.select(*[col(b) for b in by], *results)
 
 
 def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, place: str) -> DataFrame:

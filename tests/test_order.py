@@ -55,6 +55,16 @@ def test_quantiles_match_numpy(spark, split, by):
             assert got[name][0] == table[column].quantile(q)
 
 
+def test_close_values_share_a_block_and_are_still_told_apart(spark, monkeypatch):
+    """Ids and time stamps: all values within a few steps of each other, and the extremes of double."""
+    monkeypatch.setattr(order, "SPLIT_ABOVE", 3)
+    values = [1.7e9 + i / 16 for i in range(300)] + [-1.7e9 - i / 16 for i in range(300)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1e-300, float("inf"), -float("inf"), 1.0, -1.0]
+    table = pd.DataFrame({"id": range(len(values)), "v": values})
+    got = order.percentiles(spark.createDataFrame(table), [], ["id"], ["v"]).toPandas().sort_values("id")
+    np.testing.assert_allclose(got["pct_v"], table["v"].rank(pct=True) * 100, rtol=1e-12)
+
+
 def test_constant_predictions_score_fifty(spark):
     df = spark.createDataFrame([("x", 1, 3.0), ("x", 2, 3.0), ("x", 3, None), ("y", 1, None)], "g string, id int, v double")
     for small in (True, False):
