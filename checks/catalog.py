@@ -518,7 +518,7 @@ def training_dataset(spark, folder):
 def asof_price(spark, folder):
     from crivo.operators.asof import asof
 
-    asked = portfolio(spark, folder).select("d", "cls", "id", "pos", F.date_add("d", 45).alias("at"))
+    asked = cut(portfolio(spark, folder)).select("d", "cls", "id", "pos", F.date_add("d", 45).alias("at"))
     return asof(asked, v.history(spark, folder), ["cls", "id"], "at", "d", "price").drop("at")
 
 
