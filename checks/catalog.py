@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import views as v
@@ -591,7 +591,7 @@ def portfolio_vs_series(spark, folder):
         .agg((F.sum(F.rint(F.col("volume") * 100).cast("bigint")) / 100).alias("value"))
     )
     start = v.history(spark, folder).agg(F.min("d").alias("start"))
-    names = market.select("series").distinct().crossJoin(F.broadcast(start))
+    names = market.select("series").distinct().withColumn("start", start.select("start").scalar())
     rebased = series.rebase_from(market, names, ["series"])
     own = index.select(F.concat(F.lit("portfolio_"), "cls").alias("series"), "date", "value")
     return own.unionByName(rebased)
@@ -673,8 +673,6 @@ def predictions(spark, folder):
     lagged = features.features(
         v.history(spark, folder), v.HISTORY, ["cls"]
     )
-    from pyspark.sql import Window
-
     w = Window.partitionBy("cls", "id").orderBy("d")
     flow = F.try_divide(F.col("volume"), F.lag("volume").over(w)) - 1
     long = lagged.withColumn("flow", flow).select(
@@ -830,12 +828,12 @@ def maturity(spark, folder):
 
 
 @query("performance_listing", f"""with {v.EVALUATION_SQL}
-  select cls as "Tipo", model as "Modelo", row_number() over (order by cls,
+  select cls as "Tipo", model as "Modelo", row_number() over (partition by cls order by
     list_position(['Score Top', 'Ridge', 'Random Forest'], model)) as place from perf""")
 def performance_listing(spark, folder):
     table = performance(spark, folder)
-    listed = order.top_n(table, [], evaluate.performance_order(), 1000, "place")
-    return listed.select("Tipo", "Modelo", "place")
+    within_class = Window.partitionBy("Tipo").orderBy(*evaluate.performance_order())
+    return table.select("Tipo", "Modelo", F.row_number().over(within_class).alias("place"))
 
 
 # --- trained models: suppliers of class A --------------------------------------------------------------
@@ -1117,6 +1115,16 @@ def payload_explode(spark, folder):
     return landed.payload_rows(documents, "text", "fiis", v.HISTORY, landed.FUND_NAMES).select("d", "id", "price", "score")
 
 
+@query("conform_schema", f"""with {v.BR_TEXT_SQL}
+  select c_custkey as id, case when c_custkey % 13 <> 0 then {BALANCE} end as price, cast(null as bigint) as absent,
+    cast(c_custkey as varchar) as code from cents""")
+def conform_schema(spark, folder):
+    from crivo.sources import lake
+
+    raw = v.br_text(spark, folder).select("id", "price", F.col("id").alias("code"), "mixed")
+    return lake.conform(raw, "id bigint, price double, absent bigint, code string")
+
+
 @query("event_props", """select event_id, cast(json_extract(props, '$.k') as bigint) as k from events""")
 def event_props(spark, folder):
     return v.table(spark, folder, "events").select(

@@ -147,10 +147,11 @@ def leaderboard(predictions: DataFrame, n: int = 50, baseline: str = BASELINE) -
     return top_n(ranked, ["Tipo"], order, n, "rank_modelo").drop("_some", "_chosen")
 
 
-def wide(predictions: DataFrame) -> DataFrame:
-    """One column per known model's score, for export: rows (date, class, ticker)."""
+def wide(predictions: DataFrame, value: str = "score", name: str = "{}") -> DataFrame:
+    """One column per known model, for export: rows (date, class, ticker). `name` holds `{}` where the model's
+    score column is named."""
     return predictions.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("Modelo") == m, F.col("score"))).alias(c) for c, m in MODELS.items()]
+        *[F.max(F.when(F.col("Modelo") == m, col(value))).alias(name.format(c)) for c, m in MODELS.items()]
     )
 
 

@@ -209,7 +209,7 @@ def shadow_run(
     features: Sequence[str] | None = None,
 ) -> DataFrame:
     """Predictions for the newest date of a training set, one row per ticker: roles, one score per model,
-    their mean, expected return, leading model, and the state of the section."""
+    their mean, each model's predicted return and their mean, leading model, and the state of the section."""
     target = f"Retorno_Futuro_{horizon}d"
     ready = prepared(data, spec)
     base = latest_base(ready, spec)
@@ -223,10 +223,14 @@ def shadow_run(
             F.lit("Aquecendo").alias("status_modelos"), F.lit(NO_MODEL if found else note).alias("motivo_status"),
         )
     keys = ["Data_Execucao", "Tipo", "Ticker"]
+    long = cut(long)  # read by the scores, the single predictions and their means
     scores = wide(long).drop("score_top", "score_ensemble")
+    named = f"retorno_previsto_{{}}_{horizon}d"
+    single = wide(long, "predicted_return", named).drop(named.format("score_top"), named.format("score_ensemble"))
     means = ensemble(long).withColumnRenamed("retorno_esperado", expected)
     return (
         base.join(scores, keys, "left")
+        .join(single, keys, "left")
         .join(means, keys, "left")
         .withColumn("modelo_lider", F.coalesce("modelo_lider", F.lit(BASELINE)))
         .withColumn("status_modelos", F.lit("Ativo"))

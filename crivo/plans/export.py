@@ -148,12 +148,41 @@ def sections(
     return out
 
 
+def _order(name: str) -> list[Column]:
+    """Ascending keys by which a section is listed."""
+    if name in SECTION.values():
+        return [F.col("Posicao")]
+    if name.startswith("recorrentes"):
+        missing_last = (F.lit(-1.0), F.lit(2**31 - 1))
+        return [
+            -F.col("aparicoes"),
+            -F.coalesce("score_medio", missing_last[0]),
+            F.coalesce("melhor_posicao", missing_last[1]),
+            F.col("Ticker"),
+        ]
+    if name.startswith("comparativo") or name == "benchmarks":
+        return [F.col("series"), F.col("date")]
+    if name == "modelos_ranking":
+        return [F.col("Tipo"), F.col("rank_modelo")]
+    if name == "modelos_performance":
+        return evaluate.performance_order()
+    return [F.lit(0)]
+
+
 def document(parts: dict[str, DataFrame], day: Date, spark: SparkSession) -> DataFrame:
-    """One row: `day` and `text`, the JSON of all sections, each a list of records."""
+    """One row: `day` and `text`, the JSON of all sections, each an ordered list of records."""
     fields: list[Column] = [F.lit(day.isoformat()).alias("data")]
     for name, df in parts.items():
-        rows = df.agg(F.collect_list(F.struct(*[col(c) for c in df.columns])).alias("rows"))
-        fields.append(rows.select("rows").scalar().alias(name))
+        keys = [k.alias(f"k{i}") for i, k in enumerate(_order(name))]
+        record = F.struct(*[col(c) for c in df.columns])
+        entries = df.select(F.struct(*keys).alias("k"), record.alias("r")).agg(
+            F.collect_list(F.struct("k", "r")).alias("rows")
+        )
+        by_key = F.array_sort(
+            "rows", lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
+        )
+        listed = entries.select(F.transform(by_key, lambda e: e["r"]).alias("rows"))
+        fields.append(listed.select("rows").scalar().alias(name))
     fields.append(F.array(*[F.lit(m) for m in MODELS.values()]).alias("modelos"))
     return spark.range(1).select(F.lit(day).alias("day"), F.to_json(F.struct(*fields)).alias("text"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from datetime import date as Date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,18 +15,32 @@ from pyspark.sql import types as T
 from crivo.columns import col
 
 DAY = "snapshot_date"
+log = logging.getLogger(__name__)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str = "") -> DataFrame:
-    """A parquet table, or an empty one with the given schema if there is none to read."""
+    """A parquet table, or an empty one with the given schema if there is none or its files cannot be read."""
     try:
-        reader = spark.read.schema(schema) if schema else spark.read
-        return reader.parquet(path)
-    except AnalysisException:
+        found = spark.read.parquet(path)
+        return conform(found, schema) if schema else found
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("cannot read %s: %s", path, str(error).splitlines()[0])
         empty = T.StructType([]) if not schema else schema
         return spark.createDataFrame([], empty)
 
 
+def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The columns of a declared schema, in its types: values that do not fit and absent columns are null,
+    other columns are dropped."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return df.select(
+        *[
+            (col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+    )
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a parquet table to read."""
     try:

@@ -45,6 +45,8 @@ def test_days_are_replaced_dynamically(spark, tmp_path):
 
 def test_reading_nothing_gives_an_empty_table(spark, tmp_path):
     df = lake.read_table(spark, str(tmp_path / "absent"), "a int")
+    (tmp_path / "broken.parquet").write_text("no parquet")
+    assert lake.read_table(spark, str(tmp_path / "broken.parquet"), "a int").count() == 0
     assert df.columns == ["a"] and df.count() == 0 and not lake.exists(spark, str(tmp_path / "absent"))
 
 
@@ -129,6 +131,10 @@ def test_document(spark, two_weeks):
     assert own[0] == ("2026-01-01", 100.0) and len(own) == 3
     cdi = sorted((p["date"], p["value"]) for p in found["comparativo_fiis"] if p["series"] == "CDI")
     assert cdi == [("2026-01-01", 100.0), ("2026-01-09", 101.0)]
+    assert [r["Posicao"] for r in found["fiis"]] == [1, 2, 3, 4, 5]
+    assert [r["rank_modelo"] for r in found["modelos_ranking"]] == [*range(1, 31)] * 2
+    times = [r["aparicoes"] for r in found["recorrentes_fiis"]]
+    assert times == sorted(times, reverse=True)
     assert len(found["modelos_ranking"]) == 60 and found["modelos_status"][0]["status"] == "Ativo"
     assert sum(r["aparicoes"] for r in found["recorrentes_fiis"]) == 15
     assert found["modelos"][0] == "Score Top" and found["modelos_performance"]

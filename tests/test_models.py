@@ -155,6 +155,7 @@ def test_shadow_run(spark):
     rows = out.collect()
     assert len(rows) == 30 and {r.status_modelos for r in rows} == {"Ativo"}
     assert all(r.score_ridge is not None and r.score_catboost is not None and r.retorno_esperado_7d is not None for r in rows)
+    assert all(r.retorno_previsto_score_ridge_7d is not None for r in rows)
     assert {r.Data_Execucao for r in rows} == {DAY(2026, 1, 4)}
     long = models.long_form(out)
     assert long.select("Modelo").distinct().count() == 8
