@@ -148,9 +148,9 @@ def sections(
     return out
 
 
-def _order(name: str) -> list[Column]:
+def _order(name: str, df: DataFrame) -> list[Column]:
     """Ascending keys by which a section is listed."""
-    if name in SECTION.values():
+    if name in SECTION.values() and "Posicao" in df.columns:
         return [F.col("Posicao")]
     if name.startswith("recorrentes"):
         missing_last = (F.lit(-1.0), F.lit(2**31 - 1))
@@ -173,7 +173,7 @@ def document(parts: dict[str, DataFrame], day: Date, spark: SparkSession) -> Dat
     """One row: `day` and `text`, the JSON of all sections, each an ordered list of records."""
     fields: list[Column] = [F.lit(day.isoformat()).alias("data")]
     for name, df in parts.items():
-        keys = [k.alias(f"k{i}") for i, k in enumerate(_order(name))]
+        keys = [k.alias(f"k{i}") for i, k in enumerate(_order(name, df))]
         record = F.struct(*[col(c) for c in df.columns])
         entries = df.select(F.struct(*keys).alias("k"), record.alias("r")).agg(
             F.collect_list(F.struct("k", "r")).alias("rows")
