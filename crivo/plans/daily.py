@@ -8,7 +8,7 @@ from datetime import date as Date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crivo.operators.clean import clean, without_footer
+from crivo.operators.clean import as_features, clean, without_footer
 from crivo.operators.history import portfolio_rows
 from crivo.operators.order import with_sequence
 from crivo.operators.score import score
@@ -37,9 +37,12 @@ PORTFOLIO_TABLE = "carteira"
 def screened_day(
     raw: DataFrame, spec: AssetSpec, roles: CleanRoles, rules: Rules, top_n: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(list with positions, scored universe with statuses) of one day's raw table."""
+    """(list with positions, scored universe with statuses) of one day's raw table. Whatever the roles leave as
+    text in a numeric column of the class is read as a plain number."""
     landed = raw if "_seq" in raw.columns else with_sequence(raw)
-    typed = clean(without_footer(landed, (spec.id, spec.name or spec.id), spec.price), roles)
+    typed = clean(landed, roles)
+    numbers = [spec.price, *spec.required, *[f.column for f in spec.factors]]
+    typed = as_features(typed, [n for n in numbers if n in typed.columns])
     scored = cut(score(typed, spec.factors, [], ["_seq"], out=spec.score))
     return screen_assets(scored, spec, rules, top_n_rows=top_n)
 
@@ -59,6 +62,7 @@ def run_funds(raw: DataFrame, root: str, day: Date, limits: Limits = FUND_LIMITS
 
 
 def run_stocks(raw: DataFrame, root: str, day: Date, limits: Limits = STOCK_LIMITS) -> tuple[DataFrame, DataFrame]:
-    top, universe = screened_day(raw, STOCKS, CleanRoles(), stock_rules(limits), limits.top_n)
+    listed = without_footer(raw, (STOCKS.id, STOCKS.name), STOCKS.price)
+    top, universe = screened_day(listed, STOCKS, CleanRoles(), stock_rules(limits), limits.top_n)
     store_day(root, day, STOCKS, top, universe)
     return top, universe

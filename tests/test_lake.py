@@ -104,6 +104,24 @@ def two_weeks(spark, tmp_path_factory):
     return root, performance
 
 
+def test_raw_texts_are_screened(spark, tmp_path):
+    raw = [
+        ("AAA11", "R$ 1.234,56", "0,95", "1,20%", "2.000.000", "R$ 90.000.000,00", "12,5"),
+        ("BBB11", "R$ 10,00", "N/A", "1,00%", "2.000.000", "R$ 90.000.000,00", "10,0"),
+    ]
+    names = ["FUNDOS", FUNDS.price, *[FUNDS.required[i] for i in range(5)]]
+    df = spark.createDataFrame(raw, ", ".join(f"`{n}` string" for n in names))
+    top, universe = daily.run_funds(df, str(tmp_path), DAY(2026, 1, 1))
+    assert [(r.FUNDOS, r[FUNDS.price], r.Posicao) for r in top.collect()] == [("AAA11", 1234.56, 1)]
+    assert {r.FUNDOS: r.Status for r in universe.collect()} == {"AAA11": "Rank #1", "BBB11": "Eliminado no filtro fixo: P/VP nulo ou negativo"}
+
+    shares = stocks(6).drop(columns="_seq").astype(str)
+    shares.loc[5, "Empresa"], shares.loc[4, "Preço"] = "Legenda", "N/D"
+    limits = Limits(dy=0.0, liquidity=0, size=0, top_n=3)
+    top, universe = daily.run_stocks(spark.createDataFrame(shares), str(tmp_path), DAY(2026, 1, 1), limits)
+    assert universe.count() == 4 and top.count() == 3
+
+
 def test_daily_run(spark, two_weeks):
     root, performance = two_weeks
     places = rebuild.Places(root)
