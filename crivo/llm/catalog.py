@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crivo.llm import exact
-from crivo.llm.base import LOWER, UPPER, table
+from crivo.llm import exact, mix, quality, shards
+from crivo.llm.base import LOWER, UPPER, WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,3 +49,51 @@ NORMALISED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 )
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_sharding")
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shard(table(spark, folder, "documents"))
+
+
+# The level of the water: with the sources in the order in which they fill up, the first one that leaves the next
+# source room.
+MIX_SQL = f"""with sized as (
+        select doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) as size, md5(doc_id::varchar) as key
+        from documents),
+    sources as (
+        select source, sum(size)::bigint as source_size,
+            ((row_number() over (order by source nulls last) - 1) % 3 + 1) as weight
+        from sized group by source),
+    filling as (
+        select *, sum(source_size) over () as total,
+            coalesce(sum(3 * source_size) over (order by 3.0::double * source_size / weight, source nulls last
+                rows between unbounded preceding and 1 preceding), 0) as capped,
+            sum(weight) over (order by 3.0::double * source_size / weight, source nulls last
+                rows between current row and unbounded following) as left_weight
+        from sources),
+    level as (select arg_min((total - capped)::double / left_weight, 3.0::double * source_size / weight) as l from filling
+        where (total - capped)::double / left_weight <= 3.0::double * source_size / weight),
+    wanted as (
+        select source, source_size, least(3.0::double * source_size, weight * coalesce(l, 0)) as target
+        from sources left join level on true),
+    budgets as (
+        select *, floor(target + 0.5)::bigint as budget, case when source_size = 0 then 0
+            else floor(target + 0.5)::bigint // source_size end as epochs from wanted),
+    placed as (
+        select doc_id, s.source, size, source_size, target, epochs, budget - epochs * source_size as rest,
+            sum(size) over (partition by s.source order by key) - size as before
+        from sized s join budgets b on s.source is not distinct from b.source)
+    select doc_id, size::bigint as size, source_size, round(target, 6) as target,
+        (epochs * size + greatest(0, least(size, rest - before)))::bigint as taken
+    from placed"""
+
+
+@query("op6_mixing", MIX_SQL)
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.mix(table(spark, folder, "documents"))
