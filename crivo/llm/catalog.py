@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crivo.llm import exact, mix, quality, shards
+from crivo.llm import bpe, exact, mix, planes, quality, shards
 from crivo.llm.base import LOWER, UPPER, WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,12 @@ def query(name: str, sql: str | None = None):
 NORMALISED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
 
+@query("op1_byte_bpe")
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(table(spark, folder, "documents"), tokens, public_tokenizers.PATTERN, ["doc_id"])
+
+
 @query(
     "op2_exact_dedup",
     f"""with hashed as (select doc_id, sha256({NORMALISED}) as text_sha256 from documents)
@@ -97,3 +104,11 @@ MIX_SQL = f"""with sized as (
 @query("op6_mixing", MIX_SQL)
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix(table(spark, folder, "documents"))
+
+
+@query("op9_token_file")
+def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    root = planes.new_folder(spark)
+    tokenizer = planes.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    planes.write(table(spark, folder, "documents"), root, tokenizer, end=1)
+    return planes.digests(spark, root)
