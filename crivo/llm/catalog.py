@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crivo.llm import bpe, exact, mix, planes, quality, shards
+from crivo.llm import bpe, exact, mix, near, planes, quality, shards
 from crivo.llm.base import LOWER, UPPER, WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,31 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
 
 
+# Brute force: all pairs of documents that share a shingle, then the smallest id reachable.
+NEAR_SQL = f"""with recursive tokens as (
+        select doc_id, list_filter(regexp_split_to_array({NORMALISED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
+        from documents),
+    sets as (
+        select doc_id, case when len(words) = 0 then []::varchar[]
+            when len(words) < 4 then [array_to_string(words, ' ')]
+            else list_distinct(list_transform(range(1, len(words) - 2),
+                lambda i: array_to_string(words[i:i + 3], ' '))) end as shingles
+        from tokens),
+    long as (select doc_id, unnest(shingles) as shingle, len(shingles) as n from sets),
+    links as (
+        select a.doc_id as a, b.doc_id as b from long a join long b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    reach(doc_id, hit) as (
+        select doc_id, doc_id from sets union select r.doc_id, l.b from reach r join links l on r.hit = l.a)
+    select s.doc_id, len(shingles)::bigint as n_shingles, min(hit) as component_id, s.doc_id = min(hit) as kept
+    from sets s join reach r on s.doc_id = r.doc_id group by s.doc_id, shingles"""
+
+
+@query("op3_near_dedup", NEAR_SQL)
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_groups(table(spark, folder, "documents"))
+
+
 @query("op4_quality_classifier")
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -112,3 +137,10 @@ def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = planes.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     planes.write(table(spark, folder, "documents"), root, tokenizer, end=1)
     return planes.digests(spark, root)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
