@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crivo.llm import bpe, exact, mix, near, planes, quality, shards
+from crivo.llm import bpe, exact, fingerprint, mix, near, planes, quality, shards
 from crivo.llm.base import LOWER, UPPER, WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix(table(spark, folder, "documents"))
 
 
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.edits(table(spark, folder, "documents"))
+
+
 @query("op9_token_file")
 def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
     root = planes.new_folder(spark)
