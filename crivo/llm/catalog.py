@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crivo.llm import bpe, exact, fingerprint, mix, near, planes, quality, shards
+from crivo.llm import bpe, exact, fingerprint, licenses, mix, near, planes, quality, secrets, shards
 from crivo.llm.base import LOWER, UPPER, WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,8 @@ NEAR_SQL = f"""with recursive tokens as (
     sets as (
         select doc_id, case when len(words) = 0 then []::varchar[]
             when len(words) < 4 then [array_to_string(words, ' ')]
-            else list_distinct(list_transform(range(1, len(words) - 2),
-                lambda i: array_to_string(words[i:i + 3], ' '))) end as shingles
+            else list_distinct(list_transform(list_zip(words[:len(words) - 3], words[2:len(words) - 2], words[3:len(words) - 1],
+                words[4:]), lambda s: s[1] || ' ' || s[2] || ' ' || s[3] || ' ' || s[4])) end as shingles
         from tokens),
     long as (select doc_id, unnest(shingles) as shingle, len(shingles) as n from sets),
     links as (
@@ -136,6 +136,11 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edits(table(spark, folder, "documents"))
 
 
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
+
+
 @query("op9_token_file")
 def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
     root = planes.new_folder(spark)
@@ -144,6 +149,11 @@ def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return planes.digests(spark, root)
 
 
+@query("op10_license_scan", licenses.sql(upper=UPPER, lower=LOWER))
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
