@@ -42,7 +42,7 @@ DICTIONARY = (
 )
 
 _KEYS = "|".join(KEY_WORDS)
-_RUN = r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]*[0-9])[A-Za-z0-9_+/=.-]{%d,}" % SHORTEST
+_RUN = r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{%d,}" % SHORTEST
 _ASSIGNED = rf"(?i:{_KEYS})[\"']?\s*[=:]"
 #: Texts without a match hold no candidate.
 ANY = f"{_RUN}|{_ASSIGNED}"

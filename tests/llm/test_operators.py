@@ -1,0 +1,436 @@
+"""Operators against brute force on tables with every odd case; empty tables; extra columns whose names clash."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from crivo.llm import bpe, exact, fingerprint, groups, licenses, mix, near, planes, quality, secrets, shards
+from tests.llm import samples
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return samples.frame(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], samples.SCHEMA)
+
+
+# === byte-level BPE =====================================================================================
+
+
+def test_bpe_is_the_rank_file(spark, docs):
+    tokens = bpe.read_ranks(RANKS)
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    found = bpe.round_trip(docs, tokens, public_tokenizers.PATTERN, ["doc_id", "text"]).collect()
+    assert len(found) == len(samples.rows())
+    for row in found:
+        ids = np.array(plain.encode_ordinary(row.text or ""), "<u4")
+        assert (row.n_tokens, row.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+        assert row.decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
+
+
+def test_bpe_arrays_and_empty_table(spark, docs, nothing):
+    tokens = bpe.read_ranks(RANKS)
+    row = bpe.encode(docs.where("text = 'two words'"), tokens, public_tokenizers.PATTERN, ["doc_id"]).first()
+    assert b"".join(tokens[i] for i in row.ids) == b"two words"
+    assert bpe.round_trip(nothing, tokens, public_tokenizers.PATTERN, ["doc_id"]).count() == 0
+    with pytest.raises(ValueError):
+        bpe.ranks_of([b"YQ== 0", b"Yg== 2"])
+
+
+def test_bpe_hard_characters():
+    codec = bpe.Codec(bpe.model_bytes(bpe.read_ranks(RANKS)), public_tokenizers.PATTERN)
+    tokens = {t: i for i, t in enumerate(bpe.read_ranks(RANKS))}
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens, special_tokens={})
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice("ab'sZé\n\t\x85\xa0 \x1c 09.,#日🙂́<|endoftext|>") for _ in range(rng.randint(0, 40)))
+        assert codec.encode(text) == np.array(plain.encode_ordinary(text), "<u4").tobytes()
+        assert codec.decode(codec.encode(text)) == text.encode()
+
+
+# === exact dedup ========================================================================================
+
+
+def expected_copies(data):
+    groups_of = defaultdict(list)
+    for row in data:
+        groups_of[samples.lowered(row[1])].append(row[0])
+    out = []
+    for text, ids in groups_of.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        seen = False
+        for i in ids:
+            stays = i == keep and not seen
+            seen = seen or stays
+            out.append((i, keep, len(ids), stays, hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("words", [1, 4, exact.MAX_WORDS])
+def test_exact_dedup(spark, docs, words):
+    found = [tuple(r) for r in exact.exact_dedup(docs, max_words=words).collect()]
+    assert samples.same_rows(found, expected_copies(samples.rows()))
+
+
+def test_drop_copies_keeps_rows_as_they_are(spark, docs, nothing):
+    kept = exact.drop_copies(docs)
+    assert kept.columns == docs.columns
+    wanted = [(i, s) for i, _, _, stays, s in expected_copies(samples.rows()) if stays]
+    found = [(r.doc_id, hashlib.sha256(samples.lowered(r.text).encode()).hexdigest()) for r in kept.collect()]
+    assert samples.same_rows(found, wanted)
+    assert exact.drop_copies(nothing).count() == exact.exact_dedup(nothing).count() == 0
+
+
+def test_most_unique_rows_never_meet(spark):
+    data = [(i, f"text number {i}", "en", "a", 1, "", 0, 0.0, "", "") for i in range(3000)]
+    repeats = exact.Repeats(samples.frame(spark, data + data[:5]))
+    assert 5 * 2 <= repeats.candidates.count() < 0.05 * 3000
+
+
+# === near dedup =========================================================================================
+
+
+def expected_groups(data, width):
+    sets = {}
+    for row in data:
+        words = [w for w in samples.lowered(row[1]).translate(str.maketrans("\t\n\v\f\r", "     ")).split(" ") if w]
+        grams = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if len(words) >= width else {tuple(words)} - {()}
+        sets[row[0], row[1]] = grams
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    items = [(k[0], s) for k, s in sets.items() if s and k[0] is not None]
+    for a, (i, s) in enumerate(items):
+        for j, t in items[:a]:
+            common = len(s & t)
+            if 100 * common >= 80 * (len(s) + len(t) - common):
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    return [(r[0], len(sets[r[0], r[1]]), root(r[0]) if r[0] is not None else None, r[0] is not None and root(r[0]) == r[0]) for r in data]
+
+
+@pytest.mark.parametrize("width", [4, 5])
+def test_near_groups(spark, docs, width):
+    found = [tuple(r) for r in near.near_groups(docs, width=width).collect()]
+    assert samples.same_rows(found, expected_groups(samples.rows(), width))
+
+
+def test_large_groups_of_near_copies(spark):
+    rng = random.Random(9)
+    base = samples.sentence(rng, 60).split()
+    data = []
+    for i in range(250):
+        words = list(base)
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(60)] = f"w{rng.randrange(99)}"
+        data.append((i, " ".join(words), "en", "a", 1, "", 0, 0.0, "", ""))
+    found = [tuple(r) for r in near.near_groups(samples.frame(spark, data)).collect()]
+    assert samples.same_rows(found, expected_groups(data, 4))
+
+
+def test_first_of_groups(spark, docs, nothing):
+    kept = near.first_of_groups(docs, width=5)
+    assert kept.columns == docs.columns
+    dropped = {i for i, _, _, stays in expected_groups(samples.rows(), 5) if not stays and i is not None}
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in samples.rows() if r[0] not in dropped)
+    assert near.near_groups(nothing).count() == near.first_of_groups(nothing).count() == 0
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    errors = []
+    for size in (40, 300, 3000):
+        for _ in range(20):
+            common = rng.integers(1, 2**63, size, dtype=np.uint64)
+            a, b = (np.unique(np.concatenate([common, rng.integers(1, 2**63, size // 8, dtype=np.uint64)])) for _ in "ab")
+            one, two = near.signatures([a, b])
+            errors.append((one == two).mean() - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.05
+    alone = near.signatures([np.arange(1, 500, dtype=np.uint64)])
+    together = near.signatures([np.arange(9, dtype=np.uint64), np.arange(1, 500, dtype=np.uint64), np.empty(0, np.uint64)])
+    assert (alone[0] == together[1]).all() and np.isinf(together[2]).all()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(60)]
+    found = {r.node: r.root for r in groups.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)).collect()}
+    parent = {n: n for e in edges for n in e}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    assert found == {n: root(n) for n in parent if root(n) != n}
+
+
+# === quality ============================================================================================
+
+
+def test_quality(spark, docs, nothing):
+    rng = random.Random(4)
+    data, labels = [], []
+    for i in range(400):
+        words = samples.sentence(rng, rng.randint(6, 60))
+        good = i % 3 > 0
+        data.append((i, words.capitalize() + "." if good else " | ".join(words.upper().split()), "en", "a", 1, "", 0, 0.0, "", ""))
+        labels.append((i, int(good), 0, "extra"))
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int, _id string")
+    found = quality.classify(samples.frame(spark, data), known).collect()
+    assert len(found) == 400
+    for row in found:
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        assert 0 <= row.score <= 1 and row.predicted == int(row.score >= 0.7)
+    held = [r for r in found if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 3 > 0) for r in held) >= 0.98 * len(held)
+    odd = quality.classify(docs, known.where("doc_id < 0")).collect()
+    assert len(odd) == len(samples.rows()) and {r.score for r in odd} == {0.5}
+    kept = quality.without_rejected(samples.frame(spark, data), known)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if r.predicted}
+    assert quality.classify(nothing, known).count() == quality.without_rejected(nothing, known).count() == 0
+
+
+def test_discriminant_is_the_log_density_difference():
+    rng = np.random.default_rng(2)
+    size = len(quality.STATISTICS)
+    rows = {c: rng.normal(c, 1 + c, (500, size)) for c in (0, 1)}
+    model = quality.discriminant({c: (500, x.sum(axis=0), x.T @ x) for c, x in rows.items()})
+    covariances = [np.cov(rows[c].T, bias=True) for c in (0, 1)]
+    pooled = sum(covariances) / 2 + quality.FLOOR * np.eye(size)
+    logs = []
+    for c in (0, 1):
+        s = 0.9 * covariances[c] + 0.05 * pooled + 0.05 * np.diag(np.diag(pooled))
+        d = rows[1][:9] - rows[c].mean(axis=0)
+        logs.append(-0.5 * (np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d) + np.linalg.slogdet(s)[1]))
+    assert np.allclose(model.log_odds(rows[1][:9]), logs[1] - logs[0])
+
+
+# === shards =============================================================================================
+
+
+def test_shards(spark, docs, nothing):
+    found = shards.shard(docs, shards=4).collect()
+    data = samples.rows()
+    assert samples.same_rows([(r.doc_id, r.size) for r in found], [(d[0], len((d[1] or "").encode()) + 1) for d in data])
+    for s in range(4):
+        slots = sorted(r.slot for r in found if r.shard == s)
+        assert slots == list(range(len(slots)))
+    assert all(r.law == "bytes" and r.grown_shard is None for r in found)
+    by_id = {d[0]: d[1] for d in data}
+    assert all(r.text_crc32 == zlib.crc32((by_id[r.doc_id] or "").encode()) for r in found)
+    assert shards.shard(nothing).count() == 0
+
+
+def test_shards_are_even_and_split_hot_groups(spark):
+    rng = random.Random(6)
+    data = [(i, "hot copy " * 40 if i % 3 == 0 else samples.sentence(rng, rng.randint(5, 120)), "", "", 0, "", 0, 0.0, "", "") for i in range(4000)]
+    found = shards.shard(samples.frame(spark, data)).toPandas()
+    sums = found.groupby("shard").agg(size=("size", "sum"), rows=("size", "count"))
+    assert len(sums) == 16 and (sums.max() / sums.mean() < 1.03).all() and (sums.min() / sums.mean() > 0.97).all()
+    light = Counter(d[1] for d in data)
+    of = {d[0]: d[1] for d in data}
+    places = defaultdict(set)
+    for row in found.itertuples():
+        places[of[row.doc_id]].add(row.shard)
+    assert all(len(p) == 1 for t, p in places.items() if light[t] < 20)
+
+
+# === mixing =============================================================================================
+
+
+def test_mix(spark, docs, nothing):
+    data = samples.rows()
+    found = mix.mix(docs).collect()
+    size = lambda t: len([w for w in (t or "").translate(str.maketrans("\t\n\v\f\r", "     ")).split(" ") if w])
+    sums = Counter()
+    for d in data:
+        sums[d[3]] += size(d[1])
+    order = sorted(sums, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    target, open_ = {}, set(order)
+    left = sum(sums.values())
+    while open_:  # share, cap, share the excess again
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= 3 * sums[s]}
+        if not full:
+            target |= {s: weight[s] * level for s in open_}
+            break
+        target |= {s: 3.0 * sums[s] for s in full}
+        left -= sum(3 * sums[s] for s in full)
+        open_ -= full
+    source = {d[0]: d[3] for d in data}
+    taken = Counter()
+    for r in found:
+        s = source[r.doc_id]
+        assert r.source_size == sums[s] and abs(r.target - target[s]) < 1e-3 and 0 <= r.taken <= 3 * r.size
+        taken[s] += r.taken
+    assert len(found) == len(data) and all(abs(taken[s] - target[s]) <= 2 for s in order)
+    assert samples.same_rows(found, mix.mix(docs.repartition(7)).collect())
+    times = Counter(r.doc_id for r in mix.mixed(docs).collect())
+    whole = Counter(d[0] for d in data)
+    for r in found:
+        if r.size and whole[r.doc_id] == 1:
+            assert times[r.doc_id] == int(r.taken / r.size + 0.5)
+    assert mix.mixed(docs).columns == docs.columns
+    assert mix.mix(nothing).count() == mix.mixed(nothing).count() == 0
+
+
+# === fingerprints =======================================================================================
+
+
+def test_edits(spark, docs, nothing):
+    found = fingerprint.edits(docs).collect()
+    data = sorted(set(samples.rows()), key=lambda d: (d[0] is None, -(d[0] or 0)))
+    repeated = samples.rows()[3][0]
+    assert len(found) == len(samples.rows())
+    for i, d in enumerate(data):
+        text, following = d[1] or "", data[(i + 1) % len(data)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        mine = [r for r in found if r.doc_id == d[0]]
+        if d[0] == repeated:
+            continue
+        (row,) = mine
+        assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        a, b, c = fingerprint.prints([text, edited, following])
+        assert (row.fingerprint, row.edited_fingerprint) == (a, b)
+        assert (row.near_edited, row.near_next) == (fingerprint.likeness(a, b), fingerprint.likeness(a, c))
+    assert fingerprint.edits(nothing).count() == 0
+    assert fingerprint.edits(docs.where("doc_id = 5")).first().near_next == 1.0
+
+
+def test_fingerprints_feel_edits():
+    rng = random.Random(8)
+    text, other = samples.sentence(rng, 900), samples.sentence(rng, 900)
+    small = text[:2000] + "abc" + text[2004:]
+    a, b, c, d = fingerprint.prints([text, small, other, text[: len(text) // 2] + other[len(text) // 2 :]])
+    assert fingerprint.likeness(a, a) == 1.0 and fingerprint.likeness(a, b) > 0.5
+    assert fingerprint.likeness(a, c) < 0.25 and 0.4 < fingerprint.likeness(a, d) < 0.75
+    many = fingerprint.prints([text] * 3 + [other[:n] for n in range(0, 200)])
+    assert many[0] == many[2] == a and many[3:] == [fingerprint.prints([other[:n]])[0] for n in range(0, 200)]
+
+
+def test_near_texts(spark):
+    rng = random.Random(8)
+    text = samples.sentence(rng, 700)
+    texts = [text, text, text[:-9] + "different", samples.sentence(rng, 700), "", None]
+    data = [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
+    found = {r.doc_id: r.component_id for r in fingerprint.near_texts(fingerprint.fingerprints(samples.frame(spark, data))).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5}
+
+
+# === secrets ============================================================================================
+
+
+def test_secrets(spark, nothing):
+    rng = random.Random(11)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    upper = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n))
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    data, wanted = [], {}
+    for i in range(300):
+        before, after = samples.sentence(rng, 4), samples.sentence(rng, 3)
+        secret = i % 3 != 2
+        upper_20 = f"AKIA{upper(15)}7"
+        shown = (f"password={hexes(18)}", f'token = "{hexes(40)}"', upper_20)[i % 9 // 3] if secret else (
+            digits(16), f"mail.{digits(2)}@mail.example.com", f"{digits(3)}.{digits(3)}.{digits(3)}.{digits(3)}")[i % 9 // 3]
+        data.append((i, f"{before} {shown} {after}", "", "", 0, "", 0, 0.0, "", ""))
+        wanted[i] = secret
+    data += [(900, None, "", "", 0, "", 0, 0.0, "", ""), (901, "", "", "", 0, "", 0, 0.0, "", "")]
+    docs = samples.frame(spark, data)
+    found = secrets.scan(docs).collect()
+    assert {r.doc_id: r.secret for r in found} == wanted and len(found) == 300
+    # Learned from a labelled half, held against the other half.
+    truth = secrets.findings(docs).selectExpr("*", "case when doc_id % 3 = 2 then 0.0 else 1.0 end as label")
+    again = secrets.scan(docs.where("doc_id % 2 = 0"), truth.where("doc_id % 2 = 1")).collect()
+    assert all(r.secret == wanted[r.doc_id] for r in again) and len(again) == 150
+    assert secrets.scan(nothing).count() == 0
+    alone = secrets.scan(docs.where("doc_id = 0")).collect()
+    assert [r.secret for r in alone] == [True]
+
+
+# === token files ========================================================================================
+
+
+@pytest.mark.parametrize("kind, block", [("byte", 65_536), ("bit", 100), ("byte", 7)])
+def test_token_file(spark, docs, kind, block):
+    root = planes.new_folder(spark)
+    data = [d for d in samples.rows() if len(d[1] or "") < 60_000 or kind == "byte" and block > 7]
+    planes.write(samples.frame(spark, data), root, planes.read_tokenizer(WORDS), end=1, planes=kind, block=block)
+    tokenizer = Tokenizer.from_file(WORDS)
+    wanted, at = [], 0
+    for d in sorted(data, key=lambda d: (d[0] is not None, d[0] or 0)):
+        ids = np.array(tokenizer.encode(d[1] or "", add_special_tokens=False).ids + [1], "<u4")
+        wanted.append((d[0], at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert samples.same_rows([tuple(r) for r in planes.digests(spark, root, kind).collect()], wanted)
+    index = spark.read.parquet(f"{root}/index").orderBy("start").collect()
+    assert index[0].start == 0 and sum(r.n_ids for r in index) == at
+    assert all(a.start + a.n_ids == b.start for a, b in zip(index, index[1:]))
+
+
+def test_empty_token_file(spark, nothing):
+    root = planes.new_folder(spark)
+    planes.write(nothing, root, planes.read_tokenizer(WORDS), end=1)
+    assert planes.digests(spark, root).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+def test_planes(kind):
+    apart, together = planes.KINDS[kind]
+    for n in (0, 1, 7, 8, 1000):
+        ids = np.random.default_rng(n).integers(0, 2**32, n, dtype=np.uint64).astype("<u4")
+        assert (together(apart(ids), n) == ids).all()
+
+
+# === licences ===========================================================================================
+
+
+def plain_scan(data, least):
+    def grams(text):
+        words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789\n" else " " for c in samples.lowered(text)).split()
+        return set(zip(words, words[1:]))
+
+    out = []
+    known = [(n, grams(t)) for n, t in licenses.TEMPLATES]
+    for d in data:
+        for place, line in enumerate((d[1] or "").split("\n")):
+            scores = [(-2 * len(grams(line) & t) / (len(grams(line)) + len(t)), n) for n, t in known]
+            if min(scores)[0] <= -least:
+                out.append((d[0], "line", place, min(scores)[1], round(-min(scores)[0], 6)))
+    return out
+
+
+def test_licenses(spark, docs, nothing):
+    mit = dict((n, t) for n, t in licenses.TEMPLATES if len(t) > 300)["MIT"]
+    texts = ["Some prose.\nReleased under the MIT License.", "LICENSED under the apache license version 2.0 now", mit,
+             f"A preface of some words.\n\n{mit}\n\nThe end.", "under the license", None, "", "mit"]
+    data = [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
+    found = [tuple(r) for r in licenses.scan(samples.frame(spark, data)).collect()]
+    assert samples.same_rows([r for r in found if r[1] == "line"], plain_scan(data[:2], 0.8))
+    assert {(r[0], r[3]) for r in found if r[1] == "paragraph"} == {(2, "MIT"), (3, "MIT")}
+    assert (0, "line", 1, "MIT", 1.0) in found
+    assert licenses.scan(docs).count() == licenses.scan(nothing).count() == 0
