@@ -779,7 +779,7 @@ def eval_table(spark, folder):
 
 @query("eval_warm_up", f"""with {v.EVALUATION_SQL} select {PERF_SQL}, 'Ativo' as "Status" from perf
   union all select 'C', m, '30d', 0, null, null, null, case when m = 'Score Top' then 0.0 end, 'Aquecendo'
-  from (values ('Score Top'), ('Ridge'), ('Random Forest'), ('Extra Trees'), ('XGBoost'), ('LightGBM'), ('CatBoost'), ('Ensemble')) t(m)""")
+  from (values ('Score Top'), ('Ridge'), ('Random Forest'), ('Unresampled Forest'), ('Boosted Trees, depth 4'), ('Boosted Trees, large leaves'), ('Boosted Trees, all columns'), ('Ensemble')) t(m)""")
 def eval_warm_up(spark, folder):
     return performance(spark, folder, ["A", "B", "C"])
 

@@ -14,6 +14,7 @@ from crivo.columns import to_number
 # Texts that are no ticker (compared in upper case).
 BLANK_TICKER = ("", "NAN", "NONE", "NULL", "<NA>")
 
+EXPONENT = r"^[+-]?[0-9]+(\.[0-9]+)?[eE][+-]?[0-9]+$"
 ZERO_WIDTH_SPACE = "\u200b"
 
 
@@ -52,9 +53,12 @@ def any_number(value: Column) -> Column:
 
     Brackets make it negative. When both marks occur the later one is the decimal mark; a lone comma is
     decimal; of several dots only the last is decimal. Every step is a rewrite of the text before it, so
-    the expression stays small; texts without digits end as null.
+    the expression stays small; texts without digits end as null. A number with an exponent, as doubles and JSON
+    numbers write themselves, is that number.
     """
-    text = F.trim(value.cast("string"))
+    written = F.trim(value.cast("string"))
+    exact = F.regexp_extract(written, EXPONENT, 0).try_cast("double")
+    text = written
     text = F.regexp_replace(text, r"^\(([^0-9-]*)-(.*)\)$", "$1$2")
     text = F.regexp_replace(text, r"^\([^0-9+.,]*\+?(.*)\)$", "-$1")
     text = F.regexp_replace(text, r"[^0-9,.+\-]", "")
@@ -62,7 +66,7 @@ def any_number(value: Column) -> Column:
     marks = F.regexp_replace(marks, r",(?=.*\.[^,]*$)", "")
     marks = F.replace(marks, F.lit(","), F.lit("."))
     dots_only = F.regexp_replace(text, r"\.(?=.*\.)", "")
-    return to_number(F.when(F.contains(text, F.lit(",")), marks).otherwise(dots_only))
+    return F.coalesce(exact, to_number(F.when(F.contains(text, F.lit(",")), marks).otherwise(dots_only)))
 
 
 def ticker(value: Column) -> Column:

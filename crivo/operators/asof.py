@@ -68,8 +68,9 @@ def asof(
     return answered.select(
         *[col(k) for k in keys],
         *[F.col("_row")[c].alias(c) for c in extra],
-        F.col(_FOUND)["date"].alias("found_date"),
-        F.col(_FOUND)["value"].alias("found_value"),
+        # A question without a date has no answer, wherever nulls sort.
+        F.when(F.col("_at").isNotNull(), F.col(_FOUND)["date"]).alias("found_date"),
+        F.when(F.col("_at").isNotNull(), F.col(_FOUND)["value"]).alias("found_value"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crivo.columns import col, filled, number, to_number
 from crivo.functions import text
-from crivo.operators.order import keep_last
+from crivo.operators.order import keep_last_row
 from crivo.spec import AssetSpec, CleanRoles
 
 # Footer word of the stock table, and name parts that mark a numeric column.
@@ -77,6 +77,7 @@ def numericise(df: DataFrame, id: str, date: str, price: str, share: float = 0.8
     """Types a table of texts: columns with a numeric name, or of which at least `share` of the filled
     cells parse, become double; the rest text. Keeps rows with id, date and price, the last per (date, id)
     by `_seq`. Looks at the data once, because the result's schema depends on it."""
+    kinds = dict(df.dtypes)
     candidates = [c for c in df.columns if c not in {id, date, price, "_seq", *ALWAYS_TEXT}]
     numeric = {c for c in candidates if any(part in c.lower() for part in NUMERIC_NAMES)}
     unsure = [c for c in candidates if c not in numeric]
@@ -92,13 +93,12 @@ def numericise(df: DataFrame, id: str, date: str, price: str, share: float = 0.8
         if name == date:
             return text.iso_date(col(name)).alias(name)
         if name == price or name in numeric:
-            return text.any_number(col(name)).alias(name)
+            parsed = text.any_number(col(name)) if kinds[name] == "string" else number(df, name)
+            return parsed.alias(name)
         return col(name).cast("string").alias(name)
 
     typed = filled(df.select(*[cell(c) for c in df.columns]), [id, date, price])
-    if "_seq" not in typed.columns:
-        return typed.dropDuplicates([date, id])
-    return keep_last(typed, [date, id])
+    return keep_last_row(typed, [date, id])
 
 
 def feature_columns(df: DataFrame, spec: AssetSpec, target: str, share: float = 0.80) -> list[str]:

@@ -45,5 +45,5 @@ def dataset(
     """Training set of one class: prepared history, features, targets. One shuffle by ticker serves the
     lags, the as-of pass and the fold."""
     require(df, [spec.id, spec.date, spec.price], f"{spec.kind} history")
-    base = features(prepared(df, spec), spec, by)
+    base = features(prepared(df, spec, by), spec, by)
     return forward_returns(base, [*by, spec.id], spec.date, spec.price, horizons)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from crivo.columns import attach, col, filled, first_present, number
 from crivo.functions.text import iso_date, ticker
-from crivo.operators.order import keep_last
+from crivo.operators.order import keep_last, keep_last_row
 from crivo.spec import AssetSpec
 
 # Names a price or a date may have in stored lists.
@@ -74,9 +74,9 @@ def dates_of(df: DataFrame, date: str) -> DataFrame:
     )
 
 
-def prepared(df: DataFrame, spec: AssetSpec) -> DataFrame:
+def prepared(df: DataFrame, spec: AssetSpec, by: Sequence[str] = ()) -> DataFrame:
     """History ready for time operators: normalised ticker, date and price, none of them missing, and one
-    row per (ticker, date), the last by `_seq`. From here on a ticker has at most one row per day, which
+    row per (`by`, ticker, date), the last by `_seq`. From here on a ticker has at most one row per day, which
     bounds every per-ticker window by the length of the calendar."""
     typed = filled(df.select(
         *[
@@ -88,9 +88,7 @@ def prepared(df: DataFrame, spec: AssetSpec) -> DataFrame:
             for c in df.columns
         ]
     ), [spec.id, spec.date, spec.price])
-    if "_seq" not in typed.columns:
-        typed = typed.withColumn("_seq", F.lit(0))
-    return keep_last(typed, [spec.id, spec.date]).drop("_seq")
+    return keep_last_row(typed, [*by, spec.id, spec.date]).drop("_seq")
 
 
 def portfolio_rows(top: DataFrame, spec: AssetSpec, date: Column, place: str = "Posicao") -> DataFrame:

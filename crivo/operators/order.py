@@ -212,6 +212,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: str | Sequence[str] = "
     return _keep(df, keys, [col(o).desc() for o in _names(order)])
 
 
+def keep_last_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the latest by `_seq`; rows without one, or that share one, are told apart by what they hold, so
+    that reruns keep the same row."""
+    kinds = {n: t for n, t in df.dtypes if not t.startswith("map") and "map<" not in t}
+    first = ["_seq"] if "_seq" in kinds else []
+    return keep_last(df, keys, [*first, *[n for n in kinds if n not in {*keys, *first}]] or list(keys))
+
+
 def _names(order: str | Sequence[str]) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
@@ -226,6 +234,6 @@ def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
 
 
 __all__ = [
-    "attach", "keep_first", "keep_last", "percentiles", "percentiles_long", "quantiles", "top_n",
+    "attach", "keep_first", "keep_last", "keep_last_row", "percentiles", "percentiles_long", "quantiles", "top_n",
     "value_counts", "with_sequence",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from crivo.columns import attach, col, number
 from crivo.functions.scalars import exportable, trend
 from crivo.functions.text import ticker
-from crivo.operators.order import top_n
+from crivo.operators.order import keep_last_row, top_n
 from crivo.spec import BASELINE, AssetSpec
 
 # Report histograms, (upper edges after the lowest edge, labels).
@@ -38,7 +38,8 @@ def trends(today: DataFrame, previous: DataFrame, id: str, names: Sequence[str],
     shown = [n for n in names if n in today.columns]
     known = [n for n in shown if n in previous.columns]
     keys = [*by, id]
-    before = previous.select(*[col(k) for k in keys], *[col(n).alias(f"_prev_{n}") for n in known])
+    last = keep_last_row(previous, keys)  # a repeated record must not repeat today's row
+    before = last.select(*[col(k) for k in keys], *[col(n).alias(f"_prev_{n}") for n in known])
     joined = today.join(before, keys, "left")
     labels = [
         trend(col(n), col(f"_prev_{n}") if n in known else F.lit(None).cast("double")).alias(f"{n}_tendencia")
@@ -66,7 +67,8 @@ def kpis(universe: DataFrame, in_top: Column, names: Sequence[str], by: Sequence
 def recurrence(portfolio: DataFrame, top: int | None = None) -> DataFrame:
     """Per class and ticker of a portfolio history: appearances, mean score, best position, last date, and
     its place in the class (`ordem`) by these."""
-    named = portfolio.withColumn("Ticker", ticker(F.col("Ticker"))).where(F.col("Ticker").isNotNull())
+    named = portfolio.withColumns({"Ticker": ticker(F.col("Ticker")), "Tipo": F.upper(F.trim("Tipo"))})
+    named = named.where(F.col("Ticker").isNotNull())
     counted = named.groupBy("Tipo", "Ticker").agg(
         F.count(F.lit(1)).alias("aparicoes"),
         F.avg("Score").alias("score_medio"),

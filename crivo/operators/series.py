@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from crivo.columns import attach, col, rounded
 from crivo.operators.asof import asof
-from crivo.operators.order import keep_last
 
 
 def compound(df: DataFrame, by: Sequence[str], date: str = "date", rate_pct: str = "value") -> DataFrame:
@@ -61,7 +60,8 @@ def rebase_from(
     points = attach(filled, facts, by).where((col(date) >= F.col("start")) & (F.col("_base") != 0)).select(
         *keys, col(date).alias("date"), rounded(col(value) / F.col("_base") * 100, digits).alias("value")
     )
-    opening = facts.where(
+    # Without a value or without a start there is nothing to open with.
+    opening = facts.where(F.col("_base").isNotNull() & F.col("start").isNotNull()).where(
         F.col("_next").isNull() | ((F.col("_next") > F.col("start")) & (F.col("_base") != 0))
     ).select(*keys, F.col("start").alias("date"), F.lit(100.0).alias("value"))
     return points.unionByName(opening)
@@ -116,7 +116,7 @@ def portfolio_index(
     )
     opening = portfolio.groupBy(*[col(b) for b in by]).agg(F.min(col(date)).alias("date")).withColumn(
         "value", F.lit(100.0)
-    )
+    ).where(F.col("date").isNotNull())
     return opening.unionByName(chained)
 
 
@@ -204,10 +204,3 @@ def backtest_summary(portfolio: DataFrame, periods: DataFrame, names: Sequence[s
             for n in names
         ],
     )
-
-
-def deduplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, the last by `_seq` where the table has it."""
-    if "_seq" not in df.columns:
-        return df.dropDuplicates(list(keys))
-    return keep_last(df, keys)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crivo.operators import quality
 from crivo.operators.history import union_all
@@ -19,7 +20,14 @@ def manifest(spark: SparkSession, root: str, specs: Sequence[AssetSpec] = CLASSE
     parts = []
     for table in [t for s in specs for t in (universe_table(s), list_table(s))]:
         if lake.exists(spark, f"{root}/{table}"):
-            parts.append(lake.manifest_of(lake.read_days(spark, root, table), lake.DAY, table))
+            filled = lake.manifest_of(lake.read_days(spark, root, table), lake.DAY, table)
+            # A day stored without rows is there all the same.
+            listed = lake.list_days(spark, root, table)
+            parts.append(
+                listed.join(filled, "date", "left").select(
+                    "date", F.lit(table).alias("table"), F.coalesce("rows", F.lit(0)).alias("rows"), "columns", "fingerprint"
+                )
+            )
     return union_all(*parts) if parts else None
 
 

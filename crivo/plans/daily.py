@@ -39,7 +39,8 @@ def screened_day(
 ) -> tuple[DataFrame, DataFrame]:
     """(list with positions, scored universe with statuses) of one day's raw table. Whatever the roles leave as
     text in a numeric column of the class is read as a plain number."""
-    landed = raw if "_seq" in raw.columns else with_sequence(raw)
+    # Stored first: scores are joined back on `_seq`, which must be the same number whenever it is read.
+    landed = cut(raw if "_seq" in raw.columns else with_sequence(raw))
     typed = clean(landed, roles)
     numbers = [spec.price, *spec.required, *[f.column for f in spec.factors]]
     typed = as_features(typed, [n for n in numbers if n in typed.columns])

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crivo.columns import col
+from crivo.functions.text import ticker
 from crivo.operators import confidence, evaluate, report, series
 from crivo.operators.history import before_day, dates_of
-from crivo.operators.order import keep_last
+from crivo.operators.order import keep_last_row
 from crivo.plans.daily import list_table, universe_table
 from crivo.plans.rebuild import Places, stored_days
 from crivo.sources import lake
@@ -57,9 +58,8 @@ def recurrence_section(
     universe = stored_days(spark, root, universe_table(spec), "_day")
     if universe is None:
         return counted
-    if "_seq" not in universe.columns:
-        universe = universe.withColumn("_seq", F.lit(0))
-    today = keep_last(universe.where(F.col("_day") == F.lit(day)), [spec.id]).withColumnRenamed(spec.id, "Ticker")
+    named = universe.where(F.col("_day") == F.lit(day)).withColumn(spec.id, ticker(col(spec.id)))
+    today = keep_last_row(named, [spec.id]).withColumnRenamed(spec.id, "Ticker")
     fields = {
         n: c
         for n, c in {"nome": spec.name, "preco_atual": spec.price, "dy_atual": spec.dy, "multiplo_atual": spec.multiple}.items()

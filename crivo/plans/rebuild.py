@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from crivo.columns import col
 from crivo.operators import evaluate, features, models
 from crivo.operators.history import portfolio_history, portfolio_rows, union_all
-from crivo.operators.order import keep_last
+from crivo.operators.order import keep_last_row
 from crivo.plans.daily import PORTFOLIO_TABLE, list_table, universe_table
 from crivo.sources import lake
 from crivo.spec import FUNDS, HORIZONS, STOCKS, AssetSpec
@@ -62,9 +62,7 @@ def history_of(spark: SparkSession, root: str, spec: AssetSpec) -> DataFrame | N
     rows = stored_days(spark, root, universe_table(spec), spec.date)
     if rows is None:
         return None
-    if "_seq" not in rows.columns:
-        rows = rows.withColumn("_seq", F.lit(0))
-    return keep_last(rows, [spec.date, spec.id]).drop("_seq")
+    return keep_last_row(rows, [spec.date, spec.id]).drop("_seq")
 
 
 def portfolio_of(spark: SparkSession, root: str, specs: Sequence[AssetSpec] = CLASSES) -> DataFrame | None:

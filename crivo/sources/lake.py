@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable
 from datetime import date as Date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,14 +19,16 @@ log = logging.getLogger(__name__)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str = "") -> DataFrame:
-    """A parquet table, or an empty one with the given schema if there is none or its files cannot be read."""
+    """A parquet table, or an empty one with the given schema if there is none. Whatever else goes wrong is raised: an
+    unreadable table is not an empty one, and its successor would replace it."""
     try:
         found = spark.read.parquet(path)
-        return conform(found, schema) if schema else found
-    except (PySparkException, Py4JJavaError) as error:
-        log.warning("cannot read %s: %s", path, str(error).splitlines()[0])
-        empty = T.StructType([]) if not schema else schema
-        return spark.createDataFrame([], empty)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no table at %s", path)
+        return spark.createDataFrame([], schema or T.StructType([]))
+    return conform(found, schema) if schema else found
 
 
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -90,11 +92,20 @@ def read_days(
     return df.withColumn(date, F.col(DAY)) if date else df
 
 
+def days_of(spark: SparkSession, root: str, table: str) -> list[Date]:
+    """Days that a table has a folder for, oldest first, from the file system's listing; no data is read. A day that was
+    stored without rows is one of them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(Date.fromisoformat(n.removeprefix(f"{DAY}=")) for n in names if re.fullmatch(rf"{DAY}=\d{{4}}-\d\d-\d\d", n))
+
+
 def list_days(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Dates that a table has, oldest first."""
-    return (
-        read_days(spark, root, table).select(F.col(DAY).alias("date")).distinct().orderBy("date")
-    )
+    return spark.createDataFrame([(d,) for d in days_of(spark, root, table)], "date date").orderBy("date")
 
 
 def manifest_of(df: DataFrame, date: str, table: str) -> DataFrame:

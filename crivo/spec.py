@@ -201,6 +201,8 @@ def stock_rules(limits: Limits = STOCK_LIMITS) -> tuple[list[Rule], list[Quartil
     return fixed, quartile
 
 
+# Horizons in days, and the score columns of the stored schema. The names say which model ran: what Spark
+# trains in the place of outside libraries is named for itself.
 HORIZONS = (7, 30, 60, 90)
 
 # Model score column -> model name, in the order in which models are shown.
@@ -208,10 +210,10 @@ MODELS = {
     "score_top": "Score Top",
     "score_ridge": "Ridge",
     "score_random_forest": "Random Forest",
-    "score_extra_trees": "Extra Trees",
-    "score_xgboost": "XGBoost",
-    "score_lightgbm": "LightGBM",
-    "score_catboost": "CatBoost",
+    "score_extra_trees": "Unresampled Forest",
+    "score_xgboost": "Boosted Trees, depth 4",
+    "score_lightgbm": "Boosted Trees, large leaves",
+    "score_catboost": "Boosted Trees, all columns",
     "score_ensemble": "Ensemble",
 }
 BASELINE = "Score Top"

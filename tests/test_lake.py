@@ -1,13 +1,14 @@
 import datetime
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from crivo.operators import models, quality
 from crivo.plans import checks, daily, export, rebuild
 from crivo.sources import lake, landed
-from crivo.spec import FUNDS, STOCKS, Limits
+from crivo.spec import FUND_ROLES, FUNDS, STOCKS, Limits, fund_rules
 from tests.test_screen import funds, stocks
 
 DAY = datetime.date
@@ -46,7 +47,8 @@ def test_days_are_replaced_dynamically(spark, tmp_path):
 def test_reading_nothing_gives_an_empty_table(spark, tmp_path):
     df = lake.read_table(spark, str(tmp_path / "absent"), "a int")
     (tmp_path / "broken.parquet").write_text("no parquet")
-    assert lake.read_table(spark, str(tmp_path / "broken.parquet"), "a int").count() == 0
+    with pytest.raises(Exception, match="(?i)parquet"):
+        lake.read_table(spark, str(tmp_path / "broken.parquet"), "a int").count()
     assert df.columns == ["a"] and df.count() == 0 and not lake.exists(spark, str(tmp_path / "absent"))
 
 
@@ -173,3 +175,27 @@ def test_landed_files(spark, tmp_path):
     )
     got = landed.quotes(landed.texts(spark, str(tmp_path / "q.json")), "text").collect()
     assert [tuple(r) for r in got] == [("USD/BRL", 5.1, -0.2, "now")]
+
+
+def test_every_row_of_a_shuffled_raw_table_keeps_its_own_score(spark):
+    table = funds(60)
+    table[FUNDS.price] = 10.0
+    raw = spark.createDataFrame(pd.concat([table, table])).dropDuplicates().repartition(5)
+    _, universe = daily.screened_day(raw, FUNDS, FUND_ROLES, fund_rules(Limits(0.0, 0, 0, 5)), 5)
+    got = {r.FUNDOS: r.Score for r in universe.collect()}
+    share = 0.0
+    for f in FUNDS.factors:
+        place = table[f.column].rank(pct=True) * 100
+        share = share + f.weight * (place if f.best == "max" else 100 - place)
+    assert got == pytest.approx(dict(zip(table["FUNDOS"], share.round(1))), abs=0.051)
+
+
+def test_a_day_without_rows_is_no_missing_table(spark, tmp_path):
+    root = str(tmp_path)
+    day = DAY(2026, 1, 1)
+    for table in ("fii_universe", "fii_top", "acao_universe", "acao_top"):
+        rows = spark.createDataFrame([("A", 1)], "k string, v int")
+        lake.write_day(rows, root, table, DAY(2025, 12, 31))
+        lake.write_day(rows.where("false") if table.startswith("acao") else rows, root, table, day)
+    found = {r.name: r.status for r in checks.quality_report(spark, root).collect()}
+    assert found["snapshot_2026-01-01_files"] == "ok" == found["snapshot_2025-12-31_files"]

@@ -84,17 +84,17 @@ def test_no_confidence_without_windows(spark):
 
 def test_confidence_with_windows(spark):
     table = confidence.with_confidence(
-        perf(spark, ("ACAO", "XGBoost", 8, 0.61, 0.18, 0.012), ("ACAO", "Score Top", 2, 0.4, None, 0.0), ("ACAO", "Ridge", 8, 0.61, 0.18, 0.012))
+        perf(spark, ("ACAO", "Boosted Trees, depth 4", 8, 0.61, 0.18, 0.012), ("ACAO", "Score Top", 2, 0.4, None, 0.0), ("ACAO", "Ridge", 8, 0.61, 0.18, 0.012))
     )
     rows = {r.Modelo: r for r in table.collect()}
     # 40 for coverage, 25 * 0.11 / 0.15, 25 * 0.6, 10 * 0.4
-    assert rows["XGBoost"].Confiabilidade_Pct == pytest.approx(77.33) and rows["XGBoost"].Nivel_Confiabilidade == "Alta"
+    assert rows["Boosted Trees, depth 4"].Confiabilidade_Pct == pytest.approx(77.33) and rows["Boosted Trees, depth 4"].Nivel_Confiabilidade == "Alta"
     assert rows["Score Top"].Confiabilidade_Pct == pytest.approx(21.0)  # 40 * 0.4 + 10 * 0.5
-    assert rows["XGBoost"].Componentes_Confiabilidade.hit_rate == pytest.approx(73.33)
+    assert rows["Boosted Trees, depth 4"].Componentes_Confiabilidade.hit_rate == pytest.approx(73.33)
     out = confidence.summary(table, dates(spark, "2026-06-01", "2026-07-15")).first()
     assert out.status == "Ativo" and out.modelo_mais_confiavel.Modelo == "Ridge"  # equal: the earlier listed
     assert out.maturidade_dados_pct == 100.0 and out.nivel_confiabilidade == "Alta"
-    assert [m.Modelo for m in out.por_modelo] == ["Ridge", "XGBoost", "Score Top"]
+    assert [m.Modelo for m in out.por_modelo] == ["Boosted Trees, depth 4", "Ridge", "Score Top"]
 
 
 def test_enriched_rows(spark):
@@ -105,7 +105,7 @@ def test_enriched_rows(spark):
 
 def test_ensemble_and_leader(spark):
     d = DAY(2026, 1, 1)
-    rows = [(d, "FII", "A", "Score Top", 99.0, None), (d, "FII", "A", "Ridge", 40.0, 0.1), (d, "FII", "A", "Random Forest", 40.0, 0.3), (d, "FII", "A", "XGBoost", None, None), (d, "FII", "B", "Ridge", None, None)]
+    rows = [(d, "FII", "A", "Score Top", 99.0, None), (d, "FII", "A", "Ridge", 40.0, 0.1), (d, "FII", "A", "Random Forest", 40.0, 0.3), (d, "FII", "A", "Boosted Trees, depth 4", None, None), (d, "FII", "B", "Ridge", None, None)]
     df = spark.createDataFrame(rows, "Data_Execucao date, Tipo string, Ticker string, Modelo string, score double, predicted_return double")
     got = {r.Ticker: r for r in evaluate.ensemble(df).collect()}
     assert (got["A"].score_ensemble, got["A"].retorno_esperado, got["A"].modelo_lider) == (40.0, pytest.approx(0.2), "Ridge")

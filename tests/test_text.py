@@ -110,3 +110,17 @@ def test_scalars(spark):
     level = spark.createDataFrame([(1, 0.0, 3), (2, 39.9, 3), (3, 40.0, 3), (4, 70.0, 3), (5, 90.0, 0)], "i int, p double, w int")
     got = [r[1] for r in level.select("i", scalars.confidence_level(F.col("p"), F.col("w"), 1)).orderBy("i").collect()]
     assert got == ["Não mensurável", "Baixa", "Média", "Alta", "Não mensurável"]
+
+
+def test_numbers_that_doubles_and_json_write_with_an_exponent(spark):
+    df = spark.createDataFrame([("9.0E7",), ("1e-3",), ("-2.5e+8",), ("5e",)], "v string").withColumn("n", text.any_number(F.col("v")))
+    assert [r.n for r in df.collect()] == [9.0e7, 1e-3, -2.5e8, 5.0]
+    typed = spark.createDataFrame([(9.0e7,)], "v double").select(text.any_number(F.col("v")).alias("n"))
+    assert typed.first().n == 9.0e7
+
+
+def test_typed_columns_are_numericised_as_they_are(spark):
+    rows = [("A", "2026-01-01", 9.0e7, 123456789.5, "1,5"), ("B", "2026-01-01", 1.0, 2.0e12, "9.0E7")]
+    df = spark.createDataFrame(rows, "id string, day string, price double, worth double, text_worth string")
+    got = {r.id: (r.price, r.worth, r.text_worth) for r in clean.numericise(df, "id", "day", "price").collect()}
+    assert got == {"A": (9.0e7, 123456789.5, 1.5), "B": (1.0, 2.0e12, 9.0e7)}

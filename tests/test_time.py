@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from crivo.operators import features, history, series
+from crivo.operators import features, history, report, series
 from crivo.operators.asof import asof, forward_returns
 from crivo.spec import FUNDS
 
@@ -163,3 +163,40 @@ def test_portfolio_rows_override(spark):
     assert bare.Preco_Entrada is None and bare.Posicao is None
 
 
+
+
+def test_nothing_in_gives_nothing_out(spark):
+    shape = "series string, start date"
+    none = spark.createDataFrame([("s", None)], shape)
+    assert points(series.rebase_from(line(spark, [(1, 2.0)]), none, ["series"])) == []
+    assert points(series.rebase_from(line(spark, [(1, 2.0)]), none.select("start"), [])) == []
+    held = spark.createDataFrame([], "t string, d date")
+    quoted = spark.createDataFrame([], "t string, d date, p double")
+    assert points(series.portfolio_index(held, quoted, [], "t", "d", "p")) == []
+
+
+def test_a_question_without_a_date_has_no_answer(spark):
+    seen = spark.createDataFrame([("a", DAY(2026, 1, 5), 1.0)], "k string, d date, v double")
+    asked = spark.createDataFrame([("a", None), ("a", DAY(2026, 1, 1))], "k string, at date")
+    for forward in (True, False):
+        got = {r["at"]: r.found_value for r in asof(asked, seen, ["k"], "at", "d", "v", forward=forward).collect()}
+        assert got == {None: None, DAY(2026, 1, 1): 1.0 if forward else None}
+
+
+def test_groups_keep_their_own_history(spark):
+    rows = [("x", "A", DAY(2026, 1, d), float(d)) for d in (1, 2)] + [("y", "A", DAY(2026, 1, d), 10.0 * d) for d in (1, 2)]
+    df = spark.createDataFrame(rows, f"g string, `{FUNDS.id}` string, `{FUNDS.date}` date, `{FUNDS.price}` double")
+    got = features.dataset(df, FUNDS, [1], by=["g"]).collect()
+    assert sorted((r.g, r[FUNDS.price], r.Preco_Anterior) for r in got) == [("x", 1.0, None), ("x", 2.0, 1.0), ("y", 10.0, None), ("y", 20.0, 10.0)]
+
+
+def test_a_repeated_earlier_record_does_not_repeat_today(spark):
+    today = spark.createDataFrame([("A", 2.0)], "t string, v double")
+    earlier = spark.createDataFrame([("A", 1.0), ("A", 3.0)], "t string, v double")
+    assert report.trends(today, earlier, "t", ["v"]).count() == 1
+
+
+def test_recurrence_counts_a_class_whatever_its_case(spark):
+    rows = [(DAY(2026, 1, 1), "fii", "A", 1.0, 1), (DAY(2026, 1, 2), "FII", "a", 2.0, 2)]
+    got = report.recurrence(spark.createDataFrame(rows, "Data_Carteira date, Tipo string, Ticker string, Score double, Posicao int"))
+    assert [(r.Tipo, r.Ticker, r.aparicoes) for r in got.collect()] == [("FII", "A", 2)]
