@@ -12,9 +12,10 @@ from crivo.functions import scalars, text
 from crivo.operators import (
     clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series,
 )
+from crivo.plans import daily
 from crivo.session import cut
 from crivo.sources import landed
-from crivo.spec import BASELINE, CleanRoles
+from crivo.spec import BASELINE, AssetSpec, CleanRoles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -272,7 +273,8 @@ def screen_quartile(spark, folder):
 
 
 def _screened(spark, folder, fixed=v.UNIVERSE_FIXED, quartiles=v.UNIVERSE_QUARTILES):
-    return screen.screen(v.universe(spark, folder), fixed, quartiles, v.UNIVERSE_ORDER, "id", place="pos", status="status")
+    stored = cut(v.universe(spark, folder))  # screening reads it three times
+    return screen.screen(stored, fixed, quartiles, v.UNIVERSE_ORDER, "id", place="pos", status="status")
 
 
 @query("screen_top", f"with {SCREENED_SQL} select id, company, sector, dy, multiple, liquidity, pos from top")
@@ -311,16 +313,32 @@ def screen_nothing_left(spark, folder):
     return _screened(spark, folder, fixed=[v.Rule("never", "equity < 0")])[1].select("id", "status")
 
 
-@query("screen_by_sector", f"""with {v.UNIVERSE_SQL}, marked as (select * from universe where multiple > 0 and dy > 0.045::double),
-  limits as (select sector, quantile_cont(multiple, 0.25) as q1, quantile_cont(dy, 0.75) as q2 from marked group by sector),
-  judged as (select m.*, multiple <= q1 and dy >= q2 as good from marked m join limits using (sector)),
+DAILY = AssetSpec(
+    kind="PART", id="id", price="price", score="score", status="status",
+    factors=v.UNIVERSE_FACTORS, required=("multiple", "dy", "liquidity", "equity", "vol"), order=v.UNIVERSE_ORDER,
+)
+
+
+@query("daily_screen", f"""with scored as ({ORACLES['composite_score']}), screened as ({ORACLES['screen_status']})
+  select id, score, status from scored join screened using (id)""")
+def daily_screen(spark, folder):
+    """The daily plan on the derived universe: stored, scored, screened."""
+    rules = v.UNIVERSE_FIXED, v.UNIVERSE_QUARTILES
+    _, audited = daily.screened_day(v.universe(spark, folder), DAILY, CleanRoles(), rules, 20)
+    return audited.select("id", "score", "status")
+
+
+@query("screen_by_sector", f"""with {v.UNIVERSE_SQL}, marked as (select * from universe where {FIXED_SQL} is null),
+  limits as (select sector, quantile_cont(multiple, 0.25) as q1, quantile_cont(dy, 0.75) as q2, quantile_cont(liquidity, 0.75) as q3,
+    quantile_cont(equity, 0.75) as q4, quantile_cont(vol, 0.75) as q5 from marked group by sector),
+  judged as (select m.*, multiple <= q1 and dy >= q2 and liquidity >= q3 and equity >= q4 and vol <= q5 as good
+    from marked m join limits using (sector)),
   eligible as (select *, bool_or(good) over (partition by sector) as any_good from judged)
   select sector, id, pos from (select *, row_number() over (partition by sector order by dy desc, multiple, liquidity desc, id) as pos
     from eligible where good or not any_good) where pos <= 20""")
 def screen_by_sector(spark, folder):
     top, _ = screen.screen(
-        v.universe(spark, folder), [v.UNIVERSE_FIXED[0], v.UNIVERSE_FIXED[2]], v.UNIVERSE_QUARTILES[:2],
-        v.UNIVERSE_ORDER, "id", by=["sector"], place="pos",
+        v.universe(spark, folder), v.UNIVERSE_FIXED, v.UNIVERSE_QUARTILES, v.UNIVERSE_ORDER, "id", by=["sector"], place="pos"
     )
     return top.select("sector", "id", "pos")
 
@@ -538,7 +556,7 @@ def rebase_first(spark, folder):
     return series.rebase(v.series(spark, folder), ["series"])
 
 
-REBASE_SQL = f"""{v.SERIES_SQL}, kept as (select * from series where extract(day from date) % 3 <> 1),
+REBASE_SQL = f"""{v.SERIES_SQL}, kept as (select * from series),
   starts as (select series, min(date) + 9 as start from kept group by series),
   bases as (select s.series, s.start, b.value as base from starts s
     asof left join kept b on s.series = b.series and b.date <= s.start)"""
@@ -549,7 +567,7 @@ REBASE_SQL = f"""{v.SERIES_SQL}, kept as (select * from series where extract(day
   union all
   select b.series, b.start, 100.0 from bases b where not exists (select 1 from kept k where k.series = b.series and k.date = b.start)""")
 def rebase_from_date(spark, folder):
-    kept = v.series(spark, folder).where(F.dayofmonth("date") % 3 != 1)
+    kept = v.series(spark, folder)
     starts = kept.groupBy("series").agg(F.date_add(F.min("date"), 9).alias("start"))
     return series.rebase_from(kept, starts, ["series"])
 
@@ -598,12 +616,12 @@ def portfolio_vs_series(spark, folder):
 
 
 WINDOW_SQL = f"""{v.PORTFOLIO_SQL},
-  picks as (select * from portfolio where cls = 'A' and extract(month from d) in (3, 9)),
+  picks as (select * from portfolio),
   dates as (select distinct d from picks),
   periods as (select d as b, coalesce(lead(d) over (order by d), date '2001-11-01') as e from dates qualify e > b),
   held as (select id, b, e from picks join periods on d = b),
   closes as (select h.id, b, e, arg_min(price, d) as v0, arg_max(price, d) as v1, count(*) as n
-    from held h join history x on x.id = h.id and x.cls = 'A' and x.d between b and e group by all),
+    from held h join history x on x.id = h.id and x.d between b and e group by all),
   own as (select h.b, h.e, count(*) as holdings, avg(case when n >= 2 then v1 / v0 - 1 end) as ret
     from held h left join closes c on h.id = c.id and h.b = c.b and h.e = c.e group by all),
   market as (select cls, d, cast(sum(cast(round_even(volume * 100, 0) as bigint)) as double) / 100 as price from history group by all),
@@ -617,13 +635,14 @@ BENCHMARKS = ["market_a", "market_b"]
 
 
 def _backtest(spark, folder):
-    picks = cut(portfolio(spark, folder).where((F.col("cls") == "A") & F.month("d").isin(3, 9)))
-    past = v.history(spark, folder)
+    """Both classes as one portfolio (an id belongs to one class), rebalanced at every date."""
+    picks = cut(portfolio(spark, folder))
+    past = cut(v.history(spark, folder))
     market = past.groupBy(F.concat(F.lit("market_"), F.lower("cls")).alias("series"), "d").agg(
         (F.sum(F.rint(F.col("volume") * 100).cast("bigint")) / 100).alias("price")
     )
     periods = series.backtest_periods(
-        picks, past.where(F.col("cls") == "A"), market, BENCHMARKS, "id", "d", "price",
+        picks, past, market, BENCHMARKS, "id", "d", "price",
         F.lit("2001-11-01").cast("date"),
     )
     return picks, periods
@@ -660,9 +679,10 @@ def backtest_summary(spark, folder):
     return out.select(*[r6(F.col(c)).alias(c) if c in names else F.col(c) for c in out.columns])
 
 
-@query("portfolio_snapshots", f"with {v.PORTFOLIO_SQL} select d, cls, count(distinct id) as n, min(id) as first_id from portfolio group by d, cls")
+@query("portfolio_snapshots", f"with {v.PORTFOLIO_SQL} select d, cls, count(distinct id) as n, min(cast(id as varchar)) as first_id from portfolio group by d, cls")
 def portfolio_snapshots(spark, folder):
-    return portfolio(spark, folder).groupBy("d", "cls").agg(F.count_distinct("id").alias("n"), F.min("id").alias("first_id"))
+    found = history.holdings(portfolio(spark, folder), "d", "id", ["cls"])
+    return found.select("d", "cls", F.col("holdings").alias("n"), F.element_at("tickers", 1).alias("first_id"))
 
 
 # === models and their evaluation ========================================================================
@@ -836,18 +856,18 @@ def performance_listing(spark, folder):
     return table.select("Tipo", "Modelo", F.row_number().over(within_class).alias("place"))
 
 
-# --- trained models: suppliers of class A --------------------------------------------------------------
+# --- trained models: suppliers of both classes ---------------------------------------------------------
 
 RIDGE_FEATURES = ["dy", "Retorno_Desde_Snapshot_Anterior"]
 
 
 def training_set(spark, folder):
-    return cut(features.dataset(v.history(spark, folder).where("cls = 'A'"), v.HISTORY, horizons=[30]))
+    return cut(features.dataset(v.history(spark, folder), v.HISTORY, horizons=[30], by=["cls"]))
 
 
 @query("ridge_predictions", f"""with {v.HISTORY_SQL},
   rows as (select q.d, q.id, q.dy as x1, q.price / lag(q.price) over (partition by q.id order by q.d) - 1 as x2, f.price / q.price - 1 as y
-    from history q asof left join history f on q.cls = f.cls and q.id = f.id and f.d >= q.d + 30 where q.cls = 'A'),
+    from history q asof left join history f on q.cls = f.cls and q.id = f.id and f.d >= q.d + 30),
   past as (select * from rows where d < (select max(d) from rows) and y is not null),
   med as (select quantile_cont(x1, 0.5) as m1, quantile_cont(x2, 0.5) as m2 from past),
   filled as (select coalesce(x1, m1) as x1, coalesce(x2, m2) as x2, y from past cross join med),
@@ -1015,11 +1035,11 @@ def duplicate_keys(spark, folder):
     return quality.duplicate_count(v.table(spark, folder, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
-@query("list_sizes", f"""with {v.PORTFOLIO_SQL}, kept as (select * from portfolio where pos <= 10 + month(d))
-  select d as "Data_Carteira", cls as "Tipo", count(*) as size from kept group by d, cls having count(*) not between 15 and 25""")
+@query("list_sizes", f"""with {v.HISTORY_SQL}
+  select d as "Data_Carteira", cls as "Tipo", count(*) as size from history group by d, cls having count(*) not between 15 and 25""")
 def list_sizes(spark, folder):
-    kept = portfolio(spark, folder).where(F.col("pos") <= 10 + F.month("d"))
-    return quality.list_sizes(kept.withColumnsRenamed({"d": "Data_Carteira", "cls": "Tipo"}))
+    """Each month's suppliers as a list."""
+    return quality.list_sizes(v.history(spark, folder).withColumnsRenamed({"d": "Data_Carteira", "cls": "Tipo"}))
 
 
 def _checks(spark, folder):
@@ -1102,17 +1122,27 @@ def fx_quotes(spark, folder):
 
 
 @query("payload_explode", f"""with {v.PORTFOLIO_SQL}
-  select d, cast(id as varchar) as id, round(price, 6) as price, score from portfolio where cls = 'A'""")
+  select d, cls, cast(id as varchar) as id, round(price, 6) as price, score from portfolio
+  union all select d, 'large', cast(id as varchar), round(price, 6) * 10000000, score from portfolio""")
 def payload_explode(spark, folder):
-    """Daily payloads of the class A lists (at most 20 records each), read back as history rows."""
-    record = F.struct(
-        F.lit("").alias("Ativo"), F.col("id").cast("string").alias("Ticker"),
-        F.round("price", 6).alias("preco_atual"), F.col("score").alias("Score"),
-    )
-    documents = portfolio(spark, folder).where("cls = 'A'").groupBy("d").agg(F.collect_list(record).alias("fiis")).select(
-        F.to_json(F.struct(F.col("d").cast("string").alias("data"), "fiis")).alias("text")
-    )
-    return landed.payload_rows(documents, "text", "fiis", v.HISTORY, landed.FUND_NAMES).select("d", "id", "price", "score")
+    """Daily payloads of the lists of both classes (at most 20 records each) as funds, once more as stocks whose prices are too
+    large for a double to be written without an exponent, read back as history rows."""
+
+    def record(price):
+        return F.struct(
+            F.lit("").alias("Ativo"), F.concat("cls", F.lit("-"), F.col("id").cast("string")).alias("Ticker"),
+            price.alias("preco_atual"), F.col("score").alias("Score"),
+        )
+
+    small = F.round("price", 6)
+    documents = portfolio(spark, folder).groupBy("d").agg(
+        F.collect_list(record(small)).alias("fiis"), F.collect_list(record(small * 10000000)).alias("acoes")
+    ).select(F.to_json(F.struct(F.col("d").cast("string").alias("data"), "fiis", "acoes")).alias("text"))
+    funds = landed.payload_rows(documents, "text", "fiis", v.HISTORY, landed.FUND_NAMES)
+    stocks = landed.payload_rows(documents, "text", "acoes", v.HISTORY, landed.STOCK_NAMES)
+    ticker = F.split("id", "-")
+    both = funds.withColumn("cls", ticker[0]).unionByName(stocks.withColumn("cls", F.lit("large")))
+    return both.select("d", "cls", ticker[1].alias("id"), "price", "score")
 
 
 @query("conform_schema", f"""with {v.BR_TEXT_SQL}
@@ -1127,9 +1157,7 @@ def conform_schema(spark, folder):
 
 @query("event_props", """select event_id, cast(json_extract(props, '$.k') as bigint) as k from events""")
 def event_props(spark, folder):
-    return v.table(spark, folder, "events").select(
-        "event_id", F.from_json("props", "struct<k:bigint>")["k"].alias("k")
-    )
+    return landed.typed_fields(v.table(spark, folder, "events"), "props", "k bigint", ["event_id"])
 
 
 __all__ = ["ORACLES", "QUERIES"]

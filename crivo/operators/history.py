@@ -111,6 +111,14 @@ def portfolio_history(*sources: DataFrame) -> DataFrame:
     return keep_last(both, PORTFOLIO_KEYS, ["_source", "_seq"]).drop("_source", "_seq")
 
 
+def holdings(portfolio: DataFrame, date: str, id: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per (date, `by`) of a portfolio history: its distinct tickers in order, and how many they are. Rows without
+    a ticker or a date are left out. A list is as long as the day's portfolio."""
+    named = portfolio.select(col(date), *[col(b) for b in by], ticker(col(id)).alias("_id"))
+    counted = filled(named, [date, "_id"]).groupBy(col(date), *[col(b) for b in by]).agg(F.array_sort(F.collect_set("_id")).alias("tickers"))
+    return counted.withColumn("holdings", F.size("tickers"))
+
+
 def portfolio_order() -> list[Column]:
     """How a portfolio history is listed."""
     return [F.col(c).asc_nulls_last() for c in ("Data_Carteira", "Tipo", "Posicao", "Ticker")]

@@ -52,6 +52,15 @@ def close_series(df: DataFrame, date: str, close: str, by: Sequence[str] = ()) -
     ).where(F.col("value").isNotNull())
 
 
+def typed_fields(df: DataFrame, text: str, shape: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by, fields of `shape`) of JSON documents; a field that is absent or doesn't fit is null."""
+    return df.select(*[col(b) for b in by], F.from_json(col(text), f"struct<{_ddl(shape)}>").alias("_f")).select(*by, "_f.*")
+
+
+def _ddl(shape: str) -> str:
+    return ",".join(":".join(field.split()) for field in shape.split(","))
+
+
 def quotes(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows (by, pair, value, pct_change, updated_at) of JSON quote documents; entries without codes or
     numbers are skipped."""
@@ -90,5 +99,5 @@ def payload_rows(
 
 
 __all__ = [
-    "FUND_NAMES", "STOCK_NAMES", "close_series", "payload_rows", "quotes", "rate_series", "texts",
+    "FUND_NAMES", "STOCK_NAMES", "close_series", "payload_rows", "quotes", "rate_series", "texts", "typed_fields",
 ]
