@@ -19,8 +19,11 @@ ACTIVE, WARMING = "Ativo", "Aquecendo"
 MEASURES = ("Retorno_Medio_Top20", "Hit_Rate_Top20", "Spearman_IC", "Alpha_vs_Score_Top")
 
 
-def paired(predictions: DataFrame, realised: DataFrame, target: str, min_rows: int = 5) -> DataFrame:
-    """Predictions with their realised return, for the (model, date) windows that have `min_rows` of them.
+MIN_ROWS = 5
+
+
+def with_realised(predictions: DataFrame, realised: DataFrame, target: str) -> DataFrame:
+    """Predictions with their realised return, stored: everything that measures them reads them several times.
 
     `realised` has rows (date, class, ticker, target), one per key (the last by `_seq` is taken if it has
     one). Predictions without score and returns that are missing are left out before counting.
@@ -31,13 +34,19 @@ def paired(predictions: DataFrame, realised: DataFrame, target: str, min_rows: i
     both = predictions.where(F.col("score").isNotNull()).join(
         real.select(*KEYS, col(target).alias("realised")), list(KEYS)
     )
+    return cut(both.select(*KEYS, "Modelo", "score", "realised"))
+
+
+def paired(predictions: DataFrame, realised: DataFrame, target: str, min_rows: int = MIN_ROWS) -> DataFrame:
+    """The pairs of the (model, date) windows that have `min_rows` of them."""
+    both = with_realised(predictions, realised, target)
     sizes = both.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
-    return both.join(sizes.drop("_rows"), list(GROUP), "left_semi").select(*KEYS, "Modelo", "score", "realised")
+    return both.join(sizes.drop("_rows"), list(GROUP), "left_semi")
 
 
-def window_measures(pairs: DataFrame, n: int = 20) -> DataFrame:
-    """Per (class, model, date): mean return and hit rate of the `n` best scores (ties by ticker), and the
-    rank correlation of score and return over all rows (null when either is constant)."""
+def window_measures(pairs: DataFrame, n: int = 20, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Per (class, model, date) with `min_rows` pairs: mean return and hit rate of the `n` best scores (ties by ticker),
+    and the rank correlation of score and return over all rows (null when either is constant)."""
     best = top_n(pairs, GROUP, [F.col("score").desc(), F.col("Ticker").asc()], n, "_place")
     tops = best.groupBy(*GROUP).agg(
         F.avg("realised").alias("top_return"),
@@ -48,8 +57,9 @@ def window_measures(pairs: DataFrame, n: int = 20) -> DataFrame:
         F.try_divide(
             F.covar_pop("pct_score", "pct_realised"),
             F.stddev_pop("pct_score") * F.stddev_pop("pct_realised"),
-        ).alias("rank_ic")
-    )
+        ).alias("rank_ic"),
+        F.count(F.lit(1)).alias("_rows"),
+    ).where(F.col("_rows") >= min_rows).drop("_rows")
     return tops.join(correlation, list(GROUP))
 
 
@@ -96,9 +106,8 @@ def with_warm_up(measured: DataFrame, classes: Sequence[str], horizon: str) -> D
 def evaluate(
     predictions: DataFrame, realised: DataFrame, target: str, horizon: str, classes: Sequence[str] = (), n: int = 20
 ) -> DataFrame:
-    """Performance table of all models. The pairs are stored once: lists, ranks and the baseline's lists all
-    read them."""
-    pairs = cut(paired(predictions, realised, target))
+    """Performance table of all models. Lists, ranks and the baseline's lists all read the stored pairs."""
+    pairs = with_realised(predictions, realised, target)
     table = performance(window_measures(pairs, n), horizon)
     return with_warm_up(table, classes, horizon) if classes else table
 
