@@ -92,6 +92,14 @@ def list_size_check(portfolio: DataFrame, limits: tuple[int, int] = LIST_SIZE) -
     )
 
 
+def index_filled(exported: DataFrame) -> DataFrame:
+    """There are exported documents to list."""
+    n = F.col("_n")
+    return exported.agg(F.count_distinct("date").alias("_n")).select(
+        *_check("dashboard_index", n > 0, F.format_string("%d datas no index.json", n), WARN)
+    )
+
+
 def fresh(exported: DataFrame, stored: DataFrame) -> DataFrame:
     """The newest export is not older than the newest snapshot."""
     both = attach(exported.agg(F.max("date").alias("_e")), stored.agg(F.max("date").alias("_s")), [])

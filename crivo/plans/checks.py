@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crivo.operators import quality
 from crivo.operators.history import union_all
-from crivo.plans.daily import list_table, universe_table
+from crivo.plans.daily import list_table, manifest_table, universe_table
 from crivo.plans.rebuild import CLASSES, Places
 from crivo.sources import lake
 from crivo.spec import AssetSpec
@@ -31,16 +31,23 @@ def manifest(spark: SparkSession, root: str, specs: Sequence[AssetSpec] = CLASSE
     return union_all(*parts) if parts else None
 
 
+def stored_manifest(spark: SparkSession, root: str, specs: Sequence[AssetSpec] = CLASSES) -> DataFrame | None:
+    """What the daily plans noted down when they stored their tables, if they did."""
+    kept = [manifest_table(s) for s in specs if lake.days_of(spark, root, manifest_table(s))]
+    return union_all(*[lake.read_days(spark, root, t).drop(lake.DAY) for t in kept]) if kept else None
+
+
 def quality_report(
     spark: SparkSession, root: str, exported: DataFrame | None = None, specs: Sequence[AssetSpec] = CLASSES
 ) -> DataFrame:
     """Rows (name, status, detail). `exported` has the dates of the stored documents."""
     places = Places(root)
-    listed = manifest(spark, root, specs)
-    if listed is None:
+    noted, found = stored_manifest(spark, root, specs), manifest(spark, root, specs)
+    listed = found if noted is None else noted
+    if found is None:
         empty = spark.createDataFrame([], "date date, table string")
         return quality.report(quality.snapshots_exist(empty), quality.manifest_agrees(empty, empty))
-    dates = listed.select("date").distinct()
+    dates = found.select("date").distinct()
     required = [t for s in specs for t in (universe_table(s), list_table(s))]
     checks = [
         quality.snapshots_exist(dates),
@@ -63,5 +70,5 @@ def quality_report(
         if path == places.portfolio:
             checks.append(quality.list_size_check(df))
     if exported is not None:
-        checks.append(quality.fresh(exported, dates))
+        checks += [quality.index_filled(exported), quality.fresh(exported, dates)]
     return quality.report(*checks)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crivo.operators.clean import as_features, clean, without_footer
-from crivo.operators.history import portfolio_rows
+from crivo.operators.history import portfolio_rows, union_all
 from crivo.operators.order import with_sequence
 from crivo.operators.score import score
 from crivo.operators.screen import screen_assets
@@ -32,6 +32,7 @@ def list_table(spec: AssetSpec) -> str:
 
 
 PORTFOLIO_TABLE = "carteira"
+MANIFEST_TABLE = "manifest"
 
 
 def screened_day(
@@ -48,12 +49,20 @@ def screened_day(
     return screen_assets(scored, spec, rules, top_n_rows=top_n)
 
 
+def manifest_table(spec: AssetSpec) -> str:
+    return f"{MANIFEST_TABLE}_{spec.kind.lower()}"
+
+
 def store_day(root: str, day: Date, spec: AssetSpec, top: DataFrame, universe: DataFrame) -> None:
-    """Replaces the day's snapshot of this class: universe, list and portfolio rows."""
+    """Replaces the day's snapshot of this class: universe, list and portfolio rows, and last its manifest, read back from
+    what was stored."""
     lake.write_day(universe.drop(spec.date), root, universe_table(spec), day)
     lake.write_day(top.drop(spec.date), root, list_table(spec), day)
     rows = portfolio_rows(top, spec, F.lit(day))
     lake.write_day(rows, root, f"{PORTFOLIO_TABLE}_{spec.kind.lower()}", day)
+    spark = top.sparkSession
+    listed = [lake.day_manifest(spark, root, table, day) for table in (universe_table(spec), list_table(spec))]
+    lake.write_day(union_all(*listed).coalesce(1), root, manifest_table(spec), day)
 
 
 def run_funds(raw: DataFrame, root: str, day: Date, limits: Limits = FUND_LIMITS) -> tuple[DataFrame, DataFrame]:

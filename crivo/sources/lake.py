@@ -121,6 +121,19 @@ def manifest_of(df: DataFrame, date: str, table: str) -> DataFrame:
     )
 
 
+def day_manifest(spark: SparkSession, root: str, table: str, day: Date) -> DataFrame:
+    """The manifest row of one stored day, read back from its folder; a day without rows has one too."""
+    stored = spark.read.parquet(f"{root}/{table}/{DAY}={day.isoformat()}")
+    hashed = F.xxhash64(*[col(c) for c in stored.columns]).cast("decimal(38,0)")
+    return stored.agg(
+        F.lit(day).alias("date"),
+        F.lit(table).alias("table"),
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(len(stored.columns) + 1).alias("columns"),
+        F.sum(hashed).cast("string").alias("fingerprint"),
+    )
+
+
 def manifest_totals(manifest: DataFrame) -> DataFrame:
     """Rows (date, total_rows) over all tables of a day."""
     return manifest.groupBy("date").agg(F.sum("rows").alias("total_rows"))

@@ -199,3 +199,20 @@ def test_a_day_without_rows_is_no_missing_table(spark, tmp_path):
         lake.write_day(rows.where("false") if table.startswith("acao") else rows, root, table, day)
     found = {r.name: r.status for r in checks.quality_report(spark, root).collect()}
     assert found["snapshot_2026-01-01_files"] == "ok" == found["snapshot_2025-12-31_files"]
+
+
+def test_the_stored_manifest_is_held_against_the_folders(spark, tmp_path):
+    root = str(tmp_path)
+    table = funds(30)
+    table[FUNDS.price] = 10.0
+    for day in (DAY(2026, 1, 1), DAY(2026, 1, 2)):
+        daily.run_funds(spark.createDataFrame(table), root, day)
+    stored = checks.stored_manifest(spark, root, [FUNDS]).orderBy("date", "table").collect()
+    assert [(r.date, r.table, r.rows > 0) for r in stored] == [(DAY(2026, 1, d), t, True) for d in (1, 2) for t in ("fii_top", "fii_universe")]
+    status = {r.name: r.status for r in checks.quality_report(spark, root, specs=[FUNDS]).collect()}
+    assert status["lake_manifest"] == "ok"
+    lake.write_day(spark.createDataFrame([("X", 1)], "k string, v int"), root, "fii_universe", DAY(2026, 1, 3))
+    status = {r.name: r.status for r in checks.quality_report(spark, root, specs=[FUNDS]).collect()}
+    assert status["lake_manifest"] == "warn"  # a day that no plan has noted down
+    empty = quality.index_filled(spark.createDataFrame([], "date date")).first()
+    assert (empty.status, empty.detail) == ("warn", "0 datas no index.json")
