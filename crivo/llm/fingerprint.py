@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crivo.llm.base import col, ship, text_of
-from crivo.llm.groups import linked
+from crivo.llm.groups import crowded, linked
 from crivo.llm.near import scramble
 
 SAMPLES = 512
@@ -299,7 +299,8 @@ def near_texts(printed: DataFrame, id: str = "doc_id", least: float = LIKE) -> D
         return pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
     classes = printed.groupBy("fingerprint").agg(F.min(col(id)).alias("node"))
-    keyed = classes.where("node is not null").select(F.explode(keys("fingerprint")).alias("key"), "node", F.lit(1).alias("size"))
+    banded = classes.where("node is not null").select(F.explode(keys("fingerprint")).alias("key"), "node", F.lit(1).alias("size"))
+    keyed = crowded(banded)
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = classes.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa"))

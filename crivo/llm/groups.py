@@ -1,10 +1,10 @@
 """From buckets of likely partners to groups: verification without all pairs, and union-find.
 
-Members of a bucket are compared with one hub first, the member with the smallest hash in the round; every member keeps
-its best hub, the one it shares most buckets with. Verified links merge components, and the next round, with other
-hubs, looks only at members that are not in their hub's component yet. What the rounds leave over are pairs in a common
-bucket that are still in different components; the last round compares them all, each pair in one place, so no link is
-lost that could join two components. Large groups of near copies thus cost a few comparisons per member.
+Members of a bucket are compared with one hub first, the member whose buckets are the fullest: around it a group of near
+copies is densest. Every member keeps its best hub, the one it shares most buckets with. Verified links merge components,
+and the next round, with other hubs, looks only at buckets and members that are still apart. What the rounds leave over
+goes to an exact last step that must name every pair of different components that may be a link; so no link is lost
+that could join two components, and large groups of near copies cost a few comparisons per member.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crivo.llm.base import cut, ship
@@ -74,45 +74,58 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _placed(keyed: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Adds each node's component; keeps buckets that hold more than one."""
+    """Adds each node's component and whether it stands alone; keeps buckets that hold more than one component."""
     if roots is None:
-        named = keyed.withColumn("root", F.col("node"))
+        named = keyed.withColumns({"root": F.col("node"), "alone": F.lit(True)})
     else:
-        found = roots.withColumnRenamed("root", "_root")
-        named = keyed.join(found, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
+        found = cut(roots.select("node", "root").union(roots.select("root", "root")).distinct()).withColumnRenamed("root", "_root")
+        named = keyed.join(found, "node", "left").withColumns(
+            {"root": F.coalesce("_root", "node"), "alone": F.col("_root").isNull()}
+        ).drop("_root")
     several = named.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
     return cut(named.join(several.select("key"), "key"))
 
 
-def _hub_pairs(placed: DataFrame, seed: int, near: F.Column) -> DataFrame:
-    """(a, b): each node with the hub of another component that it shares most buckets with."""
-    order = F.xxhash64(F.lit(seed), F.col("node"))
-    hubs = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "size", "root")).alias("hub"))
+def _hub_pairs(placed: DataFrame, first: bool, near: Column) -> DataFrame:
+    """(a, b): each node with the hub of another component that it shares most buckets with. After the first round hubs
+    are nodes that no link has reached yet, where a bucket has any."""
+    rank = F.struct(F.lit(first) | F.col("alone"), F.col("fullness"), F.xxhash64("node"))
+    hubs = placed.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "size", "root")).alias("hub"))
     tried = placed.join(hubs, "key").where((F.col("root") != F.col("hub.root")) & near)
     shared = tried.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= LEAST)
     best = shared.groupBy("node").agg(F.max(F.struct("times", "hub")).alias("best"))
     return best.select(F.greatest("node", "best.hub").alias("a"), F.least("node", "best.hub").alias("b")).distinct()
 
 
-def _rest_pairs(placed: DataFrame, ratio: tuple[int, int] | None) -> DataFrame:
-    """(a, b): all pairs of different components in a common bucket that share enough of them."""
-    left = placed.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    right = placed.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
-    apart = F.col("ra") > F.col("rb")
+def apart(left: Column, right: Column, sizes: tuple[Column, Column], ratio: tuple[int, int] | None) -> Column:
+    """True for two members of different components whose sizes don't rule a link out, in one order."""
+    found = left > right
     if ratio:
-        num, den = ratio
-        apart = apart & (F.col("sa") * den >= F.col("sb") * num) & (F.col("sb") * den >= F.col("sa") * num)
-    met = left.join(right, (left["key"] == right["key"]) & apart).groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-    return met.where(F.col("times") >= LEAST).select("a", "b")
+        (a, b), (num, den) = sizes, ratio
+        found = found & (a * den >= b * num) & (b * den >= a * num)
+    return found
+
+
+def bucket_pairs(placed: DataFrame) -> DataFrame:
+    """(a, b): all pairs of different components that share enough buckets. The plain exact last step."""
+    left = placed.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = placed.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("ra") > F.col("rb")))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= LEAST).select("a", "b")
 
 
 def linked(
-    keyed: DataFrame, verify: Verify, ratio: tuple[int, int] | None = None, rounds: int = ROUNDS
+    keyed: DataFrame,
+    verify: Verify,
+    rest: Callable[[DataFrame], DataFrame] = bucket_pairs,
+    ratio: tuple[int, int] | None = None,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """(node, root) of all nodes that are not the smallest of their group.
 
-    `keyed` has a row (key, node, size) for each bucket of each node; `verify` returns those of the pairs (a, b) that are
-    links. Sizes further apart than `ratio` (numerator, denominator) can't be links.
+    `keyed` has a row (key, node, size, fullness) for each bucket of each node, `fullness` being the members of all its
+    buckets; `verify` returns those of the pairs (a, b) that are links; `rest` names the pairs of the last step, from
+    (key, node, size, root). Sizes further apart than `ratio` (numerator, denominator) can't be links.
     """
     near = F.lit(True)
     if ratio:
@@ -122,11 +135,19 @@ def linked(
     placed = _placed(keyed, None)
     for turn in range(rounds + 1):
         if turn:
-            placed = _placed(placed.drop("root"), roots)
+            placed = _placed(placed.drop("root", "alone"), roots)
         if placed.isEmpty():
             break
-        pairs = _rest_pairs(placed, ratio) if turn == rounds else _hub_pairs(placed, turn, near)
+        pairs = rest(placed) if turn == rounds else _hub_pairs(placed, not turn, near)
         found = cut(verify(cut(pairs)).select("a", "b"))
         links = found if links is None else links.union(found)
         roots = cut(components(links))
     return roots if roots is not None else keyed.select("node", F.col("node").alias("root")).limit(0)
+
+
+def crowded(keyed: DataFrame) -> DataFrame:
+    """(key, node, size, fullness) of the rows (key, node, size) whose bucket has several members."""
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = cut(keyed.join(counts, "key"))
+    full = shared.groupBy("node").agg(F.sum("members").alias("fullness"))
+    return cut(shared.drop("members").join(full, "node"))

@@ -11,6 +11,11 @@ than two of 32 has a probability of one in a million, so that is what a comparis
 full sets. Texts with equal sets are one class from the start, however many they are; see `groups` for how large
 groups do without all pairs.
 
+Texts that share a band but no link (a passage that thousands quote) would leave all their pairs to the last step. It
+is exact and yet spares them: two sets of that similarity must share a shingle among the rarest fifth of each (prefix
+filter), and from the first one they share on enough must follow in both (positional filter). Texts with a tenth of
+their own, which nobody else has, fail that.
+
 Null and empty texts have the empty set and link with nothing; a text of fewer words than a shingle is one shingle of
 all its words. A null id never links. Rows that repeat an id are one node: they share a component.
 """
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crivo.llm.base import col, cut, ship
-from crivo.llm.groups import linked
+from crivo.llm.groups import apart, crowded, linked
 
 WIDTH = 4
 PLACES, ROWS = 128, 4
@@ -178,6 +183,32 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, width: int
     return narrow.mapInArrow(read, shape)
 
 
+def prefix_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): the pairs of different components that share a shingle among the rarest of each. Sets 80 % alike differ in
+    a fifth at most, so of the n shingles of either, in any one order, the first n - ceil(0.8 n) + 1 hold a common one."""
+    least, whole = LIKE
+    nodes = cut(placed.select("node", "root").distinct())
+    held = sets.join(nodes, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = cut(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    common = held.join(counts, "shingle").groupBy("node", "root", "n").agg(
+        F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("common")  # as long as the text at most
+    )
+    # Shingles that only one set has come first in the order and can't be shared.
+    own = F.col("n") - F.size("common")
+    reach = F.col("n") - F.expr(f"({least} * n + {whole - 1}) div {whole}") + 1 - own
+    first = common.where(reach > 0).select(
+        "node", "root", "n", own.alias("own"), F.posexplode(F.slice("common", F.lit(1), reach.cast("int"))).alias("i", "c")
+    )
+    # `after`: this shingle and those behind it. From the first common one on, that many can be common at most.
+    after = F.col("n") - F.col("own") - F.col("i")
+    rare = cut(first.select(F.col("c.shingle").alias("shingle"), "node", "root", "n", after.alias("after")))
+    left = rare.select("shingle", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("after").alias("aa"))
+    right = rare.select("shingle", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("after").alias("ab"))
+    may = apart(F.col("ra"), F.col("rb"), (F.col("na"), F.col("nb")), LIKE)
+    enough = F.least("aa", "ab") * (least + whole) >= (F.col("na") + F.col("nb")) * least
+    return left.join(right, (left["shingle"] == right["shingle"]) & may & enough).select("a", "b").distinct()
+
+
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id of its group), kept."""
     rows = cut(sketches(docs, id, text, width))
@@ -188,10 +219,8 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
         .agg(F.min("id").alias("node"), F.first("n").alias("size"), F.first("keys").alias("keys"))
         .where("node is not null")
     )
-    keyed = classes.select(F.explode("keys").alias("key"), "node", "size")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_members")).where("_members > 1").select("key")
-    crowded = cut(keyed.join(shared, "key"))
-    sets = cut(full_sets(docs, crowded.select("node").distinct(), id, text, width))
+    keyed = crowded(classes.select(F.explode("keys").alias("key"), "node", "size"))
+    sets = cut(full_sets(docs, keyed.select("node").distinct(), id, text, width))
     least, whole = LIKE
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -201,7 +230,7 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
         counted = pairs.join(a, "a").join(b, "b").select("a", "b", (F.size("sa") + F.size("sb")).alias("both"), common.alias("common"))
         return counted.where(F.col("common") * whole >= (F.col("both") - F.col("common")) * least)
 
-    roots = linked(crowded, verify, LIKE)
+    roots = linked(keyed, verify, lambda placed: prefix_pairs(placed, sets), LIKE)
     named = cut(classes.select("class", "node").join(roots, "node", "left").select("class", F.coalesce("root", "node").alias("root")))
     group = F.coalesce("root", "id")
     return (
