@@ -154,6 +154,11 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@query("op10_license_whole", licenses.whole_sql(upper=UPPER, lower=LOWER))
+def op10_license_whole(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.whole(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

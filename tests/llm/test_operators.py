@@ -434,3 +434,24 @@ def test_licenses(spark, docs, nothing):
     assert {(r[0], r[3]) for r in found if r[1] == "paragraph"} == {(2, "MIT"), (3, "MIT")}
     assert (0, "line", 1, "MIT", 1.0) in found
     assert licenses.scan(docs).count() == licenses.scan(nothing).count() == 0
+
+
+def test_licenses_in_usual_layout(spark, docs, nothing):
+    long = {n: [t for m, t in licenses.TEMPLATES if m == n and len(t) > 300][0] for n in ("MIT", "Apache-2.0", "ISC")}
+    cuts = {"MIT": ["The above copyright", "THE SOFTWARE IS PROVIDED"], "Apache-2.0": ["You may obtain", "http:", "Unless required"],
+            "ISC": ["THE SOFTWARE IS PROVIDED"]}
+    texts, wanted = [], []
+    for name, text in long.items():
+        laid = " ".join(text.split())
+        for at in cuts[name]:
+            laid = laid.replace(at, f"\n\n{at}")
+        texts += [f"Some title\n\nCopyright (c) 2020 Someone\n\n{laid}\n\nand more", "\n".join(f"# {p}".rstrip() for p in laid.split("\n"))]
+        wanted += [name, name]
+    texts += ["Made by some people; it is licensed under the MIT License. See the file for details.", "No licence, in no event.", None, "", "mit"]
+    wanted += ["MIT"]
+    data = [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
+    data += [data[0]]
+    found = [r for r in licenses.whole(samples.frame(spark, data)).collect() if r.unit == "passage"]
+    assert sorted((r.doc_id, r.license) for r in found) == sorted(enumerate(wanted))
+    assert all(r.dice == 1.0 for r in found if r.doc_id < 6)
+    assert licenses.whole(docs).count() == licenses.whole(nothing).count() == 0
