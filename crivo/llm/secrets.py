@@ -4,8 +4,9 @@ A candidate is a run of at least `SHORTEST` key characters with a digit, or the
 (`password=...`). Only texts that hold one are cut into words; each candidate comes with its two words before and the
 word after. The forest sees its length, its character transitions (between lower case, upper case, digits and marks)
 and character mix, how much of it dictionary words cover, whether it looks like a path or an address, and whether key
-words or harmless words stand next to it. It learns from labelled findings, at most `LEARNED` of them (a documented
-bound; the ones with the smallest hashes, so reruns agree).
+words or harmless words stand next to it. It learns from labelled findings: those alike in features and label are one,
+weighted by their count, and each label has at most `LEARNED` of these (a documented bound; the ones with the smallest hashes,
+so reruns agree; their weights stand for the whole label).
 
 Without labels of one's own, `weak_labels` labels what is beyond doubt: known key formats and mixed hexadecimal values
 behind a key word are secrets; plain numbers, addresses, dates, dotted numbers and values mostly made of dictionary words are
@@ -133,20 +134,28 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 def fit(labelled: DataFrame, label: str = "label") -> Scorer:
     """Learns from described findings with a label of 0 or 1; adds the column `probability` to others."""
-    known = labelled.where(col(label).isin(0, 1)).select(*FEATURES, col(label).cast("double").alias("label"), "value", "before")
-    sample = cut(known.orderBy(F.xxhash64("value", "before"), "value", "label").limit(LEARNED))
-    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        total = sum(counts.values())
-        share = F.lit(counts.get(1.0, 0) / total if total else 1.0)
+    known = labelled.where(col(label).isin(0, 1)).select(*FEATURES, col(label).cast("double").alias("label"))
+    distinct = cut(known.groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    totals = {r["label"]: r["weight"] for r in distinct.groupBy("label").agg(F.sum("weight").alias("weight")).collect()}
+    if len(totals) < 2:
+        share = F.lit(max(totals, default=1.0))
         return lambda rows: rows.withColumn("probability", share)
+
+    def smallest(label: float) -> DataFrame:
+        return distinct.where(F.col("label") == label).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(LEARNED)
+
+    drawn = cut(smallest(0.0).unionByName(smallest(1.0)))
+    held = {r["label"]: r["weight"] for r in drawn.groupBy("label").agg(F.sum("weight").alias("weight")).collect()}
+    # What the bound leaves out counts with the rest of its class.
+    scale = F.when(F.col("label") == 1, totals[1.0] / held[1.0]).otherwise(totals[0.0] / held[0.0])
+    sample = drawn.withColumn("weight", F.col("weight") * scale)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_vector")
     forest = RandomForestClassifier(
-        featuresCol="_vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
+        featuresCol="_vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
         rawPredictionCol="_raw", probabilityCol="_both", predictionCol="_predicted",
     )
     # One partition, in order: the forest's bootstrap hangs on the placing of rows.
-    model = forest.fit(vector.transform(sample.repartition(1).sortWithinPartitions("value", "before", "label")))
+    model = forest.fit(vector.transform(sample.repartition(1).sortWithinPartitions(*FEATURES, "label")))
 
     def score(rows: DataFrame) -> DataFrame:
         scored = model.transform(vector.transform(rows))

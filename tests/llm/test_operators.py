@@ -372,6 +372,14 @@ def test_secrets(spark, nothing):
     assert [r.secret for r in alone] == [True]
 
 
+def test_secrets_learn_from_both_classes_whatever_the_copies(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "LEARNED", 10)
+    texts = ["password=0a1b2c3d4e5f60718293"] * 200 + ["call 1234567890123456"] * 200
+    data = [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
+    found = secrets.scan(samples.frame(spark, data)).collect()
+    assert len(found) == 400 and all(r.secret == (r.doc_id < 200) for r in found)
+
+
 # === token files ========================================================================================
 
 
