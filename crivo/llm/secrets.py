@@ -1,8 +1,8 @@
 """Secret scans: patterns find candidates, a random forest removes the false ones.
 
-A candidate is a run of at least `SHORTEST` key characters with a digit, or the value behind a key word
-(`password=...`). Only texts that hold one are cut into words; each candidate comes with its two words before and the
-word after. The forest sees its length, its character transitions (between lower case, upper case, digits and marks)
+A candidate is a run of at least `SHORTEST` key characters with a digit, or a value of six characters or more behind a key
+that ends in a key word (`password=...`, `"db_password": "..."`). A word may hold several (compact JSON, URL queries, calls).
+Only texts that hold one are cut into words; each candidate comes with its two words before and the word after. The forest sees its length, its character transitions (between lower case, upper case, digits and marks)
 and character mix, how much of it dictionary words cover, whether it looks like a path or an address, and whether key
 words or harmless words stand next to it. It learns from labelled findings: those alike in features and label are one,
 weighted by their count, and each label has at most `LEARNED` of these (a documented bound; the ones with the smallest hashes,
@@ -47,8 +47,20 @@ _RUN = r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{%d,}
 _ASSIGNED = rf"(?i:{_KEYS})[\"']?\s*[=:]"
 #: Texts without a match hold no candidate.
 ANY = f"{_RUN}|{_ASSIGNED}"
-# A word: quotes, perhaps a key and a sign, the value.
-_PARTS = r"^[\"'(\[<{]*(?:([A-Za-z_-]{2,24})[\"']?[=:][\"']?)?([^\"'\s<>(){}\[\],;]*)"
+_SIGN = r"[\"']?[=:]+>?"
+# A key that ends in a key word, and its value: up to the closing quote, or to the next mark or pair.
+_NAMED = rf"([A-Za-z0-9_.-]{{0,40}}(?i:{_KEYS})){_SIGN}[\"'(]*"
+_VALUE = r"((?<=\")[^\"\s]{6,}(?=\")|(?<=')[^'\s]{6,}(?=')|(?:[^\"'\s<>(){}\[\],;&]|&(?![A-Za-z0-9_.-]+=)){6,})"
+_PAIR = _NAMED + _VALUE
+# A run, perhaps behind a short key and a sign.
+_LONG = r"(?:[A-Za-z_-]{2,24}[\"']?[=:][\"']?)?[A-Za-z0-9_+/=.@-]{%d,}" % SHORTEST
+_LONG_PARTS = r"^(?:([A-Za-z_-]{2,24})[\"']?[=:][\"']?)?(.*)$"
+# A run whose key has other characters, if what stands behind it is long enough.
+_OTHER_PARTS = r"^([A-Za-z0-9_.-]{1,40})=(?=[^=])(?=[A-Za-z_+/=.@-]*[0-9])([A-Za-z0-9_+/=.@-]{%d,})$" % SHORTEST
+# What is left of a pair when its value is another word.
+_HEAD = rf"[A-Za-z0-9_.-]{{0,40}}(?i:{_KEYS})"
+
+_FOUND = "array<struct<place:int,key:string,value:string,before2:string,before:string,after:string>>"
 
 FEATURES = (
     "length", "switches", "digits", "upper", "lower", "marks", "variety", "hexadecimal", "covered", "slashes", "dots", "address",
@@ -64,25 +76,63 @@ def findings(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         def at(i: Column) -> Column:
             return F.coalesce(F.get(words, i), F.lit(""))
 
-        found = F.transform(
-            words,
-            lambda w, i: F.struct(
+        def once(value: Column, build: Callable[[Column], Column]) -> Column:
+            return F.flatten(F.transform(F.array(value), build))
+
+        def of_word(w: Column, i: Column) -> Column:
+            """All candidates of a word; `head` is the key and sign that end right before it."""
+            before, before2 = at(i - 1), at(i - 2)
+            ending = F.regexp_extract(before, rf"({_HEAD}{_SIGN}[\"'(]*)$", 1)
+            apart = F.regexp_extract(before2, rf"({_HEAD}[\"']?)$", 1)
+            bare = F.regexp_extract(before, rf"({_HEAD}[\"']?)$", 1)
+            head = (
+                F.when(before.rlike(r"[=:]>?[\"'(]*$") & (ending != ""), ending)
+                .when(before.rlike(r"^[=:]+>?[\"'(]*$") & (apart != ""), F.concat(apart, before))
+                .when(w.rlike("^[=:]") & (bare != ""), bare)
+                .otherwise("")
+            )
+            return once(F.concat(head, w), lambda whole: of_whole(whole, i))
+
+        def of_whole(whole: Column, i: Column) -> Column:
+            keyed = whole.rlike(_ASSIGNED)
+            pairs = F.when(keyed, F.regexp_extract_all(whole, F.lit(f"({_PAIR})"), 1)).otherwise(F.array().cast("array<string>"))
+            rest = F.when(keyed, F.regexp_replace(whole, _PAIR, " ")).otherwise(whole)
+            runs = F.regexp_extract_all(rest, F.lit(f"({_LONG})"), 1)
+
+            def of_run(m: Column) -> Column:
+                other = F.regexp_extract(m, _OTHER_PARTS, 2)
+                named = F.regexp_extract(m, _LONG_PARTS, 1)
+                general = (named == "") & (other != "")
+                key = F.when(general, F.regexp_extract(m, _OTHER_PARTS, 1)).otherwise(named)
+                value = F.when(general, other).otherwise(F.regexp_extract(m, _LONG_PARTS, 2))
+                return found(m, key, value, whole, i)
+
+            each = F.concat(
+                F.transform(pairs, lambda m: found(m, F.regexp_extract(m, _NAMED, 1), F.regexp_replace(m, f"^{_NAMED}", ""), whole, i)),
+                F.filter(F.transform(runs, of_run), lambda c: c["value"].rlike(run) & c["value"].rlike("[0-9]")),
+            )
+            return F.filter(each, lambda c: F.length(c["value"]) >= 6)
+
+        def found(match: Column, key: Column, value: Column, whole: Column, i: Column) -> Column:
+            """A candidate with its neighbours: inside the word if it has any there."""
+            place = F.instr(whole, match)
+
+            def tokens(part: Column) -> Column:
+                return F.filter(F.split(part, r"[^A-Za-z0-9_.@+/-]+"), lambda t: t != "")
+
+            left = tokens(F.substring(whole, F.lit(1), place - 1))
+            right = tokens(F.substring(whole, place + F.length(match), F.length(whole)))
+            return F.struct(
                 i.alias("place"),
-                F.lower(F.regexp_extract(w, _PARTS, 1)).alias("key"),
-                F.regexp_replace(F.regexp_extract(w, _PARTS, 2), r"[.]+$", "").alias("value"),
-                F.lower(at(i - 2)).alias("before2"),
-                F.lower(at(i - 1)).alias("before"),
-                F.lower(at(i + 1)).alias("after"),
-            ),
-        )
+                F.lower(key).alias("key"),
+                F.regexp_replace(value, r"[.]+$", "").alias("value"),
+                F.lower(F.coalesce(F.get(left, F.size(left) - 2), at(i - 2 + F.size(left)))).alias("before2"),
+                F.lower(F.coalesce(F.get(left, F.size(left) - 1), at(i - 1))).alias("before"),
+                F.lower(F.coalesce(F.get(right, F.lit(0)), at(i + 1))).alias("after"),
+            )
+
         run = r"^[A-Za-z0-9_+/=.@-]{%d,}$" % SHORTEST
-        sign = F.lit("^[=:]$")
-        return F.filter(
-            found,
-            lambda c: (c["value"].rlike(run) & c["value"].rlike("[0-9]"))
-            | ((F.length(c["value"]) >= 6) & c["key"].rlike(f"^(?:{_KEYS})$"))
-            | ((F.length(c["value"]) >= 6) & F.regexp_like(c["before"], sign) & c["before2"].rlike(f"(?:{_KEYS})$")),
-        )
+        return F.flatten(F.transform(words, lambda w, i: F.when(F.length(w) >= 6, of_word(w, i)).otherwise(F.array().cast(_FOUND))))
 
     words = F.filter(F.split("_text", r"\s+"), lambda w: w != "")
     each = F.flatten(F.transform(F.array(words), candidates))
