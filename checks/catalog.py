@@ -886,8 +886,8 @@ def ridge_predictions(spark, folder):
 
 @query("ml_shadow")
 def ml_shadow(spark, folder):
-    """All models with fewer trees and rounds than the defaults, which take minutes on one machine."""
-    return models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories(trees=20, rounds=5))
+    """All models with the settings of the operator."""
+    return models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories())
 
 
 # === reports ============================================================================================

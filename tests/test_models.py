@@ -193,3 +193,17 @@ def test_section_state(spark):
         return report.section_state(df, F.lit(measured)).first().status
 
     assert [state("Baseline", "Ativo"), state("Baseline", "Aquecendo"), state("Aquecendo"), state(), state(measured=True)] == ["Ativo", "Baseline", "Aquecendo", "Sem dados", "Aquecendo"]
+
+
+def test_ml_shadow_has_the_settings_of_the_operator(monkeypatch):
+    from checks import catalog
+
+    used = []
+    monkeypatch.setattr(catalog, "training_set", lambda *_: None)
+    monkeypatch.setattr(models, "shadow_run", lambda data, spec, horizon, given=None, *_: given or models.factories())
+    monkeypatch.setattr(models, "forest", lambda t, trees=models.TREES, **_: used.append(trees))
+    monkeypatch.setattr(models, "boosted", lambda t, rounds, **_: used.append(rounds))
+    found = catalog.ml_shadow(None, "")
+    for name in list(found)[1:]:
+        found[name](None)
+    assert used == [models.TREES] * 2 + [models.ROUNDS] * 3
