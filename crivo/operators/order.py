@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crivo.columns import attach, col, filled, number, quoted, require
+from crivo.session import cut
 
 # Groups with more distinct values than this are cut into blocks and leaves.
 SPLIT_ABOVE = 1_000_000
@@ -228,12 +229,48 @@ def _keep(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
     return top_n(df, keys, order, 1, "_place").drop("_place")
 
 
+def positions(
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name: str = "position", size: str | None = None
+) -> DataFrame:
+    """Numbers the rows from 0 without gaps in the order of the columns `order`, nulls first, within each `by` group; with
+    `size`, adds the group's rows.
+
+    The table is range-partitioned and sorted once; each partition numbers its own rows, and the totals of the partitions
+    before it give its offset. So a whole history, or one group that holds most of it, is numbered without a window over
+    all its rows. Rows that are equal in `by` and `order` stand next to each other in any order. The numbers are stored
+    with the rows, so that every reader sees the same ones.
+    """
+    require(df, [*by, *order], "positions")
+    keys = [col(c) for c in [*by, *order]]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(
+        df.repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))})
+    )
+    groups = [col(b) for b in by]
+    runs = placed.groupBy(*groups, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    whole = Window.partitionBy(*groups)
+    before = F.sum("_rows").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = runs.select(
+        *[col(b).alias(f"_by{i}") for i, b in enumerate(by)],
+        F.col("_part").alias("_of"),
+        (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_offset"),
+        F.sum("_rows").over(whole).alias("_size"),
+    )
+    same = F.col("_part") == F.col("_of")
+    for i, b in enumerate(by):
+        same = same & col(b).eqNullSafe(F.col(f"_by{i}"))
+    shown = [(F.col("_row") + F.col("_offset")).alias(name), *([F.col("_size").alias(size)] if size else [])]
+    return placed.join(offsets, same).select(*[col(c) for c in df.columns], *shown)
+
+
 def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
     """Stamps the ingest order. Do it once, when a file is landed, and store the column."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
 __all__ = [
-    "attach", "keep_first", "keep_last", "keep_last_row", "percentiles", "percentiles_long", "quantiles", "top_n",
+    "attach", "keep_first", "keep_last", "keep_last_row", "percentiles", "percentiles_long", "positions", "quantiles", "top_n",
     "value_counts", "with_sequence",
 ]
