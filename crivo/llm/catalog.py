@@ -9,9 +9,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crivo.llm import bpe, exact, fingerprint, licenses, mix, near, planes, quality, secrets, shards
-from crivo.llm.base import LOWER, UPPER, WORD, table
+from crivo.llm import bpe, exact, fingerprint, licenses, merkle, mix, near, planes, quality, secrets, shards, spelling
+from crivo.llm.base import LOWER, UPPER, WORD, normalised, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +160,97 @@ def op10_license_whole(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.whole(table(spark, folder, "documents"))
 
 
+# crc32 of a list of bytes, through the table of the 256 bytes; of the text that DuckDB writes.
+CRC_SQL = """crc(t) as (select list(list_reduce(list_prepend(b, [0,0,0,0,0,0,0,0]::bigint[]),
+            lambda x, y: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end)) order by b) from range(256) r(b))"""
+
+
+def crc_sql(text: str, table: str = "t") -> str:
+    """SQL for the unsigned crc32 of a text expression, given the table of `crc`."""
+    octets = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::bigint)"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, {octets}),
+        lambda c, o: xor(c >> 8, {table}[1 + (xor(c, o) & 255)])), 4294967295)"""
+
+
+# Brute force: every pair of words of like length. Letters become one byte each, so that a byte is a code point.
+LATIN = "".join(map(chr, range(0xC0, 0x100)))
+SINGLE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~"
+SPELLING_SQL = f"""with recursive {CRC_SQL},
+    runs as (select doc_id, unnest(regexp_extract_all({NORMALISED}, '[A-Za-z\u00C0-\u00FF]+')) as run from documents),
+    hashed as (select run, count(*) as times, {crc_sql("(doc_id::varchar || ':' || run)", "any_value(t)")} as h
+        from (select doc_id, run, t from runs, crc) group by doc_id, run),
+    written as (select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+        else run end as word, times from hashed),
+    words as (select word, sum(times)::bigint as n, translate(word, '{LATIN}', '{SINGLE}') as code from written
+        where length(word) >= 5 group by word having sum(times) >= 3),
+    near as (select a.word, b.word as other, b.n as other_n from words a join words b
+        on length(b.code) between length(a.code) - 1 and length(a.code) + 1 and levenshtein(a.code, b.code) = 1),
+    ranked as (select *, count(*) over (partition by word) as n_near,
+        row_number() over (partition by word order by other_n desc, other) as place from near),
+    formed as (select w.word, w.n, coalesce(r.n_near, 0)::bigint as n_near, case when r.other_n >= 2 * w.n then r.other end as form,
+        case when r.other_n >= 2 * w.n then r.other_n end as form_n
+        from words w left join ranked r on r.word = w.word and r.place = 1),
+    chain as (select word, coalesce(form, word) as root, form is null as done from formed
+        union all select c.word, coalesce(f.form, c.root), f.form is null
+        from chain c join formed f on f.word = c.root where not c.done)
+    select f.*, c.root from formed f join chain c on c.word = f.word and c.done"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def _field(name: str, text: str) -> str:
+    return f"case when {name} is null then '-' else strlen({text})::varchar || ':' || {text} end"
+
+
+def _leaf_sql(text: str) -> str:
+    plain = " || ".join(_field(c, f"{c}::varchar") for c in ("doc_id", "source", "lang", "n_chars"))
+    return f"sha256({plain} || {_field('text', text)})"
+
+
+# Every level of a tree is a list of nodes; siblings are read off the lists.
+MERKLE_SQL = f"""with recursive {CRC_SQL},
+    leaves as (select doc_id, lang, {_leaf_sql("text")} as leaf,
+            case when {crc_sql("doc_id::varchar")} % 3 = 0 then {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")}
+                else {_leaf_sql("text")} end as seen,
+            row_number() over (partition by lang order by doc_id) - 1 as place from documents, crc),
+    levels as (
+        select lang, 0 as level, list(leaf order by place) as nodes from leaves group by lang
+        union all
+        select lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        from levels where len(nodes) > 1),
+    subroots as (select lang, nodes[1] as subroot, row_number() over (order by lang nulls first) - 1 as rank
+        from levels where len(nodes) = 1),
+    tops as (
+        select 0 as level, list(subroot order by rank) as nodes from subroots
+        union all
+        select level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        from tops where len(nodes) > 1),
+    root as (select nodes[1] as root from tops where len(nodes) = 1),
+    steps as (
+        select l.doc_id, v.level, v.nodes, l.place // (8 ** v.level)::bigint as p from leaves l join levels v
+            on v.lang is not distinct from l.lang and len(v.nodes) > 1
+        union all
+        select l.doc_id, 1000 + t.level, t.nodes, s.rank // (8 ** t.level)::bigint from leaves l join subroots s
+            on s.lang is not distinct from l.lang join tops t on len(t.nodes) > 1),
+    sides as (select doc_id, level, array_to_string(nodes[p // 8 * 8 + 1:p], '') as l, array_to_string(nodes[p + 2:p // 8 * 8 + 8], '') as r
+        from steps),
+    proofs as (select doc_id, list([l, r] order by level) as path from sides group by doc_id),
+    told as (select l.doc_id, l.leaf, s.subroot, root.root, sha256(array_to_string(flatten(coalesce(path, [])), '')) as proof_sha256,
+            list_reduce(list_prepend([seen], coalesce(path, [])), lambda d, x: [sha256(x[1] || d[1] || x[2])])[1] as folded_root
+        from leaves l join subroots s on s.lang is not distinct from l.lang cross join root left join proofs p on p.doc_id = l.doc_id)
+    select *, folded_root = root as verified from told"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(docs, {"text": F.when(tampered, normalised(F.col("text"))).otherwise(F.col("text"))})
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
