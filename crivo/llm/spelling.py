@@ -39,26 +39,31 @@ CLASSES = tuple("".join(c for c in LETTERS if c in part or (c > "z" and ord(c) %
                 for i, part in enumerate(("ehdumzq", "tianb", "osrlvj", "cgfpwykx")))
 PAIRS = tuple(combinations(range(len(CLASSES)), 2))
 BLOCK = 2048  # words of one piece of a block
+PIECE = 1_000_000  # characters of a text whose runs are listed at once
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
 _LOWER = str.maketrans(UPPER, LOWER)
 _CLASS_OF = {c: i for i, part in enumerate(CLASSES) for c in part}
 _INDEX = np.full(0x100, -1, np.int64)
 _INDEX[[ord(c) for c in LETTERS]] = np.arange(len(LETTERS))
-_COLUMN_CLASS = np.array([_CLASS_OF[c] for c in LETTERS])
+_COLUMN_CLASSES = np.eye(len(CLASSES))[[_CLASS_OF[c] for c in LETTERS]]
+_BITS = 1 << np.arange(len(CLASSES))
+# The first pair of classes without a touched one, by the bits of the touched classes; two are touched at most.
+_FIRST_PAIR = np.array([next((k for k, p in enumerate(PAIRS) if not any(t >> c & 1 for c in p)), -1) for t in range(1 << len(CLASSES))])
 
 
-def _written(key: object, run: str) -> str:
-    """A run as it counts: A-Z lowered, and one letter gone where the checksum of row and run says so."""
-    low = run.lower() if run.isascii() else run.translate(_LOWER)
-    if key is None:
-        return low
-    h = zlib.crc32(f"{key}:{low}".encode())
+def _written(low: str, start: int) -> str:
+    """A lowered run as it counts: one letter gone where the checksum of row and run says so. `start` is that of the row."""
+    h = zlib.crc32(low.encode(), start)
     if h % DROPPED:
         return low
     at = h % len(low)
     return low[:at] + low[at + 1 :]
 
 
+def _found(text: str) -> Counter[str]:
+    return Counter(RUN.findall(text) if len(text) < PIECE else (m.group() for m in RUN.finditer(text)))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
 
@@ -68,11 +73,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            runs = Counter(m.group() for m in RUN.finditer(text.as_py()))
-            for run, n in runs.items():
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            start = None if key is None else zlib.crc32(f"{key}:".encode())
+            for run, n in _found(text).items():
                 if len(run) >= LEAST_LENGTH:
-                    word = _written(key, run)
+                    word = run.lower() if run.isascii() else run.translate(_LOWER)
+                    if start is not None:
+                        word = _written(word, start)
                     if len(word) >= LEAST_LENGTH:
                         counts[word] += n
             if len(counts) > FLUSH:
@@ -114,35 +121,43 @@ def counts_of(words: list[str]) -> np.ndarray:
     return out
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether one inserted, deleted or replaced letter makes `a` into `b`."""
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
-        return False
-    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
+def _letters(words: list[str]) -> np.ndarray:
+    """A row of code points for each of some words of one length."""
+    return np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(len(words), -1)
+
+
+def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each row, whether one replaced letter makes `a` into `b` or, with longer rows in `b`, one inserted letter."""
+    if a.shape[1] == b.shape[1]:
+        return (a != b).sum(1) == 1
+    front = np.logical_and.accumulate(a == b[:, :-1], axis=1).sum(1)
+    back = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1).sum(1)
+    return front + back >= a.shape[1]
 
 
-def near_pairs(low: list[str], high: list[str], pair: int, same: bool) -> list[tuple[int, int]]:
+def near_pairs(low: list[str], high: list[str], pair: int, same: bool) -> Iterator[tuple[int, int]]:
     """Places (in `low`, in `high`) of near words, from the squared distances of their counts. `same`: both lists are one,
     and a pair counts once. Pairs that meet in several pairs of classes are kept in the first."""
-    if not low or not high:
-        return []
+    if not low or not high or (same and len(low) == 1):
+        return
     a, b = counts_of(low), counts_of(high)
-    norms, found = (b * b).sum(1), []
+    letters_a, letters_b = _letters(low), _letters(high)
+    norms = (b * b).sum(1)
+    step = max(1, 8_000_000 // letters_b.shape[1])
     for start in range(0, len(low), BLOCK):
         part = a[start : start + BLOCK]
         apart = (part * part).sum(1)[:, None] + norms[None, :] - 2 * (part @ b.T)
-        for i, j in zip(*np.nonzero(apart <= 2)):
-            i = int(i) + start
-            if same and i >= j:
-                continue
-            touched = set(_COLUMN_CLASS[np.nonzero(a[i] != b[j])[0]].tolist())
-            first = next(k for k, classes in enumerate(PAIRS) if not touched & set(classes))
-            if first == pair and one_edit(low[i], high[int(j)]):
-                found.append((i, int(j)))
-    return found
+        i, j = np.nonzero((apart <= 2) & (apart > 0))
+        i += start
+        if same:
+            i, j = i[i < j], j[i < j]
+        for k in range(0, len(i), step):
+            x, y = i[k : k + step], j[k : k + step]
+            touched = ((a[x] != b[y]) @ _COLUMN_CLASSES) > 0
+            mine = _FIRST_PAIR[touched @ _BITS] == pair
+            x, y = x[mine], y[mine]
+            edit = one_edit(letters_a[x], letters_b[y])
+            yield from zip(x[edit].tolist(), y[edit].tolist())
 
 
 UNIT = ["pair", "length", "letters", "left", "right"]
