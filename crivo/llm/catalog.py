@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crivo.llm import bpe, exact, fingerprint, licenses, merkle, mix, near, planes, quality, secrets, shards, spelling
+from crivo.llm import bpe, exact, fingerprint, licenses, merkle, mix, near, planes, quality, repeats, secrets, shards, spelling
 from crivo.llm.base import LOWER, UPPER, WORD, normalised, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +160,31 @@ def op10_license_whole(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.whole(table(spark, folder, "documents"))
 
 
+# Brute force: every string of 100 bytes, as hex.
+REPEATS_SQL = """with bytes as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+    strings as (select doc_id, i, substr(h, 2 * i + 1, 200) as s from (select *, unnest(range(0, n - 99)) as i from bytes)),
+    later as (select doc_id, i from strings qualify row_number() over (partition by s order by doc_id, i) > 1),
+    breaks as (select *, case when i - lag(i) over (partition by doc_id order by i) <= 100 then 0 else 1 end as new from later),
+    islands as (select *, sum(new) over (partition by doc_id order by i) as island from breaks),
+    spans as (select doc_id, min(i) as b, max(i) + 100 as e, lag(max(i) + 100, 1, 0) over (partition by doc_id order by min(i)) as a
+        from islands group by doc_id, island),
+    kept as (select s.doc_id, sum(e - b) as n_removed, count(*) as n_spans,
+            string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by b) || substr(any_value(h), 2 * max(e) + 1) as k
+        from spans s join bytes on bytes.doc_id = s.doc_id group by s.doc_id)
+    select bytes.doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+        sha256(unhex(coalesce(k, h))) as kept_sha256
+    from bytes left join kept on kept.doc_id = bytes.doc_id"""
+
+
+@query("op11_repeated_strings", REPEATS_SQL)
+def op11_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    told = repeats.without_repeats(table(spark, folder, "documents"))
+    return told.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # crc32 of a list of bytes, through the table of the 256 bytes; of the text that DuckDB writes.
 CRC_SQL = """crc(t) as (select list(list_reduce(list_prepend(b, [0,0,0,0,0,0,0,0]::bigint[]),
             lambda x, y: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end)) order by b) from range(256) r(b))"""
