@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,9 +14,9 @@ from crivo.functions import scalars, text
 from crivo.operators import (
     clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series,
 )
-from crivo.plans import daily
-from crivo.session import cut
-from crivo.sources import landed
+from crivo.plans import daily, incremental
+from crivo.session import checkpoint_folder, cut
+from crivo.sources import landed, published
 from crivo.spec import BASELINE, AssetSpec, CleanRoles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -890,6 +892,99 @@ def ml_shadow(spark, folder):
     return models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories())
 
 
+# --- published days and what is derived from them --------------------------------------------------------
+
+CHANGED, THINNED = "date '1995-06-01'", "date '1996-03-01'"
+
+
+def _altered(history: DataFrame) -> DataFrame:
+    """A later state of the history: one day revised, one day without a third of its rows."""
+    price = F.when(F.expr(f"d = {CHANGED}"), F.col("price") * 2).otherwise(F.col("price"))
+    return history.withColumn("price", price).where(F.expr(f"d <> {THINNED} or id % 3 <> 0"))
+
+
+def _lake(spark, history: DataFrame, root: str) -> list:
+    days = sorted(r.d for r in history.select("d").distinct().collect())
+    published.publish(spark, root, {"sup_universe": history}, "d", days)
+    return days
+
+
+def _folder(spark) -> str:
+    return f"{checkpoint_folder(spark)}/lake-{uuid.uuid4().hex}"
+
+
+@query("incremental_rebuild", f"""with {v.HISTORY_SQL},
+  later as (select d, cls, id, dy, volume, case when d = {CHANGED} then price * 2 else price end as price from history
+    where d <> {THINNED} or id % 3 <> 0)
+  select q.d, cast(q.id as varchar) as id, round(q.price, 6) as price, q.cls, round(q.dy, 6) as dy,
+    round(q.price / lag(q.price) over (partition by q.id order by q.d) - 1, 6) as last_return,
+    round(f.price / q.price - 1, 6) as return_30, round(g.price / q.price - 1, 6) as return_90
+  from later q asof left join later f on q.id = f.id and f.d >= q.d + 30
+    asof left join later g on q.id = g.id and g.d >= q.d + 90""")
+def incremental_rebuild(spark, folder):
+    """The training set of a lake after two of its days were replaced: built in full, then only where the change reaches."""
+    root, past = _folder(spark), cut(v.history(spark, folder))
+    _lake(spark, past, root)
+    incremental.refresh_class(spark, root, v.HISTORY, (30, 90))
+    days = [r.d for r in past.select("d").distinct().where(f"d in ({CHANGED}, {THINNED})").collect()]
+    published.publish(spark, root, {"sup_universe": _altered(past)}, "d", days)
+    incremental.refresh_class(spark, root, v.HISTORY, (30, 90))
+    out = incremental.derived_table(spark, root, v.HISTORY, incremental.DATASET)
+    return out.select(
+        "d", "id", r6(F.col("price")).alias("price"), "cls", r6(F.col("dy")).alias("dy"),
+        r6(F.col("Retorno_Desde_Snapshot_Anterior")).alias("last_return"),
+        *[r6(F.col(f"Retorno_Futuro_{h}d")).alias(f"return_{h}") for h in (30, 90)],
+    )
+
+
+@query("published_days", f"""with {v.HISTORY_SQL}
+  select d as date, case when d = {CHANGED} then 2 else 1 end as version,
+    count(*) filter (d <> {THINNED} or id % 3 <> 0) as rows, 5 as columns from history group by d""")
+def published_days(spark, folder):
+    """Manifest of a lake in which one day was replaced; a run that broke off before it published is not seen."""
+    root, past = _folder(spark), cut(v.history(spark, folder))
+    _lake(spark, _altered(past), root)
+    day = [r.d for r in past.select("d").distinct().where(f"d = {CHANGED}").collect()]
+    published.publish(spark, root, {"sup_universe": past}, "d", day)
+    past.where("id % 2 = 0").withColumn("snapshot_date", F.col("d")).drop("d").write.partitionBy("snapshot_date").parquet(
+        f"{root}/sup_universe/run=broken"
+    )
+    rows = published.current(spark, root)
+    return rows.select("date", "version", "rows", F.size("columns").alias("columns"))
+
+
+@query("columns_that_drift", f"""with {v.HISTORY_SQL}
+  select d, id, price, case when d >= {CHANGED} then volume end as volume,
+    case when d < {CHANGED} then cast(cast(round_even(dy * 1000, 0) as bigint) as double) else dy end as dy from history""")
+def columns_that_drift(spark, folder):
+    """Days stored with and without a column, and with a number in two types."""
+    root, past = _folder(spark), cut(v.history(spark, folder))
+    days = sorted(r.d for r in past.select("d").distinct().collect())
+    old = past.drop("volume").withColumn("dy", F.rint(F.col("dy") * 1000).cast("bigint"))
+    edge = datetime.date(1995, 6, 1)
+    published.publish(spark, root, {"t": old}, "d", [d for d in days if d < edge])
+    published.publish(spark, root, {"t": past}, "d", [d for d in days if d >= edge])
+    return published.read(spark, root, "t", None, "d").select("d", "id", "price", "volume", "dy")
+
+
+@query("lake_verification", f"""with {v.HISTORY_SQL}
+  select d as date, case when d = {CHANGED} then 'altered' when d = {THINNED} then 'missing' else 'ok' end as status,
+    count(*) as rows, case when d <> {THINNED} then count(*) + (d = {CHANGED})::int * count(*) end as found_rows from history group by d
+  union all select date '2031-01-01', 'extra', null, null""")
+def lake_verification(spark, folder):
+    """A lake in which one day's rows were doubled, one day's folder is gone, and one folder was never published."""
+    root, past = _folder(spark), cut(v.history(spark, folder))
+    _lake(spark, past, root)
+    run = published.current(spark, root).first().run
+    day = past.where(f"d = {CHANGED}").drop("d")
+    place = f"{root}/sup_universe/run={run}/snapshot_date="
+    day.write.mode("append").parquet(f"{place}1995-06-01")
+    day.write.parquet(f"{place}2031-01-01")
+    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{place}1996-03-01")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return published.verify(spark, root, ["sup_universe"]).select("date", "status", "rows", "found_rows")
+
+
 # === reports ============================================================================================
 
 

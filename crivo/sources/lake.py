@@ -92,15 +92,27 @@ def read_days(
     return df.withColumn(date, F.col(DAY)) if date else df
 
 
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def names_in(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows `prefix` in the names of a folder's entries that start with it; nothing if there is no such folder."""
+    return sorted(n.removeprefix(prefix) for n in _listed(spark, path) if n.startswith(prefix))
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds files of a committed write."""
+    return any(n.endswith(".parquet") for n in _listed(spark, path))
+
+
 def days_of(spark: SparkSession, root: str, table: str) -> list[Date]:
     """Days that a table has a folder for, oldest first, from the file system's listing; no data is read. A day that was
     stored without rows is one of them."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    return sorted(Date.fromisoformat(n.removeprefix(f"{DAY}=")) for n in names if re.fullmatch(rf"{DAY}=\d{{4}}-\d\d-\d\d", n))
+    names = names_in(spark, f"{root}/{table}", f"{DAY}=")
+    return sorted(Date.fromisoformat(n) for n in names if re.fullmatch(r"\d{4}-\d\d-\d\d", n))
 
 
 def list_days(spark: SparkSession, root: str, table: str) -> DataFrame:
