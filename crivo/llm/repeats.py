@@ -46,8 +46,8 @@ WINDOW = 64  # strings that share an anchor; their marks are the bits of one num
 PIECE = 1 << 19  # strings looked at together
 FREQUENT, AT_LEAST = 500, 40  # an anchor is frequent in one of so many documents of a batch, and so many times
 SALTS = 64
-WIDE = 4096  # different spans of one anchor that an index takes
-BUCKET = 8192  # spans in one index, about
+WIDE = 2048  # different spans of one anchor that an index takes
+BUCKET = 4096  # spans in one index, about; a few anchors more if their hashes meet
 
 
 # === anchors ============================================================================================
@@ -173,14 +173,17 @@ def suffixes(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarra
     levels, size = [], 7
     while True:
         order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
+        rank = np.empty(n, np.int32)
+        ordered = key[order]
+        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        del ordered
         levels.append((size, rank))
         if rank[order[-1]] == n - 1:
             return order, levels
         later = np.zeros(n, np.int64)
         later[: max(0, n - size)] = rank[size:] + 1
-        key, size = rank * (n + 1) + later, 2 * size
+        later += rank * np.int64(n + 1)
+        key, size = later, 2 * size
 
 
 def common_lengths(symbols: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -62,7 +62,7 @@ def passages(copies: int, seed: int = 3) -> list[tuple]:
     return [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("copies, wide", [(12, 4096), (12, 3), (160, 4096), (160, 5)])
+@pytest.mark.parametrize("copies, wide", [(12, 2048), (12, 3), (160, 2048), (160, 5)])
 def test_repeats(spark, monkeypatch, copies, wide):
     monkeypatch.setattr(repeats, "WIDE", wide)
     data = passages(copies)
