@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from checks import views as v
 from crivo.functions import scalars, text
 from crivo.operators import (
-    clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series,
+    clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series, trees,
 )
 from crivo.plans import daily, incremental
-from crivo.session import checkpoint_folder, cut
+from crivo.session import checkpoint_folder, cut, ship
 from crivo.sources import landed, published
 from crivo.spec import BASELINE, AssetSpec, CleanRoles
 
@@ -801,7 +801,7 @@ def eval_table(spark, folder):
 
 @query("eval_warm_up", f"""with {v.EVALUATION_SQL} select {PERF_SQL}, 'Ativo' as "Status" from perf
   union all select 'C', m, '30d', 0, null, null, null, case when m = 'Score Top' then 0.0 end, 'Aquecendo'
-  from (values ('Score Top'), ('Ridge'), ('Random Forest'), ('Unresampled Forest'), ('Boosted Trees, depth 4'), ('Boosted Trees, large leaves'), ('Boosted Trees, all columns'), ('Ensemble')) t(m)""")
+  from (values ('Score Top'), ('Ridge'), ('Random Forest'), ('Extra Trees'), ('Boosted Trees, depth 4'), ('Boosted Trees, 31 leaves'), ('Boosted Trees, depth 5'), ('Ensemble')) t(m)""")
 def eval_warm_up(spark, folder):
     return performance(spark, folder, ["A", "B", "C"])
 
@@ -886,10 +886,65 @@ def ridge_predictions(spark, folder):
     return out.select("date", "id", r6(F.col("predicted_return")).alias("predicted_return"))
 
 
-@query("ml_shadow")
+@query("ml_shadow", f"""with {v.HISTORY_SQL}
+  select d as "Data_Execucao", 'SUP' as "Tipo", cast(id as varchar) as "Ticker", round(price, 6) as preco_atual,
+    'Ativo' as status_modelos, 6 as models, true as in_bounds, true as means_agree
+  from history where d = (select max(d) from history)""")
 def ml_shadow(spark, folder):
-    """All models with the settings of the operator."""
-    return models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories())
+    """All models with the settings of the operator. Of what they predict: how many did, whether every score is a percentile
+    of its model, and whether the ensemble is the mean of its parts."""
+    out = models.shadow_run(training_set(spark, folder), v.HISTORY, 30, models.factories())
+    return _agreement(out)
+
+
+def _agreement(out):
+    trained = [c for c in models.TRAINED if c in out.columns]
+    returns = [F.col(f"retorno_previsto_{c}_30d") for c in trained]
+    there = [F.when(F.col(c).isNotNull() & r.isNotNull(), 1).otherwise(0) for c, r in zip(trained, returns)]
+    mean = sum(returns) / len(returns)
+    score = sum(F.col(c) for c in trained) / len(trained)
+    bounds = [(F.col(c) > 0) & (F.col(c) <= 100) for c in trained]
+    agree = (F.abs(F.col("retorno_esperado_30d") - mean) < 1e-9) & (F.abs(F.col("score_ensemble") - score) < 1e-9)
+    in_bounds = bounds[0]
+    for b in bounds[1:]:
+        in_bounds = in_bounds & b
+    return out.select(
+        "Data_Execucao", "Tipo", "Ticker", r6(F.col("preco_atual")).alias("preco_atual"), "status_modelos",
+        sum(there).alias("models"), in_bounds.alias("in_bounds"), agree.alias("means_agree"),
+    )
+
+
+UNIFORM_SQL = "('0x' || substr(md5('42-' || tree || '-0-' || feature), 1, 8))::bigint / 4294967296.0::double"
+
+
+@query("extra_trees_splits", f"""with {v.HISTORY_SQL},
+  rows as (select q.d, q.dy as x1, q.volume as x2, f.price / q.price - 1 as y
+    from history q asof left join history f on q.cls = f.cls and q.id = f.id and f.d >= q.d + 30),
+  train as (select * from rows where d < (select max(d) from rows) and y is not null),
+  long as (select 0 as feature, x1 as x, y from train union all select 1, x2, y from train),
+  ranges as (select feature, min(x) as low, max(x) as high from long group by feature),
+  drawn as (select tree, feature, low + {UNIFORM_SQL} * (high - low) as threshold from ranges cross join range(250) t(tree))
+  select d.tree, d.feature, round(threshold, 6) as threshold, count(*) as rows_below, round(sum(y), 6) as total_below
+  from drawn d join long l on l.feature = d.feature and l.x <= d.threshold group by all""")
+def extra_trees_splits(spark, folder):
+    """The thresholds that 250 trees draw at their roots, with what lies below them."""
+    ship(spark)
+    found, _ = models.training(training_set(spark, folder), v.HISTORY, "Retorno_Futuro_30d", ["dy", "volume"])
+    level = trees.first_level(models.TREES)
+    trees.with_thresholds(found.train, level, found.inputs, models.SEED)
+    drawn = [(t, f, float(level.threshold[t, 0, f])) for t in range(models.TREES) for f in range(len(found.inputs))]
+    sums = trees.split_sums(found.train, level, found.inputs)
+    return spark.createDataFrame(drawn, "tree bigint, feature bigint, threshold double").join(sums, ["tree", "feature"]).select(
+        "tree", "feature", r6(F.col("threshold")).alias("threshold"), F.col("rows").cast("bigint").alias("rows_below"),
+        r6(F.col("total")).alias("total_below"),
+    )
+
+
+@query("extra_trees")
+def extra_trees(spark, folder):
+    """Predictions of 250 randomly split trees of depth 7."""
+    found, _ = models.training(training_set(spark, folder), v.HISTORY, "Retorno_Futuro_30d")
+    return models.random_splits(found)
 
 
 # --- published days and what is derived from them --------------------------------------------------------

@@ -1,20 +1,19 @@
 """Return models in shadow mode: trained on past dates, predicting the latest one.
 
-Data stay distributed throughout; the driver sees only counts, medians, moments and fitted models. Gradient
-boosting of three outside libraries and randomly split trees have no Spark counterpart: `score_xgboost`,
-`score_lightgbm` and `score_catboost` are three settings of Spark's boosted trees and `score_extra_trees` is
-a forest without resampling, so their numbers differ from what those libraries would give.
+Data stay distributed throughout; the driver sees only counts, medians, moments and fitted models. Randomly split trees
+and boosted trees are those of `trees.py`: `score_xgboost`, `score_lightgbm` and `score_catboost` are three settings of
+the same boosting, trained together, so their numbers differ from what three outside libraries would give.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,9 @@ from crivo.operators.clean import as_features, feature_columns
 from crivo.operators.evaluate import ensemble, scored, wide
 from crivo.operators.history import latest, prepared
 from crivo.operators.order import quantiles
-from crivo.session import checkpoint_folder, cut
+from crivo.operators.trees import Boosting, extra_trees, mean_of, sum_of
+from crivo.operators.trees import boosted as boosted_together
+from crivo.session import cut, ship
 from crivo.spec import BASELINE, MODELS, AssetSpec
 
 log = logging.getLogger(__name__)
@@ -34,6 +35,11 @@ MIN_TRAIN_ROWS, MIN_TRAIN_DATES = 20, 1
 RIDGE_ALPHA = 1.0
 TREES, TREE_DEPTH, MIN_LEAF, SEED = 250, 7, 5, 42
 ROUNDS, RATE, SUBSAMPLE = 250, 0.04, 0.85
+PRESETS = {
+    "score_xgboost": Boosting(ROUNDS, RATE, leaves=16, depth=4, rows=SUBSAMPLE, features=SUBSAMPLE, seed=SEED),
+    "score_lightgbm": Boosting(ROUNDS, RATE, leaves=31, depth=31, min_leaf=10, rows=SUBSAMPLE, features=SUBSAMPLE, seed=SEED),
+    "score_catboost": Boosting(ROUNDS, RATE, leaves=32, depth=5, seed=SEED),
+}
 TRAINED = [m for m in MODELS if m not in ("score_top", "score_ensemble")]
 WAITING = "Aguardando histórico suficiente para o horizonte selecionado."
 NO_FEATURES = "Nenhuma feature numérica disponível para treinamento."
@@ -53,6 +59,7 @@ class Training:
     target_spread: float
     means: dict[str, float]
     spreads: dict[str, float]
+    boosted: dict[int, dict] = field(default_factory=dict)  # by rounds: all presets are trained by the first one asked for
 
 
 def latest_base(data: DataFrame, spec: AssetSpec) -> DataFrame:
@@ -89,7 +96,7 @@ def training(
         col(target).alias("target"),
         *[col(n).alias(f) for f, n in codes.items()],
     )
-    typed = cut(typed)  # read by the split, the medians, the moments and every model
+    typed = _spread(cut(typed))  # read by the split, the medians, the moments and every model
     newest = typed.agg(F.max("date")).first()[0]
     known = typed.where((F.col("date") < F.lit(newest)) & F.col("target").isNotNull())
     facts = known.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("date").alias("dates")).first()
@@ -122,6 +129,12 @@ def training(
     ), note
 
 
+def _spread(stored: DataFrame) -> DataFrame:
+    """A stored table in one file for every core at least: training a small one is still a lot of work."""
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored if len(stored.inputFiles()) >= cores else cut(stored.repartition(cores))
+
+
 def _standardised(df: DataFrame, t: Training) -> DataFrame:
     return df.select("id", "date", "target", *[((F.col(f) - t.means[f]) / t.spreads[f]).alias(f) for f in t.inputs])
 
@@ -148,21 +161,27 @@ def ridge(t: Training, alpha: float = RIDGE_ALPHA) -> DataFrame:
     return _fit(model, t, standardise=True)
 
 
-def forest(t: Training, trees: int = TREES, resample: bool = True) -> DataFrame:
+def forest(t: Training, trees: int = TREES) -> DataFrame:
     model = RandomForestRegressor(
-        labelCol="target", numTrees=trees, maxDepth=TREE_DEPTH, minInstancesPerNode=MIN_LEAF, seed=SEED,
-        bootstrap=resample, featureSubsetStrategy="all" if resample else "onethird",
+        labelCol="target", numTrees=trees, maxDepth=TREE_DEPTH, minInstancesPerNode=MIN_LEAF, seed=SEED, featureSubsetStrategy="all"
     )
     return _fit(model, t)
 
 
-def boosted(t: Training, rounds: int, depth: int, min_leaf: int = 1, subsample: float = SUBSAMPLE, share: str = "0.85") -> DataFrame:
-    checkpoint_folder(t.train.sparkSession)  # boosting cuts its lineage every ten rounds
-    model = GBTRegressor(
-        labelCol="target", maxIter=rounds, stepSize=RATE, maxDepth=depth, minInstancesPerNode=min_leaf,
-        subsamplingRate=subsample, featureSubsetStrategy=share, seed=SEED,
-    )
-    return _fit(model, t)
+def random_splits(t: Training, trees: int = TREES) -> DataFrame:
+    """Extra trees: all rows, one drawn threshold per feature and node."""
+    ship(t.train.sparkSession)
+    model = extra_trees(t.train, t.inputs, trees, TREE_DEPTH, MIN_LEAF, SEED)
+    return mean_of(model, t.today, t.inputs, TREE_DEPTH)
+
+
+def boosted(t: Training, rounds: int, preset: str) -> DataFrame:
+    """One setting of the boosted trees. All settings share the job that the first of them starts."""
+    ship(t.train.sparkSession)
+    if rounds not in t.boosted:
+        t.boosted[rounds] = boosted_together(t.train, t.inputs, {n: replace(p, rounds=rounds) for n, p in PRESETS.items()})
+    base, trees = t.boosted[rounds][preset]
+    return sum_of(base, trees, t.today, t.inputs, PRESETS[preset].depth)
 
 
 def factories(trees: int = TREES, rounds: int = ROUNDS) -> dict[str, Callable[[Training], DataFrame]]:
@@ -170,10 +189,8 @@ def factories(trees: int = TREES, rounds: int = ROUNDS) -> dict[str, Callable[[T
     return {
         "score_ridge": ridge,
         "score_random_forest": lambda t: forest(t, trees),
-        "score_extra_trees": lambda t: forest(t, trees, resample=False),
-        "score_xgboost": lambda t: boosted(t, rounds, depth=4),
-        "score_lightgbm": lambda t: boosted(t, rounds, depth=5, min_leaf=10),
-        "score_catboost": lambda t: boosted(t, rounds, depth=5, subsample=1.0, share="all"),
+        "score_extra_trees": lambda t: random_splits(t, trees),
+        **{name: lambda t, name=name: boosted(t, rounds, name) for name in PRESETS},
     }
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +51,26 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED = "_crivo_shipped"
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package's code, wherever the driver found it. Spark's file server hands it out."""
+    context = spark.sparkContext
+    if getattr(context, _SHIPPED, False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = os.path.join(tempfile.mkdtemp(prefix="spark-"), "crivo-code.zip")
+    with open(target, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(target)
+    setattr(context, _SHIPPED, True)

@@ -210,10 +210,10 @@ MODELS = {
     "score_top": "Score Top",
     "score_ridge": "Ridge",
     "score_random_forest": "Random Forest",
-    "score_extra_trees": "Unresampled Forest",
+    "score_extra_trees": "Extra Trees",
     "score_xgboost": "Boosted Trees, depth 4",
-    "score_lightgbm": "Boosted Trees, large leaves",
-    "score_catboost": "Boosted Trees, all columns",
+    "score_lightgbm": "Boosted Trees, 31 leaves",
+    "score_catboost": "Boosted Trees, depth 5",
     "score_ensemble": "Ensemble",
 }
 BASELINE = "Score Top"

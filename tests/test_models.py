@@ -200,9 +200,11 @@ def test_ml_shadow_has_the_settings_of_the_operator(monkeypatch):
 
     used = []
     monkeypatch.setattr(catalog, "training_set", lambda *_: None)
+    monkeypatch.setattr(catalog, "_agreement", lambda found: found)
     monkeypatch.setattr(models, "shadow_run", lambda data, spec, horizon, given=None, *_: given or models.factories())
-    monkeypatch.setattr(models, "forest", lambda t, trees=models.TREES, **_: used.append(trees))
-    monkeypatch.setattr(models, "boosted", lambda t, rounds, **_: used.append(rounds))
+    monkeypatch.setattr(models, "forest", lambda t, trees=models.TREES: used.append(trees))
+    monkeypatch.setattr(models, "random_splits", lambda t, trees=models.TREES: used.append(trees))
+    monkeypatch.setattr(models, "boosted", lambda t, rounds, preset: used.append(rounds))
     found = catalog.ml_shadow(None, "")
     for name in list(found)[1:]:
         found[name](None)
