@@ -14,7 +14,7 @@ from crivo.functions import scalars, text
 from crivo.operators import (
     clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series, trees,
 )
-from crivo.plans import daily, incremental
+from crivo.plans import daily, incremental, refresh
 from crivo.session import checkpoint_folder, cut, ship
 from crivo.sources import landed, published
 from crivo.spec import BASELINE, AssetSpec, CleanRoles
@@ -1295,6 +1295,57 @@ def payload_explode(spark, folder):
     return both.select("d", "cls", ticker[1].alias("id"), "price", "score")
 
 
+def _documents(spark, folder):
+    """One document a day with the records of both classes' lists. Keys differ from record to record, numbers are written in
+    several ways, and every seventh document doesn't say its date."""
+    id_text = F.col("id").cast("string")
+    record = F.map_filter(
+        F.create_map(
+            F.lit("Ticker"), F.concat("cls", F.lit("-"), id_text),
+            F.lit("preco_atual"), F.round("price", 6).cast("decimal(20,6)").cast("string"),
+            F.lit("Score"), F.col("score").cast("string"),
+            F.when(F.col("pos") % 2 == 0, "Margem").otherwise("margem"), F.concat(F.col("pos").cast("string"), F.lit(",5%")),
+            F.lit("Faixa"), F.when(F.col("pos") % 5 == 0, F.col("pos").cast("string")).otherwise(F.translate(F.col("pos").cast("string"), "0123456789", "abcdefghij")),
+            F.lit("Lugar"), F.when(F.col("pos") % 10 == 0, "?").otherwise(F.col("pos").cast("string")),
+        ),
+        lambda k, x: x.isNotNull(),
+    )
+    day = F.col("d").cast("string")
+    said = F.when(F.dayofyear("d") % 7 != 0, day)
+    listed = portfolio(spark, folder).groupBy("d").agg(F.collect_list(record).alias("fiis"))
+    return listed.select(day.alias("day"), F.to_json(F.struct(said.alias("data"), "fiis")).alias("text"))
+
+
+@query("refresh_from_documents", f"""with {v.PORTFOLIO_SQL},
+  documents as (select d, to_json({{'data': case when dayofyear(d) % 7 <> 0 then d::varchar end, 'fiis': list({{'Ticker': cls || '-' || id,
+      'preco_atual': round(price, 6)::decimal(20,6)::varchar, 'Score': score::varchar, 'margem': pos || '.5', 'Faixa':
+      case when pos % 5 = 0 then pos::varchar else translate(pos::varchar, '0123456789', 'abcdefghij') end, 'Lugar': case when pos % 10 = 0 then '?' else pos::varchar end}})}}) as doc
+    from portfolio group by d),
+  records as (select coalesce(doc ->> '$.data', d::varchar)::date as d, unnest(from_json(doc -> '$.fiis', '["json"]')) as r from documents),
+  past as (select d, r ->> '$.Ticker' as id, (r ->> '$.preco_atual')::double as price, (r ->> '$.Score')::double as score,
+    (r ->> '$.margem')::double as margem, r ->> '$.Faixa' as faixa, try_cast(r ->> '$.Lugar' as double) as lugar from records)
+  select q.d, q.id, round(q.price, 6) as price, q.score, q.margem, q.faixa, q.lugar,
+    round(q.price / lag(q.price) over (partition by q.id order by q.d) - 1, 6) as last_return, round(f.price / q.price - 1, 6) as return_30
+  from past q asof left join past f on q.id = f.id and f.d >= q.d + 30""")
+def refresh_from_documents(spark, folder):
+    data = refresh.refresh_from_documents(_documents(spark, folder), "text", "fiis", v.HISTORY, landed.FUND_NAMES, (30,), "day")
+    return data.select(
+        "d", "id", r6(F.col("price")).alias("price"), "score", F.col("Margem").alias("margem"), F.col("Faixa").alias("faixa"),
+        F.col("Lugar").alias("lugar"), r6(F.col("Retorno_Desde_Snapshot_Anterior")).alias("last_return"), r6(F.col("Retorno_Futuro_30d")).alias("return_30"),
+    )
+
+
+@query("portfolio_listing", f"""with {v.PORTFOLIO_SQL}
+  select row_number() over (order by d nulls last, cls nulls last, pos nulls last, cast(id as varchar) nulls last) - 1 as place,
+    d as "Data_Carteira", cls as "Tipo", pos as "Posicao", cast(id as varchar) as "Ticker" from portfolio""")
+def portfolio_listing(spark, folder):
+    """The whole portfolio history in its order, numbered without a window over all of it."""
+    rows = portfolio(spark, folder).select(
+        F.col("d").alias("Data_Carteira"), F.col("cls").alias("Tipo"), F.col("pos").alias("Posicao"), F.col("id").cast("string").alias("Ticker")
+    )
+    return history.portfolio_listing(rows, "place")
+
+
 @query("conform_schema", f"""with {v.BR_TEXT_SQL}
   select c_custkey as id, case when c_custkey % 13 <> 0 then {BALANCE} end as price, cast(null as bigint) as absent,
     cast(c_custkey as varchar) as code from cents""")

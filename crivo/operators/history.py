@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from crivo.columns import attach, col, filled, first_present, number
 from crivo.functions.text import iso_date, ticker
-from crivo.operators.order import keep_last, keep_last_row
+from crivo.operators.order import keep_last, keep_last_row, positions
 from crivo.spec import AssetSpec
 
 # Names a price or a date may have in stored lists.
@@ -119,6 +119,8 @@ def holdings(portfolio: DataFrame, date: str, id: str, by: Sequence[str] = ()) -
     return counted.withColumn("holdings", F.size("tickers"))
 
 
-def portfolio_order() -> list[Column]:
-    """How a portfolio history is listed."""
-    return [F.col(c).asc_nulls_last() for c in ("Data_Carteira", "Tipo", "Posicao", "Ticker")]
+def portfolio_listing(portfolio: DataFrame, place: str = "place") -> DataFrame:
+    """A portfolio history with each row's place, from 0, in the order of date, class, position and ticker, missing ones last."""
+    keys = ["Data_Carteira", "Tipo", "Posicao", "Ticker"]
+    order = {f"_{part}{i}": flag for i, k in enumerate(keys) for part, flag in (("missing", col(k).isNull()), ("value", col(k)))}
+    return positions(portfolio.withColumns(order), list(order), name=place).drop(*order)

@@ -78,13 +78,15 @@ def quotes(df: DataFrame, text: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def payload_rows(
-    df: DataFrame, text: str, section: str, spec: AssetSpec, names: dict[str, Sequence[str]]
+    df: DataFrame, text: str, section: str, spec: AssetSpec, names: dict[str, Sequence[str]], day: str | None = None
 ) -> DataFrame:
     """History rows of stored daily payloads: date, ticker, price, score and the record itself (`fields`, a
     map of texts). A role is read from the first of its names that is filled. Records without ticker are
-    dropped."""
-    documents = df.select(F.from_json(col(text), PAYLOAD_SHAPE).alias("p"))
-    rows = documents.select(F.col("p.data").alias("data"), F.explode(f"p.{section}").alias("fields"))
+    dropped. A payload without a date takes that of the column `day`."""
+    stored = F.lit(None).cast("string") if day is None else col(day).cast("string")
+    documents = df.select(F.from_json(col(text), PAYLOAD_SHAPE).alias("p"), stored.alias("day"))
+    date = F.coalesce(F.nullif(F.col("p.data"), F.lit("")), F.col("day"))
+    rows = documents.select(date.alias("data"), F.explode(f"p.{section}").alias("fields"))
 
     def role(name: str) -> Column:
         return F.coalesce(*[F.nullif(F.col("fields")[n], F.lit("")) for n in names[name]])
