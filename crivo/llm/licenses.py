@@ -239,7 +239,8 @@ def scan(
     listed: Sequence[tuple[str, str]] = TEMPLATES,
     least: float = LEAST,
 ) -> DataFrame:
-    """One row per unit that matches a template: id, unit (`line` or `paragraph`), place (from 0), license, dice."""
+    """One row per unit that matches a template: id, unit (`line` or `paragraph`), place (from 0), license, dice. Rows alike in
+    id and text count once: a unit's common bigrams are a set."""
     known, bounds = templates(docs.sparkSession, listed, least)
     clean = F.regexp_replace(normalised(text_of(text)), r"[^a-z0-9\n]+", " ")
     units = docs.select(col(id).alias("_id"), F.explode(_once(clean, _units)).alias("u")).select("_id", "u.*")
@@ -256,8 +257,8 @@ def scan(
     found = _once(words, lambda w: _once(_bigrams(w), fitting))
     cells = units.select(F.xxhash64("_id", "unit", "place", "body").alias("_key"), "_id", "unit", "place", F.explode(found).alias("c"))
     cells = cells.select("_key", "_id", "unit", "place", "c.*")
-    met = cells.join(F.broadcast(known), (cells["bigram"] == known["bigram"]) & F.col("n").between(F.col("low"), F.col("high")))
-    counted = met.groupBy("_key", "_id", "unit", "place", "n", "template", "license", "of").agg(F.count(F.lit(1)).alias("common"))
+    met = cells.join(F.broadcast(known.withColumnRenamed("bigram", "_bigram")), (F.col("bigram") == F.col("_bigram")) & F.col("n").between(F.col("low"), F.col("high")))
+    counted = met.groupBy("_key", "_id", "unit", "place", "n", "template", "license", "of").agg(F.size(F.collect_set("bigram")).alias("common"))
     dice = F.col("common") * 2.0 / (F.col("n") + F.col("of"))
     best = counted.withColumn("dice", dice).where(F.col("dice") >= least)
     chosen = best.groupBy("_key", "_id", "unit", "place").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("best"))

@@ -50,7 +50,8 @@ ANY = f"{_RUN}|{_ASSIGNED}"
 _SIGN = r"[\"']?[=:]+>?"
 # A key that ends in a key word, and its value: up to the closing quote, or to the next mark or pair.
 _NAMED = rf"([A-Za-z0-9_.-]{{0,40}}(?i:{_KEYS})){_SIGN}[\"'(]*"
-_VALUE = r"((?<=\")[^\"\s]{6,}(?=\")|(?<=')[^'\s]{6,}(?=')|(?:[^\"'\s<>(){}\[\],;&]|&(?![A-Za-z0-9_.-]+=)){6,})"
+# The last repetition is possessive: Java runs any other repeated group by recursion, once a character.
+_VALUE = r"((?<=\")[^\"\s]{6,}(?=\")|(?<=')[^'\s]{6,}(?=')|(?:[^\"'\s<>(){}\[\],;&]|&(?![A-Za-z0-9_.-]+=)){6,}+)"
 _PAIR = _NAMED + _VALUE
 # A run, perhaps behind a short key and a sign.
 _LONG = r"(?:[A-Za-z_-]{2,24}[\"']?[=:][\"']?)?[A-Za-z0-9_+/=.@-]{%d,}" % SHORTEST
@@ -60,6 +61,9 @@ _OTHER_PARTS = r"^([A-Za-z0-9_.-]{1,40})=(?=[^=])(?=[A-Za-z_+/=.@-]*[0-9])([A-Za
 # What is left of a pair when its value is another word.
 _HEAD = rf"[A-Za-z0-9_.-]{{0,40}}(?i:{_KEYS})"
 
+# Two characters that mark where a match begins and ends; words lose them beforehand.
+_BEGIN, _END = "\u0001", "\u0002"
+_PARTS = "array<struct<text: string, match: string, pair: boolean>>"
 _FOUND = "array<struct<place:int,key:string,value:string,before2:string,before:string,after:string>>"
 
 FEATURES = (
@@ -94,42 +98,65 @@ def findings(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
             return once(F.concat(head, w), lambda whole: of_whole(whole, i))
 
         def of_whole(whole: Column, i: Column) -> Column:
-            keyed = whole.rlike(_ASSIGNED)
-            pairs = F.when(keyed, F.regexp_extract_all(whole, F.lit(f"({_PAIR})"), 1)).otherwise(F.array().cast("array<string>"))
-            rest = F.when(keyed, F.regexp_replace(whole, _PAIR, " ")).otherwise(whole)
-            runs = F.regexp_extract_all(rest, F.lit(f"({_LONG})"), 1)
+            return once(parted(whole), lambda parts: of_parts(parts, i))
+
+        def marked(text: Column, pattern: str, pair: bool) -> Column:
+            """(text, match) of a text's matches, each with the text between it and the one before; the last has no match."""
+            ends = F.split(F.regexp_replace(text, f"({pattern})", f"{_BEGIN}$1{_END}"), _END)
+            return F.transform(
+                ends,
+                lambda e: F.struct(
+                    F.substring_index(e, _BEGIN, 1).alias("text"),
+                    F.when(F.contains(e, F.lit(_BEGIN)), F.substring_index(e, _BEGIN, -1)).alias("match"),
+                    F.lit(pair).alias("pair"),
+                ),
+            )
+
+        def parted(whole: Column) -> Column:
+            """A word cut at its matches: pairs first, then runs in what lies between. Every character is in one part."""
+            plain = F.translate(whole, _BEGIN + _END, "")
+
+            def with_runs(p: Column) -> Column:
+                tail = F.struct(F.lit("").alias("text"), p["match"].alias("match"), F.lit(True).alias("pair"))
+                return F.concat(marked(p["text"], _LONG, False), F.when(p["match"].isNotNull(), F.array(tail)).otherwise(F.array().cast(_PARTS)))
+
+            pairs = F.flatten(F.transform(marked(plain, _PAIR, True), with_runs))
+            return F.when(plain.rlike(_ASSIGNED), pairs).otherwise(marked(plain, _LONG, False))
 
-            def of_run(m: Column) -> Column:
+        def of_parts(parts: Column, i: Column) -> Column:
+            def text_at(j: Column, name: str) -> Column:
+                return F.coalesce(F.get(parts, j)[name], F.lit(""))
+
+            def of_part(p: Column, j: Column) -> Column:
+                m = p["match"]
                 other = F.regexp_extract(m, _OTHER_PARTS, 2)
                 named = F.regexp_extract(m, _LONG_PARTS, 1)
                 general = (named == "") & (other != "")
-                key = F.when(general, F.regexp_extract(m, _OTHER_PARTS, 1)).otherwise(named)
-                value = F.when(general, other).otherwise(F.regexp_extract(m, _LONG_PARTS, 2))
-                return found(m, key, value, whole, i)
-
-            each = F.concat(
-                F.transform(pairs, lambda m: found(m, F.regexp_extract(m, _NAMED, 1), F.regexp_replace(m, f"^{_NAMED}", ""), whole, i)),
-                F.filter(F.transform(runs, of_run), lambda c: c["value"].rlike(run) & c["value"].rlike("[0-9]")),
-            )
-            return F.filter(each, lambda c: F.length(c["value"]) >= 6)
-
-        def found(match: Column, key: Column, value: Column, whole: Column, i: Column) -> Column:
-            """A candidate with its neighbours: inside the word if it has any there."""
-            place = F.instr(whole, match)
-
-            def tokens(part: Column) -> Column:
-                return F.filter(F.split(part, r"[^A-Za-z0-9_.@+/-]+"), lambda t: t != "")
-
-            left = tokens(F.substring(whole, F.lit(1), place - 1))
-            right = tokens(F.substring(whole, place + F.length(match), F.length(whole)))
-            return F.struct(
-                i.alias("place"),
-                F.lower(key).alias("key"),
-                F.regexp_replace(value, r"[.]+$", "").alias("value"),
-                F.lower(F.coalesce(F.get(left, F.size(left) - 2), at(i - 2 + F.size(left)))).alias("before2"),
-                F.lower(F.coalesce(F.get(left, F.size(left) - 1), at(i - 1))).alias("before"),
-                F.lower(F.coalesce(F.get(right, F.lit(0)), at(i + 1))).alias("after"),
-            )
+                key = F.when(p["pair"], F.regexp_extract(m, _NAMED, 1)).when(general, F.regexp_extract(m, _OTHER_PARTS, 1)).otherwise(named)
+                value = (
+                    F.when(p["pair"], F.regexp_replace(m, f"^{_NAMED}", "")).when(general, other).otherwise(F.regexp_extract(m, _LONG_PARTS, 2))
+                )
+                # Neighbours stand in the parts next to this one, so each part is read a few times at most.
+                left = tokens(F.concat(*[text_at(j - k, n) for k in (3, 2, 1) for n in ("text", "match")], p["text"]))
+                right = tokens(F.concat(*[text_at(j + k, n) for k in (1, 2, 3) for n in ("text", "match")]))
+                return F.struct(
+                    i.alias("place"),
+                    F.lower(key).alias("key"),
+                    F.regexp_replace(value, r"[.]+$", "").alias("value"),
+                    F.lower(F.coalesce(F.get(left, F.size(left) - 2), at(i - 2 + F.size(left)))).alias("before2"),
+                    F.lower(F.coalesce(F.get(left, F.size(left) - 1), at(i - 1))).alias("before"),
+                    F.lower(F.coalesce(F.get(right, F.lit(0)), at(i + 1))).alias("after"),
+                    p["pair"].alias("pair"),
+                )
+
+            every = F.filter(F.transform(parts, lambda p, j: F.when(p["match"].isNotNull(), of_part(p, j))), lambda c: c.isNotNull())
+            good = F.filter(every, lambda c: (F.length(c["value"]) >= 6) & (c["pair"] | (c["value"].rlike(run) & c["value"].rlike("[0-9]"))))
+            # Pairs first, as they are found.
+            both = F.concat(F.filter(good, lambda c: c["pair"]), F.filter(good, lambda c: ~c["pair"]))
+            return F.transform(both, lambda c: F.struct(*[c[n].alias(n) for n in ("place", "key", "value", "before2", "before", "after")]))
+
+        def tokens(part: Column) -> Column:
+            return F.filter(F.split(part, r"[^A-Za-z0-9_.@+/-]+"), lambda t: t != "")
 
         run = r"^[A-Za-z0-9_+/=.@-]{%d,}$" % SHORTEST
         return F.flatten(F.transform(words, lambda w, i: F.when(F.length(w) >= 6, of_word(w, i)).otherwise(F.array().cast(_FOUND))))
