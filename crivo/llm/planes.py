@@ -101,6 +101,8 @@ def blocks(documents: Iterator[tuple], size: int) -> Iterator[tuple[int, np.ndar
     for key, ids in documents:
         entry, done = (key, at, len(ids)), 0
         at += len(ids)
+        if not len(ids):
+            touched.append(entry)
         while done < len(ids):
             part = ids[done : done + room]
             held.append(part)
@@ -109,8 +111,8 @@ def blocks(documents: Iterator[tuple], size: int) -> Iterator[tuple[int, np.ndar
             if not room:
                 yield first, np.concatenate(held), touched
                 held, room, first, touched = [], size, first + size, []
-    if held:
-        yield first, np.concatenate(held), touched
+    if held or touched:
+        yield first, np.concatenate(held) if held else np.zeros(0, "<u4"), touched
 
 
 def write(
@@ -145,8 +147,8 @@ def write(
         def documents() -> Iterator[tuple]:
             for batch in batches:
                 texts = (t.as_py() for t in batch.column(1))
-                for key, ids in zip(batch.column(0), encoded(texts, described.value), strict=True):
-                    yield key.as_py(), np.frombuffer(ids + last, "<u4")
+                for key, ids in zip(batch.column(0).to_pylist(), encoded(texts, described.value), strict=True):
+                    yield key, np.frombuffer(ids + last, "<u4")
 
         for number, (first, ids, touched) in enumerate(blocks(documents(), block)):
             entries = [{"id": k, "start": s, "n_tokens": n} for k, s, n in touched]

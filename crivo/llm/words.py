@@ -1,7 +1,8 @@
 """Whole texts to ids with a tokenizer of the tokenizers library that drops white space and lowers case.
 
 Such a tokenizer treats each chunk between ASCII white space by itself, so a worker encodes every distinct chunk once
-and remembers it (within a bound). Chunks of printable ASCII are cut as the tokenizer's pattern cuts them and each piece
+and remembers it (within a bound). Texts that hold one of its special tokens go to the library as a whole, which finds
+them. Chunks of printable ASCII are cut as the tokenizer's pattern cuts them and each piece
 goes to the library's BPE model; any other chunk goes through the library's whole pipeline, normaliser included.
 """
 
@@ -14,7 +15,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
-#: Chunks and pieces that a worker remembers, and chunks looked up at a time.
+#: Chunks (twice as many) and pieces that a worker remembers, and chunks looked up at a time.
 REMEMBERED, AT_ONCE = 300_000, 100_000
 # The pattern of the tokenizer's pieces, for lower-case ASCII without white space.
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
@@ -27,10 +28,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(described)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content.lower().encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.pieces: dict[str, bytes] = {}
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # what was known before; chunks that are met again come back
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
@@ -44,10 +46,12 @@ class WordEncoder:
     def _learn(self, chunks: Iterable[bytes]) -> None:
         new = set(chunks).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
             new = set(chunks)
         rest = []
-        for chunk in new:
+        again = {chunk for chunk in new if chunk in self.older}
+        self.known.update((chunk, self.older[chunk]) for chunk in again)
+        for chunk in new.difference(again):
             text = chunk.decode("utf-8", "replace")
             if text.isascii() and text.isprintable():
                 self.known[chunk] = b"".join(map(self._piece, _PIECE.findall(text.lower())))
@@ -58,14 +62,20 @@ class WordEncoder:
             self.known.update((c, _packed(e.ids)) for (c, _), e in zip(rest, encoded, strict=True))
 
     def _joined(self, chunks: list[bytes]) -> bytes:
-        self._learn(chunks)
-        return b"".join(map(self.known.__getitem__, chunks))
+        try:
+            return b"".join(map(self.known.__getitem__, chunks))
+        except KeyError:
+            self._learn(chunks)
+            return b"".join(map(self.known.__getitem__, chunks))
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         raw = text.encode("utf-8", "surrogatepass")
+        low = raw.lower()
+        if any(s in low for s in self.special):
+            return _packed(self.whole.encode(text, add_special_tokens=False).ids)
         if raw.isascii():
-            raw = raw.lower()  # fewer distinct chunks; other texts are lowered by the library
+            raw = low  # fewer distinct chunks; other texts are lowered by the library
         if len(raw) <= 8 * AT_ONCE:
             return self._joined(raw.split())
         found = (m.group() for m in _CHUNK.finditer(raw))

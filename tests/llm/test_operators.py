@@ -440,6 +440,23 @@ def test_empty_token_file(spark, nothing):
     assert planes.digests(spark, root).count() == 0
 
 
+def test_token_file_without_an_end_id(spark):
+    """Texts without ids keep their row; special tokens are found as the library finds them."""
+    described = planes.read_tokenizer(WORDS)
+    tokenizer = Tokenizer.from_str(described)
+    texts = [None, "", "two words", " ", "a <|endoftext|> b", "<|ENDOFTEXT|>", "x<|startoftext|>É", None]
+    data = [(i, t, "", "", 0, "", 0, 0.0, "", "") for i, t in enumerate(texts)]
+    for end in (None, 1):
+        root = planes.new_folder(spark)
+        planes.write(samples.frame(spark, data), root, described, end=end)
+        start, wanted = 0, []
+        for i, t in enumerate(texts):
+            ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + ([] if end is None else [end]), "<u4")
+            wanted.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+            start += len(ids)
+        assert sorted(tuple(r) for r in planes.digests(spark, root).collect()) == wanted
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes(kind):
     apart, together = planes.KINDS[kind]
