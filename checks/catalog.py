@@ -841,6 +841,24 @@ def confidence_summary(spark, folder):
     )
 
 
+@query("confidence_leader", f"""with {CONFIDENCE_SQL},
+  shown as (select *, round(pct, 2) as p, list_position(['Score Top', 'Ridge', 'Random Forest'], "Modelo") as place from conf),
+  leader as (select * from shown where "Janelas_Validas" >= {confidence.MIN_WINDOWS} order by p desc, "Tipo", "Horizonte", place, "Modelo" limit 1)
+  select "Tipo" as leader_class, "Modelo" as leader, p as leader_pct,
+    case when p <= 0 then 'Não mensurável' when p < 40 then 'Baixa' when p < 70 then 'Média' else 'Alta' end as nivel_confiabilidade,
+    'Confiabilidade calculada com base em ' || "Janelas_Validas" || ' janelas válidas. Modelo mais confiável no momento: ' || "Modelo"
+      || ' (' || "Tipo" || ').' as mensagem,
+    (select string_agg("Tipo" || '/' || "Modelo", ', ' order by "Tipo", p desc, "Modelo") from shown) as models from leader""")
+def confidence_leader(spark, folder):
+    out = confidence.summary(cut(_confidence(spark, folder)), v.series(spark, folder))
+    leader = F.col("modelo_mais_confiavel")
+    named = F.transform("por_modelo", lambda m: F.concat_ws("/", m["Tipo"], m["Modelo"]))
+    return out.select(
+        leader["Tipo"].alias("leader_class"), leader["Modelo"].alias("leader"), leader["Confiabilidade_Pct"].alias("leader_pct"),
+        "nivel_confiabilidade", "mensagem", F.array_join(named, ", ").alias("models"),
+    )
+
+
 @query("maturity", f"""with {v.SERIES_SQL}
   select min(date) as primeiro_snapshot, max(date) as ultimo_snapshot, count(distinct date) as qtd_snapshots,
     date_diff('day', min(date), max(date)) as dias_historico,
@@ -1233,6 +1251,19 @@ def quality_overall(spark, folder):
     return quality.overall(_checks(spark, folder))
 
 
+@query("quality_by_day", f"""with {v.HISTORY_SQL},
+  sized as (select d, count(*) as n, count(*) filter (dy < 0.04) as low, min(price) as least from history group by d)
+  select d, case when least < 900 then 'error' when low > n / 4 then 'warn' else 'ok' end as status from sized""")
+def quality_by_day(spark, folder):
+    """Checks of every day of the history, folded to the worst of each day."""
+    days = v.history(spark, folder).groupBy("d").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("dy") < 0.04).alias("low"), F.min("price").alias("least")
+    )
+    rules = [("preço", F.col("least") < 900, quality.ERROR), ("dy", F.col("low") > F.col("n") / 4, quality.WARN)]
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.when(bad, s).otherwise(quality.OK).alias("status")) for n, bad, s in rules])
+    return quality.overall(days.select("d", F.explode(rows).alias("c")).select("d", "c.*"), ["d"])
+
+
 # === landed sources =====================================================================================
 
 

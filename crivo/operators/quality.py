@@ -120,8 +120,9 @@ def report(*checks: DataFrame) -> DataFrame:
     return union_all(*checks)
 
 
-def overall(checks: DataFrame) -> DataFrame:
-    """One row, `status`: error over warn over ok."""
+def overall(checks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`status`: error over warn over ok. One row, or one for each `by` group."""
     severity = F.when(F.col("status") == ERROR, 2).when(F.col("status") == WARN, 1).otherwise(0)
     worst = F.coalesce(F.max(severity), F.lit(0))
-    return checks.agg(F.element_at(F.array(F.lit(OK), F.lit(WARN), F.lit(ERROR)), worst + 1).alias("status"))
+    named = F.element_at(F.array(F.lit(OK), F.lit(WARN), F.lit(ERROR)), worst + 1).alias("status")
+    return checks.groupBy(*[col(b) for b in by]).agg(named) if by else checks.agg(named)
