@@ -16,7 +16,7 @@ from crivo.operators import (
 )
 from crivo.plans import daily, incremental, refresh
 from crivo.session import checkpoint_folder, cut, ship
-from crivo.sources import landed, published
+from crivo.sources import landed, lines, published
 from crivo.spec import BASELINE, AssetSpec, CleanRoles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1251,6 +1251,29 @@ def quality_overall(spark, folder):
     return quality.overall(_checks(spark, folder))
 
 
+@query("section_index", f"""with {v.SERIES_SQL},
+  placed as (select *, row_number() over (order by series, date) - 1 as place from series)
+  select place // 100 as block, min(place) as first, count(*) as rows, arg_min(series, place) as series, arg_min(date, place) as date
+  from placed group by all""")
+def section_index(spark, folder):
+    """Where the blocks of an ordered section begin that is as long as its series."""
+    path = _folder(spark)
+    lines.write_lines(v.series(spark, folder), ["series", "date"], path, block=100)
+    key = F.from_json("key", "struct<series: string, date: date>")
+    return lines.read_index(spark, path).select("block", "first", "rows", key["series"].alias("series"), key["date"].alias("date"))
+
+
+@query("section_lines", f"""with {v.SERIES_SQL},
+  placed as (select *, row_number() over (order by series, date) - 1 as place from series)
+  select place // 100 as block, series, date, round(value, 6) as value from placed""")
+def section_lines(spark, folder):
+    """The lines of an ordered section, read back."""
+    path = _folder(spark)
+    lines.write_lines(v.series(spark, folder), ["series", "date"], path, block=100)
+    record = F.from_json("value", "struct<series: string, date: date, value: double>")
+    return lines.read_lines(spark, path).select("block", record.alias("r")).select("block", "r.series", "r.date", r6(F.col("r.value")).alias("value"))
+
+
 @query("quality_by_day", f"""with {v.HISTORY_SQL},
   sized as (select d, count(*) as n, count(*) filter (dy < 0.04) as low, min(price) as least from history group by d)
   select d, case when least < 900 then 'error' when low > n / 4 then 'warn' else 'ok' end as status from sized""")

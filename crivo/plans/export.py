@@ -1,7 +1,7 @@
 """The daily report: every section as a table, and all of them as one JSON document per day.
 
-A document holds only lists whose length does not follow the data: the day's list, fifty leaderboard rows, one
-point per date of an index, one row per model, one row per ticker that ever made a list.
+Sections that grow with the data (recurring tickers, index and benchmark points) can also be stored as ordered blocks of
+JSON lines with an index (`export_lines`), which no task holds whole; the document lists them in one row.
 """
 
 from __future__ import annotations
@@ -20,12 +20,14 @@ from crivo.operators.order import keep_last_row
 from crivo.plans.daily import list_table, universe_table
 from crivo.plans.rebuild import Places, stored_days
 from crivo.sources import lake
+from crivo.sources.lines import write_lines
 from crivo.spec import FUNDS, MODELS, STOCKS, AssetSpec
 
 # Benchmark names each class is compared with, and section names of the document.
 COMPARED = {"FII": ("IFIX", "IMOB", "CDI"), "ACAO": ("IBOV", "IPCA", "CDI")}
 SECTION = {"FII": "fiis", "ACAO": "acoes"}
-PAYLOAD_TABLE = "payload"
+PAYLOAD_TABLE, LINES_TABLE = "payload", "payload_lines"
+GROWING = ("recorrentes", "comparativo", "benchmarks", "modelos_ranking")
 
 
 def list_section(spark: SparkSession, root: str, day: Date, spec: AssetSpec) -> DataFrame | None:
@@ -197,6 +199,14 @@ def export_day(
     return spark.read.text(path, wholetext=False).select(F.col("value").alias("text"))
 
 
+def export_lines(spark: SparkSession, root: str, day: Date, parts: dict[str, DataFrame]) -> list[str]:
+    """Stores the day's growing sections as ordered JSON lines under LINES_TABLE; returns their names."""
+    names = sorted(n for n in parts if n.startswith(GROWING))
+    for name in names:
+        write_lines(parts[name], _order(name, parts[name]), f"{root}/{LINES_TABLE}/{lake.DAY}={day.isoformat()}/{name}")
+    return names
+
+
 def stored_documents(spark: SparkSession, root: str) -> DataFrame:
     """All stored documents: rows (snapshot_date, text)."""
     return spark.read.text(f"{root}/{PAYLOAD_TABLE}").select(lake.DAY, F.col("value").alias("text"))
@@ -207,4 +217,4 @@ def exported_days(spark: SparkSession, root: str) -> DataFrame:
     return dates_of(stored_documents(spark, root), lake.DAY)
 
 
-__all__ = ["document", "export_day", "exported_days", "sections"]
+__all__ = ["document", "export_day", "export_lines", "exported_days", "sections"]
