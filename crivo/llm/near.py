@@ -17,7 +17,8 @@ filter), and from the first one they share on enough must follow in both (positi
 their own, which nobody else has, fail that.
 
 Null and empty texts have the empty set and link with nothing; a text of fewer words than a shingle is one shingle of
-all its words. A null id never links. Rows that repeat an id are one node: they share a component.
+all its words. A row with a null id links with nothing and has no component. What links are sets: where rows repeat an id with
+different texts, each goes with the group of its own text, so one of them can be a near copy of a smaller id and the other stay.
 """
 
 from __future__ import annotations
@@ -135,12 +136,14 @@ def _in_batches(sets: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
 
 
 def sketches(docs: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(id, n, class, keys): set size, a 128-bit name of the set (null if empty), and its band keys."""
+    """(id, mark, n, class, keys): a hash of the text, which tells rows of one id apart, set size, a 128-bit name of the set
+    (null if empty), and its band keys."""
     ship(docs.sparkSession)
-    narrow = docs.select(col(id).alias("id"), col(text).alias("text"))
+    narrow = docs.select(col(id).alias("id"), col(text).alias("text"), F.xxhash64(col(text)).alias("mark"))
     shape = T.StructType(
         [
             T.StructField("id", narrow.schema["id"].dataType),
+            T.StructField("mark", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("class", T.StringType()),
             T.StructField("keys", T.ArrayType(T.LongType())),
@@ -156,6 +159,7 @@ def sketches(docs: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(sets)),
+                        batch.column(2).slice(at, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if f else None for s, f in zip(sets, full)], pa.string()),
                         pa.array([k if f else None for k, f in zip(keys, full)], pa.list_(pa.int64())),
@@ -168,9 +172,11 @@ def sketches(docs: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFra
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(node, shingles) of the documents whose ids `wanted` lists in `node`."""
+    """(node, shingles) of the rows that `wanted` (node, id, mark) lists; of rows that repeat one is read. `wanted` should be a
+    written table: while that is small enough to broadcast, only the texts it lists are shuffled."""
     ship(docs.sparkSession)
-    narrow = docs.select(col(id).alias("node"), col(text).alias("text")).join(wanted, "node", "left_semi")
+    marked = docs.select(col(id).alias("id"), col(text).alias("text"), F.xxhash64(col(text)).alias("mark"))
+    narrow = marked.join(wanted, ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text"))
     shape = T.StructType([narrow.schema["node"], T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,18 +215,19 @@ def prefix_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
     return left.join(right, (left["shingle"] == right["shingle"]) & may & enough).select("a", "b").distinct()
 
 
-def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id of its group), kept."""
+def _grouped(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
+    """(id, mark, n, component, kept) of every row."""
     rows = cut(sketches(docs, id, text, width))
-    # Equal sets have equal keys, so any row speaks for its class.
+    # Equal sets have equal keys, so any row speaks for its class. Nodes are the classes, numbered; ids may repeat among them.
     classes = cut(
-        rows.where("class is not null")
+        rows.where("class is not null and id is not null")
         .groupBy("class")
-        .agg(F.min("id").alias("node"), F.first("n").alias("size"), F.first("keys").alias("keys"))
-        .where("node is not null")
+        .agg(F.min(F.struct("id", "mark")).alias("head"), F.first("n").alias("size"), F.first("keys").alias("keys"))
+        .select("class", "head.*", "size", "keys", F.monotonically_increasing_id().alias("node"))
     )
     keyed = crowded(classes.select(F.explode("keys").alias("key"), "node", "size"))
-    sets = cut(full_sets(docs, keyed.select("node").distinct(), id, text, width))
+    wanted = cut(classes.select("node", "id", "mark").join(keyed.select("node").distinct(), "node", "left_semi"))
+    sets = cut(full_sets(docs, wanted, id, text, width))
     least, whole = LIKE
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -231,17 +238,30 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
         return counted.where(F.col("common") * whole >= (F.col("both") - F.col("common")) * least)
 
     roots = linked(keyed, verify, lambda placed: prefix_pairs(placed, sets), LIKE)
-    named = cut(classes.select("class", "node").join(roots, "node", "left").select("class", F.coalesce("root", "node").alias("root")))
-    group = F.coalesce("root", "id")
+    grouped = roots.select("node", "root").union(roots.select("root", "root")).distinct()
+    inside = cut(classes.select("node", "id").join(grouped, "node"))
+    smallest = inside.groupBy("root").agg(F.min("id").alias("component"))
+    found = inside.select("node", "root").join(smallest, "root").select("node", "component")
+    named = cut(classes.select("class", "node", "id").join(found, "node", "left").select("class", F.coalesce("component", "id").alias("component")))
+    group = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return (
-        rows.select("id", "n", "class")
+        rows.select("id", "mark", "n", "class")
         .join(named, "class", "left")
-        .select(F.col("id").alias(id), F.col("n").alias("n_shingles"), group.alias("component_id"), F.coalesce(F.col("id") == group, F.lit(False)).alias("kept"))
+        .select("id", "mark", "n", group.alias("component"), F.coalesce(F.col("id") == group, F.lit(False)).alias("kept"))
+    )
+
+
+def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (smallest id of its group), kept."""
+    return _grouped(docs, id, text, width).select(
+        F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
     )
 
 
 def first_of_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """`docs` without the near copies: of each group the row with the smallest id stays, with the columns it has."""
-    dropped = near_groups(docs, id, text, width).where("not kept").select(col(id).alias("_dropped")).distinct()
-    packed = docs.select(F.struct("*").alias("_row"), col(id).alias("_id"))
-    return packed.join(dropped, F.col("_id") == F.col("_dropped"), "left_anti").select("_row.*")
+    """`docs` without the near copies: of each group the row with the smallest id stays, with the columns it has. Rows are
+    dropped by id and text, so a row that shares its id with a near copy stays; rows without an id stay."""
+    copies = _grouped(docs, id, text, width).where("not kept and id is not null")
+    dropped = copies.select(F.col("id").alias("_dropped"), F.col("mark").alias("_text")).distinct()
+    packed = docs.select(F.struct("*").alias("_row"), col(id).alias("_id"), F.xxhash64(col(text)).alias("_mark"))
+    return packed.join(dropped, (F.col("_id") == F.col("_dropped")) & (F.col("_mark") == F.col("_text")), "left_anti").select("_row.*")

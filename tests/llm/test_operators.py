@@ -154,6 +154,17 @@ def test_first_of_groups(spark, docs, nothing):
     assert near.near_groups(nothing).count() == near.first_of_groups(nothing).count() == 0
 
 
+def test_near_copies_among_repeated_ids(spark):
+    rng = random.Random(12)
+    a, b = samples.sentence(rng, 60), samples.sentence(rng, 60)
+    texts = [(1, a), (2, a + " end"), (2, b), (3, b), (3, b), (4, a), (4, None), (None, a)]
+    frame = samples.frame(spark, [(i, t, "en", "a", 1, "", 0, 0.0, "", "") for i, t in texts])
+    found = Counter((r.doc_id, r.component_id, r.kept) for r in near.near_groups(frame).collect())
+    assert found == Counter([(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (3, 2, False), (4, 1, False), (4, 4, True), (None, None, False)])
+    kept = Counter((r.doc_id, r.text) for r in near.first_of_groups(frame).collect())
+    assert kept == Counter([(1, a), (2, b), (4, None), (None, a)])
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     errors = []
