@@ -7,7 +7,7 @@ and day (see `history.prepared`), so a sequence is as long as the calendar allow
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +74,75 @@ def asof(
     )
 
 
+def probes(
+    questions: DataFrame,
+    observations: DataFrame,
+    keys: Sequence[str],
+    asks: Mapping[str, tuple[str, bool]],
+    date: str,
+    value: str,
+) -> DataFrame:
+    """Each question with `<name>_date` and `<name>_value` for every entry `name: (column, forward)` of `asks`: the nearest
+    observation of the same entity not earlier than the column's date (`forward`) or not later.
+
+    All entries, of either direction, are asked in one sequence per entity: one shuffle, and one carry for each direction.
+    On a day, questions that look ahead stand before the observation and those that look back stand after it. Questions
+    hold one row per entity and dates of `asks`; a null date has no answer.
+    """
+    at = list(dict.fromkeys(column for column, _ in asks.values()))
+    extra = [c for c in questions.columns if c not in keys and c not in at]
+    found = F.struct(col(date).alias("date"), col(value).alias("value"))
+    entity = [col(k) for k in keys]
+    # A struct of no columns is no type; the marker keeps the row's place when there is nothing else to carry.
+    row = F.struct(F.lit(True).alias("_asked"), *[col(c) for c in extra])
+    asked = questions.select(
+        *entity,
+        *[col(c).alias(f"_at{i}") for i, c in enumerate(at)],
+        row.alias("_row"),
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("_name"), F.lit(-1 if ahead else 1).alias("_asks"), col(column).alias("_at"))
+                    for i, (column, ahead) in enumerate(asks.values())
+                ]
+            )
+        ).alias("_e"),
+    ).select("*", "_e.*").drop("_e")
+    seen = observations.select(*entity, F.lit(0).alias("_asks"), col(date).alias("_at"), found.alias(_FOUND))
+    sequence = asked.unionByName(seen, allowMissingColumns=True)
+
+    def carried(ahead: bool) -> Column:
+        order = [F.col("_at").desc(), F.col("_asks").desc()] if ahead else [F.col("_at").asc(), F.col("_asks").asc()]
+        window = Window.partitionBy(*entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.last(_FOUND, ignorenulls=True).over(window)
+
+    ways = {ahead for _, ahead in asks.values()}
+    for ahead in ways:
+        sequence = sequence.withColumn(f"_to{int(ahead)}", carried(ahead))
+    folded = (
+        sequence.where((F.col("_asks") != 0))
+        .groupBy(*entity, *[f"_at{i}" for i in range(len(at))])
+        .agg(
+            F.first("_row", ignorenulls=True).alias("_row"),
+            *[
+                F.max(F.when((F.col("_name") == i) & F.col("_at").isNotNull(), F.col(f"_to{int(ahead)}"))).alias(f"_answer{i}")
+                for i, (_, ahead) in enumerate(asks.values())
+            ],
+        )
+    )
+    answers = [
+        F.col(f"_answer{i}")[part].alias(f"{name}_{part}") for i, name in enumerate(asks) for part in ("date", "value")
+    ]
+    named = {c: F.col(f"_at{i}") for i, c in enumerate(at)}
+    return folded.select(
+        *[
+            (col(c) if c in keys else named[c] if c in named else F.col("_row")[c]).alias(c)
+            for c in questions.columns
+        ],
+        *answers,
+    )
+
+
 def forward_returns(
     df: DataFrame, keys: Sequence[str], date: str, price: str, horizons: Sequence[int]
 ) -> DataFrame:

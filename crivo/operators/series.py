@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crivo.columns import attach, col, rounded
-from crivo.operators.asof import asof
+from crivo.operators.asof import asof, probes
 
 
 def compound(df: DataFrame, by: Sequence[str], date: str = "date", rate_pct: str = "value") -> DataFrame:
@@ -125,18 +125,15 @@ def period_returns(
 ) -> DataFrame:
     """Adds `return` to rows (keys, start, end, ...): last over first close within the period, minus 1.
 
-    Null with fewer than two closes in the period or a first close of 0. Two as-of passes instead of joining
-    every close of the period.
+    Null with fewer than two closes in the period or a first close of 0. Both ends are asked in one as-of pass; no close
+    inside the period is joined. `windows` has one row per (keys, start, end).
     """
     closes = prices.where(col(price).isNotNull())
-    first = asof(windows, closes, keys, "start", date, price, forward=True, one_per_day=True).withColumnsRenamed(
-        {"found_date": "_d0", "found_value": "_p0"}
-    )
-    both = asof(first, closes, keys, "end", date, price, one_per_day=True)
-    measured = (F.col("_d0") < F.col("found_date")) & (F.col("_p0") != 0)
+    both = probes(windows, closes, keys, {"_first": ("start", True), "_last": ("end", False)}, date, price)
+    measured = (F.col("_first_date") < F.col("_last_date")) & (F.col("_first_value") != 0)
     return both.withColumn(
-        "return", F.when(measured, F.try_divide(F.col("found_value"), F.col("_p0")) - 1)
-    ).drop("_d0", "_p0", "found_date", "found_value")
+        "return", F.when(measured, F.try_divide(F.col("_last_value"), F.col("_first_value")) - 1)
+    ).drop("_first_date", "_first_value", "_last_date", "_last_value")
 
 
 def backtest_periods(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date as Date
 
 from pyspark.errors import AnalysisException
@@ -31,6 +32,60 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str = "")
     return conform(found, schema) if schema else found
 
 
+def read_sound(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a parquet table's sound files, and the quarantine: rows (path, error) of the files that can't be read.
+
+    A file counts as a whole: if its footer promises more rows than can be decoded, or has a column of another type than
+    `schema`, none of its rows are returned. One job counts what footers promise and one decodes the columns of `schema`,
+    both per file where the files are; only files that gave no row at all, broken or empty, are opened one by one from the
+    driver to tell the two apart and to learn the error. A missing path is an empty table with nothing in quarantine.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    listed = "path string, error string"
+    try:
+        files = spark.read.schema(wanted).parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], wanted), spark.createDataFrame([], listed)
+    if not files:
+        return spark.createDataFrame([], wanted), spark.createDataFrame([], listed)
+
+    def tolerant() -> DataFrame:
+        return spark.read.option("ignoreCorruptFiles", "true").schema(wanted).parquet(path)
+
+    place = F.col("_metadata.file_path").alias("path")
+    promised = tolerant().select(place).groupBy("path").agg(F.count(F.lit(1)).alias("promised"))
+    # A hash of all columns makes every page be decoded. A plain count of it would be planned as a count of rows.
+    odd = F.xxhash64(*[col(c) for c in wanted.names]) % 2 != 0
+    decoded = tolerant().select(place, odd.alias("odd")).groupBy("path").agg(
+        (F.count_if("odd") + F.count_if(~F.col("odd"))).alias("decoded")
+    )
+    both = promised.join(decoded, "path", "left").withColumn("decoded", F.coalesce("decoded", F.lit(0)))
+    lost = both.where("decoded < promised").select(
+        "path", F.format_string("%d of %d rows can be decoded", "decoded", "promised").alias("error")
+    )
+    every = spark.createDataFrame([(f,) for f in files], "path string")
+    silent = [r.path for r in every.join(promised, "path", "left_anti").collect()]
+
+    def problem(file: str) -> tuple[str, str] | None:
+        try:
+            spark.read.parquet(file)
+        except Exception as error:  # noqa: BLE001  whatever it is, it belongs in the list
+            raised = getattr(error, "java_exception", None)
+            return file, (raised.getMessage() if raised else str(error) or type(error).__name__).splitlines()[0]
+        return None
+
+    with ThreadPoolExecutor(8) as pool:
+        broken = [p for p in pool.map(problem, silent) if p]
+    bad = spark.createDataFrame(broken, listed).unionByName(lost)
+    for file, why in broken:
+        log.warning("left out %s: %s", file, why)
+    named = tolerant().withColumn("_file", F.col("_metadata.file_path"))
+    sound = named.join(bad.select(F.col("path").alias("_file")), "_file", "left_anti").select(*[col(c) for c in wanted.names])
+    return sound, bad
+
+
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """The columns of a declared schema, in its types: values that do not fit and absent columns are null,
     other columns are dropped."""

@@ -216,3 +216,27 @@ def test_the_stored_manifest_is_held_against_the_folders(spark, tmp_path):
     assert status["lake_manifest"] == "warn"  # a day that no plan has noted down
     empty = quality.index_filled(spark.createDataFrame([], "date date")).first()
     assert (empty.status, empty.detail) == ("warn", "0 datas no index.json")
+
+
+def test_unreadable_files_are_listed_and_the_rest_is_read(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, v int"
+    assert [f.count() for f in lake.read_sound(spark, path, schema)] == [0, 0]
+    rows = spark.createDataFrame([(f"k{i}", i) for i in range(40)], schema)
+    rows.repartition(4).write.parquet(path)
+    spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+    found, bad = lake.read_sound(spark, path, schema)
+    assert found.count() == 40 and bad.count() == 0  # an empty file is sound
+    files = sorted(p for p in (tmp_path / "t").glob("*.parquet") if spark.read.parquet(str(p)).count())
+    held = [{r.k for r in spark.read.parquet(str(p)).collect()} for p in files]
+    files[0].write_bytes(b"not parquet at all")
+    raw = bytearray(files[1].read_bytes())
+    raw[4:40] = b"\xff" * 36  # the footer still promises its rows
+    files[1].write_bytes(bytes(raw))
+    for crc in (tmp_path / "t").glob(".*.crc"):
+        crc.unlink()
+    found, bad = lake.read_sound(spark, path, schema)
+    assert {r.k for r in found.collect()} == set().union(*held[2:])
+    listed = {r.path.rsplit("/", 1)[1]: r.error for r in bad.collect()}
+    assert set(listed) == {files[0].name, files[1].name} and all(listed.values())
+    lake.write_table(bad, str(tmp_path / "quarantine"))
+    assert lake.read_table(spark, str(tmp_path / "quarantine")).count() == 2

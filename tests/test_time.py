@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crivo.operators import features, history, report, series
-from crivo.operators.asof import asof, forward_returns
+from crivo.operators.asof import asof, forward_returns, probes
 from crivo.spec import FUNDS
 
 DAY = datetime.date
@@ -38,6 +38,41 @@ def test_asof_matches_brute_force(spark, forward, one_per_day):
         assert (r.found_date, r.found_value) == best
 
 
+def test_probes_of_both_directions_match_brute_force(spark):
+    seen = prices()
+    start = DAY(2025, 12, 25)
+    questions = [
+        (t, start + datetime.timedelta(days=k), start + datetime.timedelta(days=k + w) if w else None, k)
+        for t in ("T0", "T1", "none", None) for k in range(0, 330, 7) for w in (0, 1, 30)
+    ]
+    q = spark.createDataFrame(questions, "t string, a date, b date, k int")
+    o = spark.createDataFrame(seen, "t string, d date, p double")
+    asks = {"next": ("a", True), "last": ("a", False), "ahead": ("b", True), "back": ("b", False)}
+    answered = probes(q, o, ["t"], asks, "d", "p")
+    got = answered.collect()
+    assert sorted(map(repr, ((r.t, r.a, r.b, r.k) for r in got))) == sorted(map(repr, questions))
+    for r in got:
+        for name, (column, forward) in asks.items():
+            at = r[column]
+            known = [(d, p) for t, d, p in seen if t == r.t and at and (d >= at if forward else d <= at)]
+            best = (min(known) if forward else max(known)) if known else (None, None)
+            assert (r[f"{name}_date"], r[f"{name}_value"]) == best
+    plain = probes(q.drop("k"), o, ["t"], {"x": ("a", True)}, "d", "p")
+    assert plain.columns == ["t", "a", "b", "x_date", "x_value"]
+
+
+def test_period_returns_take_one_shuffle(spark):
+    windows = spark.createDataFrame([("T0", DAY(2026, 2, 1), DAY(2026, 5, 1), "w"), ("T1", DAY(2026, 2, 1), DAY(2026, 2, 2), "v")], "t string, start date, end date, note string")
+    o = spark.createDataFrame(prices(), "t string, d date, p double")
+    found = series.period_returns(windows, o, ["t"], "d", "p")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    for r in found.collect():
+        inside = sorted((d, p) for t, d, p in prices() if t == r.t and r.start <= d <= r.end)
+        wanted = inside[-1][1] / inside[0][1] - 1 if len(inside) > 1 else None
+        assert (r["return"], r.note) == (pytest.approx(wanted) if wanted is not None else None, "w" if r.t == "T0" else "v")
+
+
 def test_forward_returns_match_brute_force(spark):
     rows = [(t, d, 0.0 if i % 17 == 0 else p, f"n{i}") for i, (t, d, p) in enumerate(prices())]
     df = spark.createDataFrame(rows, "t string, d date, p double, note string")
