@@ -14,10 +14,11 @@ from crivo.functions import scalars, text
 from crivo.operators import (
     clean, confidence, evaluate, features, history, models, order, quality, report, score, screen, series, trees,
 )
-from crivo.plans import daily, incremental, refresh
+from crivo.operators.asof import probes
+from crivo.plans import daily, export, incremental, refresh
 from crivo.session import checkpoint_folder, cut, ship
-from crivo.sources import landed, lines, published
-from crivo.spec import BASELINE, AssetSpec, CleanRoles
+from crivo.sources import lake, landed, lines, published
+from crivo.spec import BASELINE, FUNDS, AssetSpec, CleanRoles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -681,6 +682,84 @@ def backtest_summary(spark, folder):
     return out.select(*[r6(F.col(c)).alias(c) if c in names else F.col(c) for c in out.columns])
 
 
+EXPORTED = datetime.date(1997, 6, 1)
+# The benchmark names that the two classes' volumes stand in for; no CDI is given.
+STAND_INS = {"A": "IFIX", "B": "IMOB"}
+FUND_WINDOW_SQL = WINDOW_SQL.replace(
+    "picks as (select * from portfolio)", f"picks as (select * from portfolio where cls = 'A' and d <= date '{EXPORTED}')"
+).replace("2001-11-01", str(EXPORTED))
+
+
+def _market(past: DataFrame) -> DataFrame:
+    name = F.create_map(*[F.lit(x) for pair in STAND_INS.items() for x in pair])[F.col("cls")]
+    return past.groupBy(name.alias("series"), F.col("d").alias("date")).agg(
+        (F.sum(F.rint(F.col("volume") * 100).cast("bigint")) / 100).alias("value")
+    )
+
+
+@query("exported_backtest", f"""with {FUND_WINDOW_SQL}
+  select b as start, holdings,
+    {', '.join(f"round(100 * product(1 + coalesce({n}_return, 0)) over (order by b), 6) as {m}" for n, m in (("portfolio", "portfolio_base100"), ("market_a", "ifix_base100"), ("market_b", "imob_base100")))},
+    100.0::double as cdi_base100
+  from rows where portfolio_return is not null""")
+def exported_backtest(spark, folder):
+    """The backtest section of a day's document: one class, up to that day; a benchmark without a series stays flat."""
+    past = cut(v.history(spark, folder))
+    picks = cut(portfolio(spark, folder)).select(
+        F.when(F.col("cls") == "A", "FII").otherwise("ACAO").alias("Tipo"), F.col("id").alias("Ticker"), F.col("d").alias("Data_Carteira")
+    )
+    prices = past.select(F.col("id").alias(FUNDS.id), F.col("d").alias(FUNDS.date), F.col("price").alias(FUNDS.price))
+    found = export.backtest_sections(picks, prices, FUNDS, _market(past), EXPORTED)["backtest_periodos"]
+    names = [("portfolio", "portfolio_base100"), ("IFIX", "ifix_base100"), ("IMOB", "imob_base100"), ("CDI", "cdi_base100")]
+    return found.select("start", "holdings", *[r6(F.col(f"{n}_base100")).alias(alias) for n, alias in names])
+
+
+@query("market_sections", f"""with {v.HISTORY_SQL},
+  market as (select case cls when 'A' then 'IFIX' else 'IMOB' end as series, d as date,
+    cast(sum(cast(round_even(volume * 100, 0) as bigint)) as double) / 100 as value from history group by all)
+  select 'all' as since, series, date, round(value / first_value(value) over (partition by series order by date) * 100, 4) as value from market
+  union all
+  select 'day', m.series, m.date, round(m.value / b.base * 100, 4) from market m
+    join (select series, value as base from market where date = date '{EXPORTED}') b on m.series = b.series and m.date >= date '{EXPORTED}'""")
+def market_sections(spark, folder):
+    """Market series of the document, which need no portfolio: from their own first value, and from a given day."""
+    market = cut(_market(v.history(spark, folder)))
+    whole = export.market_section(market).select(F.lit("all").alias("since"), "series", "date", "value")
+    return whole.unionByName(export.market_section(market, EXPORTED).select(F.lit("day").alias("since"), "series", "date", "value"))
+
+
+@query("nearest_both_ways", f"""with {v.HISTORY_SQL}
+  select q.cls, q.id, q.d, l.d as last_date, round(l.price, 6) as last_price, n.d as next_date, round(n.price, 6) as next_price,
+    s.d as since_date from history q
+  asof left join history l on q.cls = l.cls and q.id = l.id and l.d <= q.d - 45
+  asof left join history n on q.cls = n.cls and q.id = n.id and n.d >= q.d + 45
+  asof left join history s on q.cls = s.cls and q.id = s.id and s.d >= q.d - 45""")
+def nearest_both_ways(spark, folder):
+    """Of every row, the neighbours 45 days before and after: three questions of both directions in one shuffle."""
+    past = v.history(spark, folder)
+    asked = past.select("cls", "id", "d", F.date_add("d", -45).alias("low"), F.date_add("d", 45).alias("high"))
+    asks = {"last": ("low", False), "next": ("high", True), "since": ("low", True)}
+    found = probes(asked, past, ["cls", "id"], asks, "d", "price")
+    return found.select(
+        "cls", "id", "d", "last_date", r6(F.col("last_value")).alias("last_price"), "next_date",
+        r6(F.col("next_value")).alias("next_price"), "since_date",
+    )
+
+
+@query("sound_files", f"""with {v.HISTORY_SQL}
+  select cls, count(*) as n, min(d) as first_day, round(max(volume), 2) as top, 1::bigint as left_out from history group by cls""")
+def sound_files(spark, folder):
+    """The history read from a folder that also holds a file which is no table: it is listed, the rest is read."""
+    root, past = _folder(spark), v.history(spark, folder)
+    past.write.parquet(f"{root}/t/sound")
+    past.select(F.to_json(F.struct("cls", "id")).alias("text")).coalesce(1).write.text(f"{root}/t/broken")
+    rows, bad = lake.read_sound(spark, f"{root}/t/*", past.schema)
+    left_out = bad.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return rows.groupBy("cls").agg(
+        F.count(F.lit(1)).alias("n"), F.min("d").alias("first_day"), F.round(F.max("volume"), 2).alias("top")
+    ).withColumn("left_out", left_out)
+
+
 @query("portfolio_snapshots", f"with {v.PORTFOLIO_SQL} select d, cls, count(distinct id) as n, min(cast(id as varchar)) as first_id from portfolio group by d, cls")
 def portfolio_snapshots(spark, folder):
     found = history.holdings(portfolio(spark, folder), "d", "id", ["cls"])

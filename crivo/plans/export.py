@@ -1,6 +1,6 @@
 """The daily report: every section as a table, and all of them as one JSON document per day.
 
-Sections that grow with the data (recurring tickers, index and benchmark points) can also be stored as ordered blocks of
+Sections that grow with the data (recurring tickers, index, market and benchmark points, backtest periods) can also be stored as ordered blocks of
 JSON lines with an index (`export_lines`), which no task holds whole; the document lists them in one row.
 """
 
@@ -19,6 +19,7 @@ from crivo.operators.history import before_day, dates_of
 from crivo.operators.order import keep_last_row
 from crivo.plans.daily import list_table, universe_table
 from crivo.plans.rebuild import Places, stored_days
+from crivo.session import cut
 from crivo.sources import lake
 from crivo.sources.lines import write_lines
 from crivo.spec import FUNDS, MODELS, STOCKS, AssetSpec
@@ -26,8 +27,11 @@ from crivo.spec import FUNDS, MODELS, STOCKS, AssetSpec
 # Benchmark names each class is compared with, and section names of the document.
 COMPARED = {"FII": ("IFIX", "IMOB", "CDI"), "ACAO": ("IBOV", "IPCA", "CDI")}
 SECTION = {"FII": "fiis", "ACAO": "acoes"}
+# Market series that are shown on their own, and economic series among the indicators.
+MARKET = ("IBOV", "IFIX", "IMOB", "CDI", "IPCA")
+ECONOMIC = ("ipca_12m", "selic", "igpm")
 PAYLOAD_TABLE, LINES_TABLE = "payload", "payload_lines"
-GROWING = ("recorrentes", "comparativo", "benchmarks", "modelos_ranking")
+GROWING = ("recorrentes", "comparativo", "benchmarks", "mercado", "indicadores_series", "backtest_periodos", "modelos_ranking")
 
 
 def list_section(spark: SparkSession, root: str, day: Date, spec: AssetSpec) -> DataFrame | None:
@@ -85,6 +89,51 @@ def comparison_section(portfolio: DataFrame, prices: DataFrame, spec: AssetSpec,
     return own.unionByName(series.rebase_from(compared, starts, ["series"]))
 
 
+def market_section(benchmarks: DataFrame, start: Date | None = None) -> DataFrame:
+    """Rows (series, date, value): each market series as a percentage of its own first value, or of its value at `start`.
+    No portfolio is needed. `benchmarks` has rows (series, date, value)."""
+    shown = benchmarks.where(F.col("series").isin(*MARKET))
+    if start is None:
+        return series.rebase(shown, ["series"])
+    starts = shown.select("series").distinct().withColumn("start", F.lit(start))
+    return series.rebase_from(shown, starts, ["series"])
+
+
+def indicator_sections(economic: DataFrame | None, quotes: DataFrame | None) -> dict[str, DataFrame]:
+    """The economic series, rows (series, date, value), as they were landed, a missing value kept as null; and the newest
+    quote of each currency pair, rows (pair, value, pct_change, updated_at)."""
+    out: dict[str, DataFrame] = {}
+    if economic is not None:
+        out["indicadores_series"] = economic.where(F.col("series").isin(*ECONOMIC)).select("series", "date", "value")
+    if quotes is not None:
+        newest = F.max_by(F.struct("value", "pct_change"), F.struct("updated_at", "value", "pct_change"))
+        found = quotes.groupBy("pair").agg(newest.alias("q"), F.max("updated_at").alias("updated_at"))
+        out["indicadores_cambio"] = found.select("pair", "q.*", "updated_at")
+    return out
+
+
+def backtest_sections(
+    portfolio: DataFrame, prices: DataFrame, spec: AssetSpec, benchmarks: DataFrame, day: Date
+) -> dict[str, DataFrame]:
+    """The class's portfolio held from each of its dates to the next, the last period up to `day`, against its benchmarks:
+    the summary in one row, and the chained periods."""
+    names = list(COMPARED.get(spec.kind, ()))
+    rows = portfolio.where((F.col("Tipo") == spec.kind) & (F.col("Data_Carteira") <= F.lit(day))).select(
+        F.col("Ticker").alias(spec.id), F.col("Data_Carteira").alias(spec.date)
+    )
+    market = benchmarks.where(F.col("series").isin(*names)).select(
+        "series", F.col("date").alias(spec.date), F.col("value").alias(spec.price)
+    )
+    until = prices.where(col(spec.date) <= F.lit(day))
+    periods = cut(
+        series.backtest_periods(rows, until, market, names, spec.id, spec.date, spec.price, F.lit(day))
+    )
+    return {
+        "backtest": series.backtest_summary(rows, periods, names, spec.date),
+        "backtest_periodos": series.chained_backtest(periods, names),
+    }
+
+
 def model_section(spark: SparkSession, root: str, day: Date, specs: Sequence[AssetSpec]) -> dict[str, DataFrame]:
     """Leaderboards (the trained models', or the day's list until there are any), performance with confidence,
     its summary, and the state of the section."""
@@ -123,7 +172,13 @@ def models_horizon(table: DataFrame, default: int = 7) -> int:
 
 
 def sections(
-    spark: SparkSession, root: str, day: Date, benchmarks: DataFrame | None = None, specs: Sequence[AssetSpec] = (FUNDS, STOCKS)
+    spark: SparkSession,
+    root: str,
+    day: Date,
+    benchmarks: DataFrame | None = None,
+    specs: Sequence[AssetSpec] = (FUNDS, STOCKS),
+    economic: DataFrame | None = None,
+    quotes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every section of the report that has data, as tables."""
     places = Places(root)
@@ -144,9 +199,13 @@ def sections(
             prices = lake.read_table(spark, places.history(spec))
             if benchmarks is not None and spec.price in prices.columns:
                 out[f"comparativo_{name}"] = comparison_section(portfolio, prices, spec, benchmarks)
+                backtest = backtest_sections(portfolio, prices, spec, benchmarks, day)
+                out.update({f"{part}_{name}": rows for part, rows in backtest.items()})
     out.update({f"modelos_{k}": v for k, v in model_section(spark, root, day, specs).items()})
     if benchmarks is not None:
         out["benchmarks"] = benchmarks
+        out["mercado"] = market_section(benchmarks)
+    out.update(indicator_sections(economic, quotes))
     return out
 
 
@@ -162,7 +221,11 @@ def _order(name: str, df: DataFrame) -> list[Column]:
             F.coalesce("melhor_posicao", missing_last[1]),
             F.col("Ticker"),
         ]
-    if name.startswith("comparativo") or name == "benchmarks":
+    if name.startswith("backtest_periodos"):
+        return [F.col("start")]
+    if name == "indicadores_cambio":
+        return [F.col("pair")]
+    if name.startswith("comparativo") or name in ("benchmarks", "mercado", "indicadores_series"):
         return [F.col("series"), F.col("date")]
     if name == "modelos_ranking":
         return [F.col("Tipo"), F.col("rank_modelo")]
@@ -190,10 +253,16 @@ def document(parts: dict[str, DataFrame], day: Date, spark: SparkSession) -> Dat
 
 
 def export_day(
-    spark: SparkSession, root: str, day: Date, benchmarks: DataFrame | None = None, specs: Sequence[AssetSpec] = (FUNDS, STOCKS)
+    spark: SparkSession,
+    root: str,
+    day: Date,
+    benchmarks: DataFrame | None = None,
+    specs: Sequence[AssetSpec] = (FUNDS, STOCKS),
+    economic: DataFrame | None = None,
+    quotes: DataFrame | None = None,
 ) -> DataFrame:
     """Stores the day's document in place of an earlier one and returns it."""
-    text = document(sections(spark, root, day, benchmarks, specs), day, spark).select("text")
+    text = document(sections(spark, root, day, benchmarks, specs, economic, quotes), day, spark).select("text")
     path = f"{root}/{PAYLOAD_TABLE}/{lake.DAY}={day.isoformat()}"
     text.write.mode("overwrite").text(path)
     return spark.read.text(path, wholetext=False).select(F.col("value").alias("text"))

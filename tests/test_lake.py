@@ -141,7 +141,9 @@ def test_document(spark, two_weeks):
     rates = [("CDI", DAY(2025, 12, 31), 100.0), ("CDI", DAY(2026, 1, 9), 101.0), ("IBOV", DAY(2026, 1, 5), 7.0)]
     benchmarks = spark.createDataFrame(rates, "series string, date date, value double")
     day = DAY(2026, 1, 13)
-    stored = export.export_day(spark, root, day, benchmarks).collect()
+    economic = spark.createDataFrame([("selic", DAY(2026, 1, 2), 0.05), ("igpm", DAY(2026, 1, 1), None), ("other", day, 1.0)], "series string, date date, value double")
+    quotes = spark.createDataFrame([("USD/BRL", 5.1, 0.2, "2026-01-12"), ("USD/BRL", 5.0, -0.2, "2026-01-13"), ("EUR/BRL", 6.0, None, "")], "pair string, value double, pct_change double, updated_at string")
+    stored = export.export_day(spark, root, day, benchmarks, economic=economic, quotes=quotes).collect()
     assert len(stored) == 1
     found = json.loads(stored[0].text)
     assert found["data"] == "2026-01-13" and len(found["fiis"]) == 5 and len(found["acoes"]) == 5
@@ -151,6 +153,16 @@ def test_document(spark, two_weeks):
     assert own[0] == ("2026-01-01", 100.0) and len(own) == 3
     cdi = sorted((p["date"], p["value"]) for p in found["comparativo_fiis"] if p["series"] == "CDI")
     assert cdi == [("2026-01-01", 100.0), ("2026-01-09", 101.0)]
+    assert [(r["series"], r.get("value")) for r in found["indicadores_series"]] == [("igpm", None), ("selic", 0.05)]
+    assert [(r["pair"], r["value"]) for r in found["indicadores_cambio"]] == [("EUR/BRL", 6.0), ("USD/BRL", 5.0)]
+    market = [(p["series"], p["date"], p["value"]) for p in found["mercado"]]
+    assert market == [("CDI", "2025-12-31", 100.0), ("CDI", "2026-01-09", 101.0), ("IBOV", "2026-01-05", 100.0)]
+    backtest = found["backtest_fiis"][0]
+    assert backtest["available"] and backtest["first_date"] == "2026-01-01" and backtest["rebalances"] == 3
+    assert backtest["periods"] == 2 == len(found["backtest_periodos_fiis"])
+    own = [p["value"] for p in found["comparativo_fiis"] if p["series"] == "carteira"]
+    chained = [p["portfolio_base100"] for p in found["backtest_periodos_fiis"]]
+    assert chained == pytest.approx(sorted(own)[1:] if own == sorted(own) else own[1:], abs=1e-3)
     assert [r["Posicao"] for r in found["fiis"]] == [1, 2, 3, 4, 5]
     assert [r["rank_modelo"] for r in found["modelos_ranking"]] == [*range(1, 31)] * 2
     times = [r["aparicoes"] for r in found["recorrentes_fiis"]]
