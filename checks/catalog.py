@@ -1247,6 +1247,17 @@ def section_state(spark, folder):
     return report.section_state(board, F.lit(True))
 
 
+@query("section_states", f"""select p_size, p_brand,
+    case when count(*) filter (p_partkey % 50 = 0) > 0 then '{report.STATES[0]}' when count(*) filter (p_partkey % 7 = 0) > 0 then '{report.STATES[1]}'
+      else '{report.STATES[2]}' end as status from part group by all""")
+def section_states(spark, folder):
+    """State per group of leaderboard rows, of which some are active, some a baseline, and most without a known state."""
+    key = F.col("p_partkey")
+    state = F.when(key % 50 == 0, "ATIVO").when(key % 7 == 0, "Baseline").when(key % 3 == 0, "?")
+    boards = v.table(spark, folder, "part").select("p_size", "p_brand", state.alias("status_modelos"))
+    return report.section_state(boards, F.lit(False), ["p_size", "p_brand"])
+
+
 @query("summary_block", f"""with {SCREENED_SQL}
   select count(*) as total, round_even(avg(dy) * 10000, 0) / 10000 as dy_medio, round_even(avg(multiple) * 10000, 0) / 10000 as multiplo_medio from top""")
 def summary_block(spark, folder):

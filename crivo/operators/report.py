@@ -139,16 +139,17 @@ def baseline_board(top: DataFrame, spec: AssetSpec, date: Column, n: int = 50) -
     return top_n(named, ["Tipo"], order, n, "rank_modelo")
 
 
-def section_state(boards: DataFrame, has_performance: Column) -> DataFrame:
-    """One row, `status`: the strongest state among the leaderboard rows; with rows or performance but no
-    known state the section is warming up."""
+def section_state(boards: DataFrame, has_performance: Column, by: Sequence[str] = ()) -> DataFrame:
+    """One row, `status`, or one per value of `by`: the strongest state among the leaderboard rows; with rows or performance
+    but no known state the section is warming up."""
     state = F.lower(F.col("status_modelos"))
-    facts = boards.agg(
+    facts = boards.groupBy(*[col(b) for b in by]).agg(
         F.max((state == "ativo").cast("int")).alias("_active"),
         F.max((state == "baseline").cast("int")).alias("_baseline"),
         F.count(F.lit(1)).alias("_rows"),
     )
     return facts.select(
+        *[col(b) for b in by],
         F.when(F.col("_active") == 1, STATES[0])
         .when(F.col("_baseline") == 1, STATES[1])
         .when((F.col("_rows") > 0) | has_performance, STATES[2])
