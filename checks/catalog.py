@@ -1204,7 +1204,7 @@ def trends(spark, folder):
     today = history.latest(past, "d")
     newest = past.agg(F.max("d").alias("newest"))
     before = history.before_day(past, "d", newest.select("newest").scalar())
-    return report.trends(today, before, "id", ["dy", "price", "absent"], ["cls"]).select(
+    return report.trends(today, before, "id", ["dy", "price", "absent"], ["cls"], from_zero=True).select(
         "cls", "id", "dy_tendencia", "price_tendencia"
     )
 

@@ -33,8 +33,10 @@ def records(df: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def trends(today: DataFrame, previous: DataFrame, id: str, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Adds `<name>_tendencia` for each indicator: its direction against the previous day's record."""
+def trends(
+    today: DataFrame, previous: DataFrame, id: str, names: Sequence[str], by: Sequence[str] = (), from_zero: bool = False
+) -> DataFrame:
+    """Adds `<name>_tendencia` for each indicator: its direction against the previous day's record (`from_zero`: see `trend`)."""
     shown = [n for n in names if n in today.columns]
     known = [n for n in shown if n in previous.columns]
     keys = [*by, id]
@@ -42,7 +44,7 @@ def trends(today: DataFrame, previous: DataFrame, id: str, names: Sequence[str],
     before = last.select(*[col(k) for k in keys], *[col(n).alias(f"_prev_{n}") for n in known])
     joined = today.join(before, keys, "left")
     labels = [
-        trend(col(n), col(f"_prev_{n}") if n in known else F.lit(None).cast("double")).alias(f"{n}_tendencia")
+        trend(col(n), col(f"_prev_{n}") if n in known else F.lit(None).cast("double"), from_zero=from_zero).alias(f"{n}_tendencia")
         for n in shown
     ]
     return joined.select(*[col(c) for c in today.columns], *labels)

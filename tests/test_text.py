@@ -124,3 +124,9 @@ def test_typed_columns_are_numericised_as_they_are(spark):
     df = spark.createDataFrame(rows, "id string, day string, price double, worth double, text_worth string")
     got = {r.id: (r.price, r.worth, r.text_worth) for r in clean.numericise(df, "id", "day", "price").collect()}
     assert got == {"A": (9.0e7, 123456789.5, 1.5), "B": (1.0, 2.0e12, 9.0e7)}
+
+
+def test_trend_from_zero(spark):
+    df = spark.createDataFrame([(1, 1.0, 0.0), (2, -1.0, 0.0), (3, 0.0, 0.0), (4, None, 0.0), (5, 1.0, None), (6, 1.01, 1.0)], "i int, a double, b double")
+    got = [r[1] for r in df.select("i", scalars.trend(F.col("a"), F.col("b"), from_zero=True)).orderBy("i").collect()]
+    assert got == ["subindo", "caindo", "subindo", "neutro", "neutro", "estavel"]
