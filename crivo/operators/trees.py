@@ -10,8 +10,9 @@
   its sibling is the parent less the child. Hundreds of rounds of a few steps each would read the rows and replay the trees
   as often, so all of it is one job in barrier mode: its tasks, one for every 250,000 rows, keep their rows and exchange
   histograms, and all settings move in step and share each exchange. An exchange holds the histograms of the few leaves
-  in question, never rows, and takes about a second, since Spark's barrier is polled once a second; a single task needs
-  none. If a task is lost, Spark starts the stage again.
+  in question, never rows. Spark's barrier is polled once a second, too slow for thousands of exchanges, so the tasks leave
+  their histograms as files in the shared folder; the barrier carries them only where tasks can't read each other's files.
+  If a task is lost, Spark starts the stage again, with files of its own.
 
 Rows need no order and no index; subsamples depend on a hash of the row's key and the round, so partitioning changes
 nothing but the last bits of sums.
@@ -22,17 +23,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import pickle
+import time
+import uuid
 from collections.abc import Generator, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crivo.session import checkpoint_folder
+
 BINS = 128
 ROWS_PER_TASK = 250_000
+PATIENCE = 3600  # seconds a task waits for the others' histograms
 
 
 # === trees ==============================================================================================
@@ -368,6 +375,74 @@ def in_step(runs: dict[str, Generator], summed) -> dict[str, tuple]:
     return done
 
 
+class Exchange:
+    """Sums arrays over the tasks of a barrier stage, in the same order everywhere.
+
+    Each task leaves its array as a file of the shared folder and reads the others'. A task that has left the file of one
+    turn has read all of the turn before, so its own file of that turn can go. Tasks first try whether they read each other's
+    files at all; if any can't, the arrays go through the barrier.
+    """
+
+    def __init__(self, folder: str, context: BarrierTaskContext):
+        self.context, self.tasks, self.turn = context, len(context.getTaskInfos()), 0
+        # A stage that is started again must not meet the files of the attempt before.
+        self.folder = f"{folder}/{context.allGather(uuid.uuid4().hex)[0]}" if self.tasks > 1 else folder
+        self.files = self._opened()
+
+    def summed(self, array: np.ndarray) -> np.ndarray:
+        if self.tasks == 1:
+            return array
+        held = array.astype(float).tobytes()
+        if self.files is None:
+            parts = [base64.b64decode(t) for t in self.context.allGather(base64.b64encode(held).decode())]
+        else:
+            parts = self._through_files(held)
+        return np.sum([np.frombuffer(p) for p in parts], axis=0)
+
+    def _opened(self) -> fs.FileSystem | None:
+        if self.tasks == 1:
+            return None
+        mine = self.context.partitionId()
+        try:
+            files, self.folder = fs.FileSystem.from_uri(self.folder)
+            files.create_dir(self.folder)
+            self._leave(files, f"{self.folder}/probe-{mine}", b"there")
+        except Exception:  # noqa: BLE001 - a folder that only Spark can open
+            files = None
+        left = self.context.allGather("" if files is None else "left")
+        if "" in left:
+            return None
+        found = files.get_file_info([f"{self.folder}/probe-{t}" for t in range(self.tasks)])
+        seen = self.context.allGather("seen" if all(f.type == fs.FileType.File for f in found) else "")
+        return None if "" in seen else files
+
+    @staticmethod
+    def _leave(files: fs.FileSystem, path: str, held: bytes) -> None:
+        with files.open_output_stream(f"{path}.part") as out:
+            out.write(held)
+        files.move(f"{path}.part", path)  # whole or not there
+
+    def _through_files(self, held: bytes) -> list[bytes]:
+        mine, self.turn = self.context.partitionId(), self.turn + 1
+        self._leave(self.files, f"{self.folder}/{self.turn}-{mine}", held)
+        parts, began, pause = {mine: held}, time.monotonic(), 0.001
+        while len(parts) < self.tasks:
+            missing = [t for t in range(self.tasks) if t not in parts]
+            infos = self.files.get_file_info([f"{self.folder}/{self.turn}-{t}" for t in missing])
+            there = [t for t, info in zip(missing, infos) if info.type == fs.FileType.File]
+            for t in there:
+                with self.files.open_input_stream(f"{self.folder}/{self.turn}-{t}") as source:
+                    parts[t] = source.read()
+            if not there:
+                if time.monotonic() - began > PATIENCE:
+                    raise TimeoutError(f"histograms of tasks {missing} did not come")
+                time.sleep(pause)
+                pause = min(2 * pause, 0.05)
+        if self.turn > 1:
+            self.files.delete_file(f"{self.folder}/{self.turn - 1}-{mine}")
+        return [parts[t] for t in range(self.tasks)]
+
+
 def bin_edges(train: DataFrame, inputs: list[str], bins: int = BINS) -> list[np.ndarray]:
     """Ascending inner edges of each feature: a value is in the first bin whose edge it doesn't exceed."""
     shares = [i / bins for i in range(1, bins)]
@@ -380,6 +455,7 @@ def boosted(train: DataFrame, inputs: list[str], settings: dict[str, Boosting],
     edges = bin_edges(train, inputs, bins)
     spark = train.sparkSession
     tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-train.count() // ROWS_PER_TASK)))
+    folder = f"{checkpoint_folder(spark)}/exchange-{uuid.uuid4().hex}"
 
     def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
@@ -389,13 +465,7 @@ def boosted(train: DataFrame, inputs: list[str], settings: dict[str, Boosting],
         keys = np.concatenate([h[2] for h in held]).view(np.uint64) if held else np.zeros(0, np.uint64)
         binned = np.column_stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)]).astype(np.uint8)
 
-        def summed(array: np.ndarray) -> np.ndarray:
-            if tasks == 1:
-                return array
-            texts = context.allGather(base64.b64encode(array.astype(float).tobytes()).decode())
-            return np.sum([np.frombuffer(base64.b64decode(t)) for t in texts], axis=0)
-
-        done = in_step({name: boost(binned, y, keys, bins, s) for name, s in settings.items()}, summed)
+        done = in_step({name: boost(binned, y, keys, bins, s) for name, s in settings.items()}, Exchange(folder, context).summed)
         if context.partitionId() == 0:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(done)], pa.binary())], names=["models"])
 

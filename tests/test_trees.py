@@ -1,6 +1,7 @@
 """Extra trees and boosted trees against plain recursive versions."""
 
 import datetime
+import time
 
 import numpy as np
 import pytest
@@ -166,3 +167,20 @@ def test_tasks_exchange_histograms(spark, monkeypatch):
         np.testing.assert_allclose(one[name][1].predict(x, 2), three[name][1].predict(x, 2), rtol=1e-9)
         got = {r.id: r.predicted_return for r in trees.sum_of(*three[name], df, INPUTS, 2).collect()}
         np.testing.assert_allclose([got[f"t{i}"] for i in range(60)], one[name][0] + one[name][1].predict(x, 2).sum(0), rtol=1e-9)
+
+
+def test_exchanges_do_not_wait_for_the_barrier(spark, monkeypatch):
+    """Some 60 exchanges, each of which took a second; where only Spark can open the folder, the barrier carries them."""
+    ship(spark)
+    x, y, df = table(spark, 60)
+    settings = {"a": trees.Boosting(20, 0.5, 4, 3)}
+    one = trees.boosted(df, INPUTS, settings)
+    monkeypatch.setattr(trees, "ROWS_PER_TASK", 25)
+    began = time.time()
+    three = trees.boosted(df, INPUTS, settings)
+    assert time.time() - began < 25
+    np.testing.assert_allclose(one["a"][1].predict(x, 3), three["a"][1].predict(x, 3), rtol=1e-9)
+    monkeypatch.setattr(trees, "checkpoint_folder", lambda spark: "viewfs:///nowhere")
+    few = {"a": trees.Boosting(1, 0.5, 4, 2)}
+    barrier = trees.boosted(df, INPUTS, few)
+    np.testing.assert_allclose(one["a"][1].predict(x, 2)[0], barrier["a"][1].predict(x, 2)[0], rtol=1e-9)
