@@ -26,15 +26,15 @@ from crivo.session import cut
 
 # Groups with more distinct values than this are cut into blocks and leaves.
 SPLIT_ABOVE = 1_000_000
-# Where a value stands on a scale of 65,536 steps for each factor e in magnitude, from the smallest double up.
-_STEPS = "((ln(abs(value)) + 746D) * 65536D)"
-# Its step is its block, and a 65,536th of a step its leaf; both grow with the value. So a window over the
-# blocks of a group sees as many rows as there are steps in the range of the data (some 45,000 per factor 2),
-# a window over the leaves of a block at most 65,536, and a leaf holds values equal to ten digits.
+# Where a value stands on a scale of 4,096 steps for each factor e in magnitude, from the smallest double up.
+_STEPS = "((ln(abs(value)) + 746D) * 4096D)"
+# Its step is its block, and a 1,048,576th of a step its leaf; both grow with the value. So a window over the
+# blocks of a group sees as many rows as there are steps in the range of the data (some 2,800 per factor 2),
+# a window over the leaves of a block at most 1,048,576, and a leaf holds values equal to ten digits.
 _BLOCK = f"""case when value is null then {2**62}L when value = 0 then 0L
   else cast(signum(value) as bigint) * least(floor({_STEPS}), {2**61}L) end"""
 _LEAF = f"""case when value is null or value = 0 or abs(value) = double('infinity') then 0L
-  else cast(signum(value) as bigint) * floor(({_STEPS} - floor({_STEPS})) * 65536D) end"""
+  else cast(signum(value) as bigint) * floor(({_STEPS} - floor({_STEPS})) * 1048576D) end"""
 
 
 def _melted(df: DataFrame, by: Sequence[str], key: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -55,39 +55,48 @@ def value_counts(long: DataFrame, by: Sequence[str], split_above: int | None = N
     groups = [*by, "factor"]
     named = ", ".join(quoted(g) for g in groups)
     counts = long.groupBy(*groups, "value").agg(F.expr("count(1) as count"))
-    sizes = counts.groupBy(*groups).agg(
-        F.expr("sum(if(value is null, 0, count)) as filled"),
-        F.expr("sum(if(value is null, count, 0)) as missing"),
-        F.expr("count(value) as distinct"),
-    )
-    blocked = counts.join(sizes, groups).selectExpr(
-        "*", f"if(distinct > {limit}, {_BLOCK}, 0L) as _block", f"if(distinct > {limit}, {_LEAF}, 0L) as _leaf"
+    # Only groups to be split are joined: one row for every million of the input at most, so it can be broadcast. A join
+    # by group would bring each whole group to one task, and Spark would leave it there for the windows below.
+    split = counts.groupBy(*groups).agg(
+        F.expr("sum(if(value is null, 0, count)) as _filled"),
+        F.expr("sum(if(value is null, count, 0)) as _missing"),
+        F.expr("count(value) as _distinct"),
+    ).where(f"_distinct > {limit}")
+    blocked = counts.join(F.broadcast(split), groups, "left").selectExpr(
+        "*", f"if(_distinct is null, 0L, {_BLOCK}) as _block", f"if(_distinct is null, 0L, {_LEAF}) as _leaf"
     )
 
-    # Offsets exist only for split groups; without any, Spark drops this branch while the query runs.
-    leaves = blocked.where(f"distinct > {limit}").groupBy(*groups, "_block", "_leaf").agg(F.expr("sum(count) as _rows"))
+    # Offsets exist only for split groups; without any, Spark drops this branch while the query runs. The shuffles by
+    # every key keep a split group in many tasks: one by some of the keys would do for Spark, and hold a group together.
+    leaves = blocked.where("_distinct is not null").groupBy(*groups, "_block", "_leaf").agg(F.expr("sum(count) as _rows"))
     blocks = leaves.groupBy(*groups, "_block").agg(F.expr("sum(_rows) as _all"))
     kept = [quoted(g) for g in groups]
     before_block = blocks.selectExpr(
         *kept, "_block", f"sum(_all) over (partition by {named} order by _block) - _all as _a"
-    )
+    ).repartition(*groups, "_block")
     before_leaf = leaves.selectExpr(
         *kept, "_block", "_leaf", f"sum(_rows) over (partition by {named}, _block order by _leaf) - _rows as _b"
     )
     offsets = before_leaf.join(before_block, [*groups, "_block"]).selectExpr(
         *kept, "_block", "_leaf", "_a + _b as _offset"
-    )
+    ).repartition(*groups, "_block", "_leaf")
+    # A group that is not split is one leaf: sums over the leaf are sums over the group.
+    leaf = f"partition by {named}, _block, _leaf"
     local = blocked.selectExpr(
-        "*", f"sum(count) over (partition by {named}, _block, _leaf order by value nulls last) - count as _local"
+        "*",
+        f"sum(count) over ({leaf} order by value nulls last) - count as _local",
+        f"sum(if(value is null, 0, count)) over ({leaf}) as _leaf_filled",
+        f"sum(if(value is null, count, 0)) over ({leaf}) as _leaf_missing",
+        f"count(value) over ({leaf}) as _leaf_distinct",
     )
     return local.join(offsets, [*groups, "_block", "_leaf"], "left").selectExpr(
         *kept,
         "value",
         "count",
         "coalesce(_offset, 0L) + _local as before",
-        "filled",
-        "missing",
-        "distinct",
+        "coalesce(_filled, _leaf_filled) as filled",
+        "coalesce(_missing, _leaf_missing) as missing",
+        "coalesce(_distinct, _leaf_distinct) as distinct",
     )
 
 

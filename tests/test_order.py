@@ -120,3 +120,26 @@ def test_breakdown(spark):
     assert rows[(1, "a")] == (1.0, 50.0, 0.6, "max")
     assert rows[(2, "a")] == (None, None, 0.6, "max")
     assert rows[(1, "P/VP")] == (5.0, 0.0, 0.3, "min")
+
+
+def test_a_split_group_is_ranked_in_many_tasks(spark, monkeypatch):
+    """One group of distinct values on both sides of 0: its rows are dealt by leaf to the windows, not by group."""
+    monkeypatch.setattr(order, "SPLIT_ABOVE", 100)
+    df = spark.range(6000).selectExpr("'g' as g", "id", "(id * 7919 % 6000 - 3000) / 1000D as v")
+    long = order._melted(df, ["g"], [], ["v"])
+    # As for a large table: its facts are joined by a shuffle, and no small partitions are merged.
+    large = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in large}
+    try:
+        for name, value in large.items():
+            spark.conf.set(name, value)
+        plan = order.value_counts(long, ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    steps = [line for line in plan.splitlines() if any(word in line for word in (" Window ", "Exchange", "Join"))]
+    first = next(i for i, line in enumerate(steps) if " Window " in line and "_leaf" in line)
+    below = next(line for line in steps[first:] if " Window " not in line)
+    assert "Exchange hashpartitioning" in below and "_leaf" in below, below
+    wrong = order.percentiles(df, ["g"], ["id"], ["v"]).join(df, "id").where("abs(pct_v - (v * 1000 + 3001) / 60) > 1e-9")
+    assert wrong.count() == 0
