@@ -769,11 +769,9 @@ def portfolio_snapshots(spark, folder):
 # === models and their evaluation ========================================================================
 
 
-def predictions(spark, folder):
+def predictions(spark, folder, past=None):
     """Deterministic stand-ins for model outputs, in long form and scored."""
-    lagged = features.features(
-        v.history(spark, folder), v.HISTORY, ["cls"]
-    )
+    lagged = features.features(v.history(spark, folder) if past is None else past, v.HISTORY, ["cls"])
     w = Window.partitionBy("cls", "id").orderBy("d")
     flow = F.try_divide(F.col("volume"), F.lag("volume").over(w)) - 1
     long = lagged.withColumn("flow", flow).select(
@@ -828,24 +826,25 @@ def wide_predictions(spark, folder):
     row_number() over (partition by cls order by round(score_ensemble, 6) desc nulls last, id) as rank_modelo
   from latest qualify rank_modelo <= 50""")
 def leaderboard(spark, folder):
-    scores = predictions(spark, folder)
+    scores = cut(predictions(spark, folder))
     top = scores.where(F.col("Modelo") == BASELINE).select(*evaluate.KEYS, F.col("score").alias("score_top"))
     rows = evaluate.ensemble(scores).join(top, list(evaluate.KEYS))
     rows = rows.withColumn("score_ensemble", r6(F.col("score_ensemble")))
-    return evaluate.leaderboard(rows).select("Data_Execucao", "Tipo", "Ticker", "score_ensemble", "rank_modelo")
+    return evaluate.leaderboard(cut(rows)).select("Data_Execucao", "Tipo", "Ticker", "score_ensemble", "rank_modelo")
 
 
-def realised(spark, folder):
+def realised(past):
     from crivo.operators.asof import forward_returns
 
-    out = forward_returns(v.history(spark, folder), ["cls", "id"], "d", "price", [30])
+    out = forward_returns(past.select("d", "cls", "id", "price"), ["cls", "id"], "d", "price", [30])
     return out.select(
         F.col("d").alias("Data_Execucao"), F.col("cls").alias("Tipo"), F.col("id").alias("Ticker"), "Retorno_Futuro_30d"
     )
 
 
 def _pairs(spark, folder):
-    return evaluate.paired(predictions(spark, folder), realised(spark, folder), "Retorno_Futuro_30d")
+    past = cut(v.history(spark, folder))  # read by the predictions and the returns
+    return evaluate.paired(predictions(spark, folder, past), realised(past), "Retorno_Futuro_30d")
 
 
 WINDOW_KEYS_SQL = 'model as "Modelo", cls as "Tipo", d as "Data_Execucao"'
@@ -869,7 +868,8 @@ PERF_SQL = """cls as "Tipo", model as "Modelo", '30d' as "Horizonte", windows as
 
 
 def performance(spark, folder, classes=()):
-    table = evaluate.evaluate(predictions(spark, folder), realised(spark, folder), "Retorno_Futuro_30d", "30d", classes)
+    past = cut(v.history(spark, folder))  # read by the predictions and the returns
+    table = evaluate.evaluate(predictions(spark, folder, past), realised(past), "Retorno_Futuro_30d", "30d", classes)
     return table.select(*[r6(F.col(c)).alias(c) if c in evaluate.MEASURES else F.col(c) for c in table.columns])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crivo.columns import col
 from crivo.functions.scalars import place_in
-from crivo.operators.order import keep_last, percentiles, top_n
+from crivo.operators.order import keep_last, top_n, with_percentiles
 from crivo.session import cut
 from crivo.spec import BASELINE, ENSEMBLE, MODELS
 
@@ -52,7 +52,9 @@ def window_measures(pairs: DataFrame, n: int = 20, min_rows: int = MIN_ROWS) ->
         F.avg("realised").alias("top_return"),
         F.avg((F.col("realised") > 0).cast("int")).alias("hit_rate"),
     )
-    ranks = percentiles(pairs, GROUP, ["Ticker"], ["score", "realised"])
+    ranks = with_percentiles(
+        pairs.select(*GROUP, "score", "realised"), GROUP, {v: f"pct_{v}" for v in ("score", "realised")}
+    )
     correlation = ranks.groupBy(*GROUP).agg(
         F.try_divide(
             F.covar_pop("pct_score", "pct_realised"),
@@ -120,10 +122,7 @@ def performance_order() -> list:
 def scored(predictions: DataFrame, value: str) -> DataFrame:
     """Adds `score`: the percentile of a model's predicted value within its class and date. Missing values
     stay missing and are not counted; a constant prediction scores 50."""
-    pct = percentiles(predictions, GROUP, ["Ticker"], [value], missing_counts=False, prefix="_pct_")
-    return predictions.join(
-        pct.select(*GROUP, "Ticker", col(f"_pct_{value}").alias("score")), [*GROUP, "Ticker"], "left"
-    )
+    return with_percentiles(cut(predictions), GROUP, {value: "score"}, missing_counts=False)
 
 
 def ensemble(predictions: DataFrame, baseline: str = BASELINE) -> DataFrame:

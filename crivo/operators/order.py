@@ -147,6 +147,37 @@ def percentiles(
     )
 
 
+def with_percentiles(df: DataFrame, by: Sequence[str], values: dict[str, str], missing_counts: bool = True) -> DataFrame:
+    """`df` with the percentile of each of `values` (column -> new column) within `by`; rules as in `percentiles_long`. Rows
+    without a group get none, and rows need no key.
+
+    Counts the rows of every group at once, so `df` should be stored. While none has more than `SPLIT_ABOVE`, one shuffle
+    by group and a sort for each value do; otherwise ranks are looked up by value.
+    """
+    require(df, [*by, *values], "with_percentiles")
+    groups = [col(b) for b in by]
+    most = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0]
+    if (most or 0) <= SPLIT_ABOVE:
+        grouped = F.lit(True)
+        for g in groups:
+            grouped = grouped & g.isNotNull()
+        for value, out in values.items():
+            share = _share(number(df, value), groups or [F.lit(0)], missing_counts)
+            df = df.withColumn(out, F.when(grouped, share))
+        return df
+    for value, out in values.items():
+        scores = value_counts(_melted(df, by, [], [value]), by).selectExpr(
+            *[f"{quoted(b)} as _by{i}" for i, b in enumerate(by)],
+            "value as _value",
+            f"{_MISSING_LAST if missing_counts else _MISSING_OUT} as _percentile",
+        )
+        same = number(df, value).eqNullSafe(F.col("_value"))
+        for i, b in enumerate(by):
+            same = same & (col(b) == F.col(f"_by{i}"))
+        df = df.join(scores, same, "left").select(*[col(c) for c in df.columns], F.col("_percentile").alias(out))
+    return df
+
+
 def _text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -155,24 +186,22 @@ def _text(value: str) -> str:
 def _windowed(df, by, key, values, missing_counts, prefix) -> DataFrame:
     out = df.select(*[col(k) for k in [*by, *key]], *[number(df, v).alias(v) for v in values])
     groups = [col(b) for b in by] or [F.lit(0)]
-    whole = Window.partitionBy(*groups)
-    shown = []
-    for v in values:
-        value = col(v)
-        rank = F.rank().over(whole.orderBy(value.asc_nulls_last()))
-        ties = F.count(F.lit(1)).over(Window.partitionBy(*groups, value))
-        average = rank + (ties - F.lit(1)) / F.lit(2.0)
-        if missing_counts:
-            share = average / F.count(F.lit(1)).over(whole) * 100
-        else:
-            low, high = F.min(value).over(whole), F.max(value).over(whole)
-            share = F.when(low == high, F.lit(50.0)).when(
-                value.isNotNull(), average / F.count(value).over(whole) * 100
-            )
-        shown.append(share.alias(f"{prefix}{v}"))
+    shown = [_share(col(v), groups, missing_counts).alias(f"{prefix}{v}") for v in values]
     return out.select(*[col(k) for k in [*by, *key]], *shown)
 
 
+def _share(value: Column, groups: Sequence[Column], missing_counts: bool) -> Column:
+    """Percentile of a value by windows over its group."""
+    whole = Window.partitionBy(*groups)
+    rank = F.rank().over(whole.orderBy(value.asc_nulls_last()))
+    ties = F.count(F.lit(1)).over(Window.partitionBy(*groups, value))
+    average = rank + (ties - F.lit(1)) / F.lit(2.0)
+    if missing_counts:
+        return average / F.count(F.lit(1)).over(whole) * 100
+    low, high = F.min(value).over(whole), F.max(value).over(whole)
+    return F.when(low == high, F.lit(50.0)).when(value.isNotNull(), average / F.count(value).over(whole) * 100)
+
+
 def quantiles(df: DataFrame, by: Sequence[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
     """Exact linear-interpolation quantiles: one row per group, one column per entry of `wanted`
     (output name -> (column, q)). Missing values are left out."""
@@ -281,5 +310,5 @@ def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
 
 __all__ = [
     "attach", "keep_first", "keep_last", "keep_last_row", "percentiles", "percentiles_long", "positions", "quantiles", "top_n",
-    "value_counts", "with_sequence",
+    "value_counts", "with_percentiles", "with_sequence",
 ]

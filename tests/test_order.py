@@ -143,3 +143,15 @@ def test_a_split_group_is_ranked_in_many_tasks(spark, monkeypatch):
     assert "Exchange hashpartitioning" in below and "_leaf" in below, below
     wrong = order.percentiles(df, ["g"], ["id"], ["v"]).join(df, "id").where("abs(pct_v - (v * 1000 + 3001) / 60) > 1e-9")
     assert wrong.count() == 0
+
+
+@pytest.mark.parametrize("missing_counts", [True, False])
+def test_percentiles_beside_the_rows(spark, monkeypatch, missing_counts):
+    """By windows and by lookup: the percentiles that the keyed form gives; two rows may share a key."""
+    rows = [("x", 1, 3.0), ("x", 2, 1.0), ("x", 2, 3.0), ("x", 3, None), ("y", 1, 7.0), ("y", 2, 7.0), (None, 1, 2.0), ("z", 1, None)]
+    df = spark.createDataFrame(rows, "g string, id int, v double").withColumn("row", F.monotonically_increasing_id())
+    keyed = {r.row: r.pct_v for r in order.percentiles(df, ["g"], ["row"], ["v"], missing_counts).collect()}
+    for limit in (1_000_000, 1):
+        monkeypatch.setattr(order, "SPLIT_ABOVE", limit)
+        got = {r.row: r.p for r in order.with_percentiles(df, ["g"], {"v": "p"}, missing_counts).collect()}
+        assert got == {r: keyed.get(r) for r in got} and len(got) == len(rows)
