@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crivo.columns import col, filled, number, to_number
 from crivo.functions import text
 from crivo.operators.order import keep_last_row
+from crivo.session import cut
 from crivo.spec import AssetSpec, CleanRoles
 
 # Footer word of the stock table, and name parts that mark a numeric column.
@@ -76,7 +77,11 @@ def numeric_profile(df: DataFrame, parser: Callable[[Column], Column] = text.any
 def numericise(df: DataFrame, id: str, date: str, price: str, share: float = 0.85) -> DataFrame:
     """Types a table of texts: columns with a numeric name, or of which at least `share` of the filled
     cells parse, become double; the rest text. Keeps rows with id, date and price, the last per (date, id)
-    by `_seq`. Looks at the data once, because the result's schema depends on it."""
+    by `_seq`. Looks at the data once, because the result's schema depends on it.
+
+    Parsing texts of unknown locale is most of the work, and a small file is a single task to Spark: the table is dealt by
+    (date, id) and stored first, so that all cores parse it, and look at it."""
+    df = cut(df.repartition(col(date), col(id)))
     kinds = dict(df.dtypes)
     candidates = [c for c in df.columns if c not in {id, date, price, "_seq", *ALWAYS_TEXT}]
     numeric = {c for c in candidates if any(part in c.lower() for part in NUMERIC_NAMES)}

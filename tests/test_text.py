@@ -130,3 +130,19 @@ def test_trend_from_zero(spark):
     df = spark.createDataFrame([(1, 1.0, 0.0), (2, -1.0, 0.0), (3, 0.0, 0.0), (4, None, 0.0), (5, 1.0, None), (6, 1.01, 1.0)], "i int, a double, b double")
     got = [r[1] for r in df.select("i", scalars.trend(F.col("a"), F.col("b"), from_zero=True)).orderBy("i").collect()]
     assert got == ["subindo", "caindo", "subindo", "neutro", "neutro", "estavel"]
+
+
+def test_numericise_deals_one_file_to_many_tasks(spark):
+    df = spark.range(4000).coalesce(1).selectExpr(
+        "'a' || id as t", "'2026-01-01' as d", "repeat('x', 200) || id as note", "id || ',5' as price", "sha2('' || id, 512) as noise"
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    try:
+        out = clean.numericise(df, "t", "d", "price")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize") if before is None else spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize", before
+        )
+    assert len(out.inputFiles()) > 1
+    assert out.agg(F.count("price"), F.sum("price")).first()[:] == (4000, sum(i + 0.5 for i in range(4000)))
