@@ -752,7 +752,8 @@ def sound_files(spark, folder):
     """The history read from a folder that also holds a file which is no table: it is listed, the rest is read."""
     root, past = _folder(spark), v.history(spark, folder)
     past.write.parquet(f"{root}/t/sound")
-    past.select(F.to_json(F.struct("cls", "id")).alias("text")).coalesce(1).write.text(f"{root}/t/broken")
+    counted = spark.read.schema(past.schema).parquet(f"{root}/t/sound").groupBy("cls").count()  # a line for each class: one file
+    counted.select(F.to_json(F.struct("cls", "count")).alias("text")).coalesce(1).write.text(f"{root}/t/broken")
     rows, bad = lake.read_sound(spark, f"{root}/t/*", past.schema)
     left_out = bad.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return rows.groupBy("cls").agg(

@@ -1,3 +1,4 @@
+import os
 import datetime
 import json
 
@@ -252,3 +253,15 @@ def test_unreadable_files_are_listed_and_the_rest_is_read(spark, tmp_path):
     assert set(listed) == {files[0].name, files[1].name} and all(listed.values())
     lake.write_table(bad, str(tmp_path / "quarantine"))
     assert lake.read_table(spark, str(tmp_path / "quarantine")).count() == 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="shared tables are not here")
+def test_the_broken_file_does_not_hold_the_history(spark, tmp_path, monkeypatch):
+    """One task writes it, so it must not grow with the history."""
+    from checks import catalog
+
+    monkeypatch.setattr(catalog, "_folder", lambda spark: str(tmp_path))
+    rows = catalog.QUERIES["sound_files"](spark, "/root/testdata/sf0.001").collect()
+    assert [r.left_out for r in rows] == [1] * len(rows)
+    (broken,) = (tmp_path / "t" / "broken").glob("part-*")
+    assert len(broken.read_text().splitlines()) == len(rows)
