@@ -93,12 +93,10 @@ def probes(
     extra = [c for c in questions.columns if c not in keys and c not in at]
     found = F.struct(col(date).alias("date"), col(value).alias("value"))
     entity = [col(k) for k in keys]
-    # A struct of no columns is no type; the marker keeps the row's place when there is nothing else to carry.
-    row = F.struct(F.lit(True).alias("_asked"), *[col(c) for c in extra])
     asked = questions.select(
         *entity,
         *[col(c).alias(f"_at{i}") for i, c in enumerate(at)],
-        row.alias("_row"),
+        *[col(c).alias(f"_row{i}") for i, c in enumerate(extra)],
         F.explode(
             F.array(
                 *[
@@ -116,6 +114,8 @@ def probes(
         window = Window.partitionBy(*entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return F.last(_FOUND, ignorenulls=True).over(window)
 
+    # Folded column by column: numbers and dates are then added up in a hash table of one row for each question; structs
+    # would be sorted once more, with every row of the sequence in memory.
     ways = {ahead for _, ahead in asks.values()}
     for ahead in ways:
         sequence = sequence.withColumn(f"_to{int(ahead)}", carried(ahead))
@@ -123,20 +123,19 @@ def probes(
         sequence.where((F.col("_asks") != 0))
         .groupBy(*entity, *[f"_at{i}" for i in range(len(at))])
         .agg(
-            F.first("_row", ignorenulls=True).alias("_row"),
+            *[F.first(f"_row{i}", ignorenulls=True).alias(f"_row{i}") for i in range(len(extra))],
             *[
-                F.max(F.when((F.col("_name") == i) & F.col("_at").isNotNull(), F.col(f"_to{int(ahead)}"))).alias(f"_answer{i}")
+                F.max(F.when((F.col("_name") == i) & F.col("_at").isNotNull(), F.col(f"_to{int(ahead)}")[part])).alias(f"_{part}{i}")
                 for i, (_, ahead) in enumerate(asks.values())
+                for part in ("date", "value")
             ],
         )
     )
-    answers = [
-        F.col(f"_answer{i}")[part].alias(f"{name}_{part}") for i, name in enumerate(asks) for part in ("date", "value")
-    ]
+    answers = [F.col(f"_{part}{i}").alias(f"{name}_{part}") for i, name in enumerate(asks) for part in ("date", "value")]
     named = {c: F.col(f"_at{i}") for i, c in enumerate(at)}
     return folded.select(
         *[
-            (col(c) if c in keys else named[c] if c in named else F.col("_row")[c]).alias(c)
+            (col(c) if c in keys else named[c] if c in named else F.col(f"_row{extra.index(c)}")).alias(c)
             for c in questions.columns
         ],
         *answers,

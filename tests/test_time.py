@@ -235,3 +235,11 @@ def test_recurrence_counts_a_class_whatever_its_case(spark):
     rows = [(DAY(2026, 1, 1), "fii", "A", 1.0, 1), (DAY(2026, 1, 2), "FII", "a", 2.0, 2)]
     got = report.recurrence(spark.createDataFrame(rows, "Data_Carteira date, Tipo string, Ticker string, Score double, Posicao int"))
     assert [(r.Tipo, r.Ticker, r.aparicoes) for r in got.collect()] == [("FII", "A", 2)]
+
+
+def test_probes_fold_without_another_sort(spark):
+    q = spark.sql("select 'a' as t, 1L as k, date'2026-01-05' as a, date'2026-01-09' as b")
+    o = spark.sql("select 'a' as t, date'2026-01-05' as d, 2.0D as p")
+    found = probes(q, o, ["t"], {"x": ("a", True), "y": ("b", False)}, "d", "p")
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.select("k", "x_value", "y_value").collect()[0][:] == (1, 2.0, 2.0)
