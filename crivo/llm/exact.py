@@ -67,8 +67,20 @@ def repeated_filter(hashes: DataFrame, key: str, words: int) -> DataFrame:
     return slots.groupBy(_WORD).agg(F.bit_or(_flag(F.col("_bit"))).alias(_SET))
 
 
+def member_filter(hashes: DataFrame, key: str, words: int) -> DataFrame:
+    """Rows (word, bits): the filter's words with both bits of every hash."""
+    mask = _flag(F.col("_first")).bitwiseOR(_flag(F.col("_second")))
+    return _placed(hashes.select(col(key)), key, words).groupBy(_WORD).agg(F.bit_or(mask).alias(_SET))
+
+
+def filter_words(rows: int, max_words: int = MAX_WORDS) -> int:
+    """How many 64-bit words a filter for so many rows has."""
+    return min(power_of_two(max(64, rows * BITS_PER_ROW) // 64), max_words)
+
+
 def possibly_repeated(rows: DataFrame, key: str, words: int, bits: DataFrame, out: str) -> DataFrame:
-    """Adds the boolean `out`: false for rows whose hash is surely the only one of its kind."""
+    """Adds the boolean `out`: false for rows whose hash is surely the only one of its kind; with the bits of a `member_filter`,
+    for rows whose hash is surely no member."""
     mask = _flag(F.col("_first")).bitwiseOR(_flag(F.col("_second")))
     placed = _placed(rows, key, words).withColumn(_MASK, mask).drop("_first", "_second")
     tested = placed.join(F.broadcast(bits), _WORD, "left")  # at most `max_words` rows of two longs
@@ -82,8 +94,7 @@ class Repeats:
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS):
         self.id, self.text = id, text
         self.hashes = cut(docs.select(col(id).alias("_id"), text_hash(text_of(text)).alias("_sha")))
-        rows = self.hashes.count()
-        self.words = min(power_of_two(max(64, rows * BITS_PER_ROW) // 64), max_words)
+        self.words = filter_words(self.hashes.count(), max_words)
         self.bits = cut(repeated_filter(self.hashes, "_sha", self.words))
         marked = possibly_repeated(self.hashes, "_sha", self.words, self.bits, "_maybe")
         self.unique, self.candidates = marked.where("not _maybe"), marked.where("_maybe")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crivo.llm.base import col, cut, ship
+from crivo.llm.exact import filter_words, member_filter, possibly_repeated
 from crivo.llm.groups import apart, crowded, linked
 
 WIDTH = 4
@@ -171,12 +172,22 @@ def sketches(docs: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFra
     return narrow.mapInArrow(read, shape)
 
 
+def wanted_texts(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, mark, text) of all rows that `wanted` (id, mark) lists, and of few others: those that its Bloom filter can't tell
+    apart. The filter's size is bounded (see `exact`), and rows that it rules out are not shuffled."""
+    key = F.xxhash64("id", "mark").alias("_key")
+    words = filter_words(wanted.count())
+    bits = cut(member_filter(wanted.select(key), "_key", words))
+    marked = docs.select(col(id).alias("id"), col(text).alias("text"), F.xxhash64(col(text)).alias("mark")).select("*", key)
+    return possibly_repeated(marked, "_key", words, bits, "_maybe").where("_maybe").select("id", "mark", "text")
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, width: int = WIDTH) -> DataFrame:
-    """(node, shingles) of the rows that `wanted` (node, id, mark) lists; of rows that repeat one is read. `wanted` should be a
-    written table: while that is small enough to broadcast, only the texts it lists are shuffled."""
+    """(node, shingles) of the rows that `wanted` (node, id, mark), a written table, lists; of rows that repeat one is read.
+    Texts meet by id and mark in the one shuffle that they go through."""
     ship(docs.sparkSession)
-    marked = docs.select(col(id).alias("id"), col(text).alias("text"), F.xxhash64(col(text)).alias("mark"))
-    narrow = marked.join(wanted, ["id", "mark"]).groupBy("node").agg(F.first("text").alias("text"))
+    once = wanted_texts(docs, wanted, id, text).groupBy("id", "mark").agg(F.first("text").alias("text"))
+    narrow = once.join(wanted, ["id", "mark"]).select("node", "text")
     shape = T.StructType([narrow.schema["node"], T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crivo.llm import bpe, exact, fingerprint, groups, licenses, mix, near, planes, quality, secrets, shards
@@ -154,6 +155,36 @@ def test_first_of_groups(spark, docs, nothing):
     assert near.near_groups(nothing).count() == near.first_of_groups(nothing).count() == 0
 
 
+def shuffled_bytes(spark):
+    """What all stages so far wrote for shuffles."""
+    context = spark.sparkContext
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    no_list, no_quantiles = spark._jvm.java.util.ArrayList(), context._gateway.new_array(spark._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(no_list, False, False, no_quantiles, no_list)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_only_wanted_texts_are_shuffled(spark, tmp_path):
+    """However long the list of wanted rows is for Spark's own bound of broadcasts."""
+    rng = random.Random(21)
+    texts = [" ".join(f"{rng.getrandbits(64):x}" for _ in range(400)) for _ in range(300)]
+    data = [(i, t, "en", "a", 1, "", 0, 0.0, "", "") for i, t in enumerate(texts)] + [(7, texts[7], "en", "a", 1, "", 0, 0.0, "", "")]
+    docs = samples.frame(spark, data)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    wanted = docs.where("doc_id % 50 = 7").select((F.col("doc_id") * 10).alias("node"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark")).distinct()
+    wanted.write.parquet(str(tmp_path / "wanted"))
+    wanted = spark.read.parquet(str(tmp_path / "wanted"))
+    before, limit = shuffled_bytes(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = {r.node: r.shingles for r in near.full_sets(docs, wanted, "doc_id", "text").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert found == {i * 10: near.shingles(texts[i]).view(np.int64).tolist() for i in range(7, 300, 50)}
+    assert shuffled_bytes(spark) - before < 0.2 * sum(map(len, texts))
+
+
 def test_near_copies_among_repeated_ids(spark):
     rng = random.Random(12)
     a, b = samples.sentence(rng, 60), samples.sentence(rng, 60)
