@@ -45,5 +45,11 @@ def dataset(
     """Training set of one class: prepared history, features, targets. One shuffle by ticker serves the
     lags, the as-of pass and the fold."""
     require(df, [spec.id, spec.date, spec.price], f"{spec.kind} history")
-    base = features(prepared(df, spec, by), spec, by)
-    return forward_returns(base, [*by, spec.id], spec.date, spec.price, horizons)
+    return dataset_of_prepared(prepared(df, spec, by), spec, horizons, by)
+
+
+def dataset_of_prepared(
+    df: DataFrame, spec: AssetSpec, horizons: Sequence[int] = HORIZONS, by: Sequence[str] = ()
+) -> DataFrame:
+    """`dataset` of a history that went through `prepared` before: it is neither parsed nor deduplicated again."""
+    return forward_returns(features(df, spec, by), [*by, spec.id], spec.date, spec.price, horizons)

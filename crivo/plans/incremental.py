@@ -84,27 +84,27 @@ def note(spark: SparkSession, place: str, built_from: DataFrame) -> None:
 
 
 def _republish(spark: SparkSession, place: str, table: str, rows: DataFrame | None, date: str, days: Iterable[Date]) -> None:
-    """Replaces the given days of a derived table; days that `rows` has none for are withdrawn."""
+    """Replaces the given days of a derived table; days that `rows` has none for are withdrawn. `rows` is computed once."""
     days = sorted(set(days))
-    stored = set(published.days_of(spark, place, table))
-    have = set() if rows is None else {r[0] for r in rows.select(col(date)).distinct().collect()} & set(days)
-    published.withdraw(spark, place, (set(days) - have) & stored)
-    if have:
-        published.publish(spark, place, {table: rows}, date, have)
+    if rows is None:
+        published.withdraw(spark, place, set(days) & set(published.days_of(spark, place, table)))
+    elif days:
+        published.publish(spark, place, {table: rows}, date, days, keep_empty=False)
 
 
 def reached(observed: DataFrame, spec: AssetSpec, changed: Sequence[Date], horizons: Sequence[int]) -> DataFrame:
     """(date): the days with rows that a change of the days `changed` can reach. `observed` has every (ticker, date), old and new."""
     order = Window.partitionBy("id").orderBy("date")
-    steps = observed.select(col(spec.id).alias("id"), col(spec.date).alias("date")).distinct().withColumns(
-        {"before": F.lag("date").over(order), "next": F.lead("date").over(order)}
-    )
+    # Dealt by ticker first, so that one shuffle serves the distinct rows and the windows.
+    pairs = observed.select(col(spec.id).alias("id"), col(spec.date).alias("date"))
+    steps = pairs.repartition("id").distinct().withColumns({"before": F.lag("date").over(order), "next": F.lead("date").over(order)})
     hit = cut(steps.where(F.col("date").isin(list(changed))))
     ahead = hit.where("next is not null").select(F.col("next").alias("date"))
     # Rows t with before < t + h <= date, of the same ticker: a span of days per horizon. A first observation answers none.
     asked = hit.where("before is not null").select("id", "before", "date", F.explode(F.array(*[F.lit(h) for h in horizons])).alias("h"))
     spans = asked.select("id", F.expr("date_add(before, 1 - h)").alias("low"), F.expr("date_sub(date, h)").alias("high"))
-    dates = steps.select("id", F.col("date").alias("t"))
+    low, high = spans.agg(F.min("low"), F.max("high")).first()
+    dates = pairs.where(F.col("date").between(F.lit(low), F.lit(high))).select("id", F.col("date").alias("t"))  # repeated ones do no harm
     # One sorted pass per ticker: a row is reached if a span that began at or before it ends at or after it.
     events = spans.select("id", F.col("low").alias("at"), F.lit(0).alias("kind"), F.col("high").alias("until")).unionByName(
         dates.select("id", F.col("t").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("date").alias("until"))
@@ -124,9 +124,14 @@ def _window(base: DataFrame, spec: AssetSpec, dirty: Sequence[Date], horizons: S
     day = col(spec.date)
     around = base.select(*[col(c) for c in thin])
     between = around.where((day >= F.lit(low)) & (day <= F.lit(high)) & ~day.isin(list(dirty)))
-    packed = F.struct(*[col(c) for c in thin])
-    last = around.where(day < F.lit(low)).groupBy(col(spec.id)).agg(F.max_by(packed, day).alias("row")).select("row.*")
-    first = around.where(day > F.lit(high)).groupBy(col(spec.id)).agg(F.min_by(packed, day).alias("row")).select("row.*")
+    # Column by column: numbers and dates are kept in a hash table, a struct would be sorted for.
+    values = [c for c in thin if c not in (spec.id, spec.date)]
+    last = around.where(day < F.lit(low)).groupBy(col(spec.id)).agg(
+        F.max(day).alias(spec.date), *[F.max_by(col(c), day).alias(c) for c in values]
+    )
+    first = around.where(day > F.lit(high)).groupBy(col(spec.id)).agg(
+        F.min(day).alias(spec.date), *[F.min_by(col(c), day).alias(c) for c in values]
+    )
     return union_all(base.where(day.isin(list(dirty))), between, last, first)
 
 
@@ -143,26 +148,32 @@ def refresh_class(
     if not changed:
         return done
     built_from = cut(built_from)
+    # Published folders stay as they are, so what was published is read back where it is needed next.
     rows = published.read(spark, root, universe_table(spec), changed, spec.date)
-    history = None if rows is None else cut(keep_last_row(rows, [spec.date, spec.id]).drop("_seq"))
+    history = None if rows is None else keep_last_row(rows, [spec.date, spec.id]).drop("_seq")
     _republish(spark, derived.place(HISTORY), HISTORY, history, spec.date, changed)
     done[HISTORY] = sorted(changed)
 
-    old = published.read(spark, derived.place(PREPARED), PREPARED, changed, spec.date)
-    before = None if old is None else cut(old.select(col(spec.id), col(spec.date)))
+    before = published.read(spark, derived.place(PREPARED), PREPARED, changed, spec.date)
+    days = set(published.days_of(spark, derived.place(PREPARED), PREPARED))
+    stored = published.read(spark, derived.place(HISTORY), HISTORY, changed, spec.date)
     base = None
-    if history is not None and {spec.id, spec.date, spec.price} <= set(history.columns):
-        base = prepared(history, spec)
+    if stored is not None and {spec.id, spec.date, spec.price} <= set(stored.columns):
+        base = prepared(stored, spec)
     _republish(spark, derived.place(PREPARED), PREPARED, base, spec.date, changed)
     done[PREPARED] = sorted(changed)
 
+    days |= set(published.days_of(spark, derived.place(PREPARED), PREPARED))  # old and new ones
     whole = published.read(spark, derived.place(PREPARED), PREPARED, None, spec.date)
     pairs = [d.select(col(spec.id), col(spec.date)) for d in (whole, before) if d is not None]
     if pairs:
-        dirty = sorted(r.date for r in reached(union_all(*pairs), spec, changed, horizons).collect())
+        if days <= set(changed):  # as in the first build: every day is a changed one
+            dirty = sorted(days)
+        else:
+            dirty = sorted(r.date for r in reached(union_all(*pairs), spec, changed, horizons).collect())
         data = None
         if whole is not None and dirty:
-            data = cut(features.dataset(_window(whole, spec, dirty, horizons), spec, horizons).where(col(spec.date).isin(dirty)))
+            data = features.dataset_of_prepared(_window(whole, spec, dirty, horizons), spec, horizons).where(col(spec.date).isin(dirty))
         _republish(spark, derived.place(DATASET), DATASET, data, spec.date, dirty)
         done[DATASET] = dirty
 
@@ -171,7 +182,7 @@ def refresh_class(
     parts = [] if direct is None else [direct.drop("_day")]
     if lists is not None:
         parts.append(portfolio_rows(lists, spec, F.col("_day")))
-    held = cut(portfolio_history(*parts)) if parts else None
+    held = portfolio_history(*parts) if parts else None
     _republish(spark, derived.place(PORTFOLIO), PORTFOLIO, held, "Data_Carteira", changed)
     done[PORTFOLIO] = sorted(changed)
     note(spark, mark, built_from)

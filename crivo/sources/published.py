@@ -50,10 +50,17 @@ def _fields(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def publish(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame], date: str, days: Iterable[Date], run: str | None = None
+    spark: SparkSession,
+    root: str,
+    tables: dict[str, DataFrame],
+    date: str,
+    days: Iterable[Date],
+    run: str | None = None,
+    keep_empty: bool = True,
 ) -> str:
     """Stores `tables`, each with the rows of `days` under the column `date`, and publishes these days as a whole: a day that a
-    table has no rows for is published as empty. Returns the run. Rows of other days are not stored."""
+    table has no rows for is published as empty, or without `keep_empty` as one that the table is gone from. Returns the run.
+    Rows of other days are not stored."""
     run, days = run or f"r{uuid.uuid4().hex}", sorted(set(days))
     version = 1 + (manifest(spark, root).agg(F.max("version")).first()[0] or 0)
     listed = []
@@ -69,9 +76,10 @@ def publish(
         found = fingerprints(stored, [f.name for f in shape.fields])
         day = F.col("date").cast("string")
         folder = F.when(F.col("rows") > 0, F.concat(F.lit(f"{table}/run={run}/{DAY}="), day))
+        name = F.lit(table) if keep_empty else F.when(F.col("rows") > 0, table)
         listed.append(
             wanted.join(found, "date", "left").select(
-                "date", F.lit(table).alias("table"), F.lit(run).alias("run"), F.lit(version).cast("bigint").alias("version"),
+                "date", name.alias("table"), F.lit(run).alias("run"), F.lit(version).cast("bigint").alias("version"),
                 folder.alias("folder"), F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), fields.alias("columns"), "fingerprint",
             )
         )

@@ -140,6 +140,30 @@ def test_only_reached_days_are_rebuilt_and_equal_a_full_rebuild(spark, tmp_path,
     assert {d for d in now if now[d] != current.get(d)} == set(done["dataset"]) & set(now)
 
 
+def test_first_build_asks_no_reach_and_stores_its_tables_once(spark, tmp_path, monkeypatch):
+    """Where every day is a changed one nothing has to be found out; and no table is stored beside what is published."""
+    root, whole = str(tmp_path), universe(spark)
+    published.publish(spark, root, {"fii_universe": whole}, FUNDS.date, DAYS)
+    asked, beside, reached, cut = [], [], incremental.reached, incremental.cut
+    monkeypatch.setattr(incremental, "reached", lambda *a: asked.append(a) or reached(*a))
+    monkeypatch.setattr(incremental, "cut", lambda df: beside.append(df.columns) or cut(df))
+    done = incremental.refresh_class(spark, root, FUNDS)
+    assert not asked and beside == [["date", "table", "fingerprint"]]  # what it was built from
+    pairs = whole.select(F.upper(F.trim(FUNDS.id)).alias(FUNDS.id), FUNDS.date)
+    assert done["dataset"] == sorted(r.date for r in reached(pairs, FUNDS, DAYS, (7, 30)).collect())
+    assert rows_of(spark, derived(spark, root, "dataset")) == rows_of(spark, full(spark, whole))
+
+
+def test_a_day_that_loses_its_last_row_goes_with_the_same_write(spark, tmp_path):
+    root = str(tmp_path)
+    published.publish(spark, root, {"a": universe(spark)}, FUNDS.date, DAYS)
+    left = universe(spark, 4).where(F.col(FUNDS.date) != DAYS[2])
+    published.publish(spark, root, {"a": left}, FUNDS.date, DAYS[2:5], keep_empty=False)
+    assert published.days_of(spark, root, "a") == DAYS[:2] + DAYS[3:]
+    assert published.current(spark, root).agg(F.count_distinct("version")).first()[0] == 2
+    assert {r.status for r in published.verify(spark, root, ["a"]).collect()} == {"ok"}
+
+
 def test_snapshot_day_and_portfolio(spark, tmp_path):
     root, day = str(tmp_path), DAYS[0]
     whole = universe(spark, 1, DAYS[:1])
