@@ -6,6 +6,8 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SHIPPED = "_crivo_shipped"
+#: What this worker remembers from task to task: one thing at most.
+_HELD: dict[Hashable, Any] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,11 +64,20 @@ def ship(spark: SparkSession) -> None:
     setattr(context, _SHIPPED, True)
 
 
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What the worker remembers under `key`. Workers outlive tasks and serve the stages of a job in turn, so what earlier
+    stages remembered would add up: it is let go first."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def power_of_two(least: int) -> int:
     """The smallest power of two that is not below `least`."""
     return 1 << max(0, int(least) - 1).bit_length()
 
 
 __all__ = [
-    "LOWER", "UPPER", "WORD", "cut", "col", "normalised", "power_of_two", "ship", "table", "text_of", "word_count",
+    "LOWER", "UPPER", "WORD", "cut", "col", "held", "normalised", "power_of_two", "ship", "table", "text_of", "word_count",
 ]

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from crivo.llm.base import col, ship
+from crivo.llm.base import col, held, ship
 
 #: Pre-tokens that a worker remembers, and how many are encoded at a time.
 REMEMBERED, AT_ONCE = 300_000, 200_000
@@ -136,16 +136,10 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODECS: dict[bytes, Codec] = {}
-
-
 def codec(model: bytes, pattern: str) -> Codec:
     """The worker's codec for this model; workers outlive tasks."""
     key = hashlib.sha256(model + pattern.encode()).digest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(model, pattern)
-    return _CODECS[key]
+    return held(("bpe", key), lambda: Codec(model, pattern))
 
 
 def _over_texts(docs: DataFrame, columns: list[str], text: str, fields: list, per_text, tokens: list[bytes], pattern: str):

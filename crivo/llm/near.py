@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crivo.llm.base import col, cut, ship
+from crivo.llm.base import col, cut, held, ship
 from crivo.llm.exact import filter_words, member_filter, possibly_repeated
 from crivo.llm.groups import apart, crowded, linked
 
@@ -41,7 +41,7 @@ PLACES, ROWS = 128, 4
 #: Similarity as a fraction: intersection / union >= 80 / 100.
 LIKE = (80, 100)
 #: Shingles of texts that are worked on together, and words that a worker remembers.
-TOGETHER, REMEMBERED = 1 << 18, 500_000
+TOGETHER, REMEMBERED = 1 << 16, 1 << 17
 
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -54,9 +54,6 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
-
-
 def scramble(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words without visible pattern (splitmix64's finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1
@@ -72,7 +69,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
         return np.empty(0, np.uint64)
     if n < width:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=n)], np.uint64)
-    each = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    each = np.fromiter(map(held("near", _Words).__getitem__, words), np.uint64, n)
     out = scramble(each[: n - width + 1])
     for i in range(1, width):
         out = scramble(out + _GOLDEN + each[i : n - width + 1 + i])
