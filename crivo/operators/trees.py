@@ -4,7 +4,8 @@
   rows, and keeps the one that lowers the squared error most. All trees grow together: per level one aggregate brings
   the range of every (tree, node, feature), and one the rows and target sums below the drawn thresholds. Tasks add up what
   they hold before the shuffle; what comes to the driver is as large as the level of the model. Draws depend on (seed,
-  tree, node, feature) alone.
+  tree, node, feature) alone. A task compares ranks within blocks of its rows, not values, and orders a block by node once
+  for each tree, so that a row costs each tree some ten short runs over arrays a level.
 * **Boosted trees.** Features are binned once; trees grow leaf by leaf, the best gain first, up to a number of leaves or a
   depth. A histogram holds rows and residual sums by (leaf, feature, bin); only the smaller child of a split is counted,
   its sibling is the parent less the child. Hundreds of rounds of a few steps each would read the rows and replay the trees
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from crivo.session import checkpoint_folder
 
 BINS = 128
+BLOCK_ROWS = 65_535  # of a task that are worked on at once: ranks within them fit 16 bits
 ROWS_PER_TASK = 250_000
 PATIENCE = 3600  # seconds a task waits for the others' histograms
 
@@ -94,37 +96,115 @@ class Level:
     open: np.ndarray  # (tree, node), true where a node may be split
     threshold: np.ndarray | None = None  # (tree, node, feature)
 
-    def where(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the (tree, node) among all, row) of each row in each tree that is in an open node."""
-        node = self.trees.places(x, self.depth)
-        tree = np.broadcast_to(np.arange(len(node))[:, None], node.shape)
-        inside = self.open[tree, node]
-        return (tree * self.open.shape[1] + node)[inside], np.broadcast_to(np.arange(len(x))[None, :], node.shape)[inside]
+    def places(self, tree: int, block: Block, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slot of each row of the block in a tree, node of each slot). `cut` has the split of each (tree, node) in ranks.
+        A split is one comparison over the whole block and a few operations on bits."""
+        feature, left = self.trees.feature[tree], self.trees.left[tree]
+        rows = block.ranks.shape[1]
+        slot, under = np.zeros(rows, np.min_scalar_type(2**self.depth - 1)), np.empty(rows, bool)
+        level = [(0, 0, np.packbits(np.ones(rows, bool)))]  # node, its slot, its rows as bits
+        for step in reversed(range(self.depth)):
+            below, right = [], np.zeros_like(level[0][2])
+            for node, at, inside in level:
+                if feature[node] < 0:
+                    continue
+                np.less(block.ranks[feature[node]], cut[tree, node], out=under)
+                stay = np.packbits(under) & inside
+                go = stay ^ inside
+                right |= go
+                below += [(left[node], at, stay), (left[node] + 1, at | 1 << step, go)]
+            if not below:
+                return slot, np.full(2**self.depth, -1)
+            slot += slot
+            slot |= np.unpackbits(right, count=rows)
+            level = below
+        nodes = np.full(2**self.depth, -1)
+        for node, at, _ in level:
+            nodes[at] = node
+        return slot, nodes
+
+
+class Block:
+    """Some rows of a task with each feature as its rank among the block's values: ranks are small, and `value <= threshold` is
+    `rank < cut(threshold)`, exactly."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.y, self.values = y, []
+        self.ranks = np.empty(x.shape[::-1], np.uint16)
+        for f in range(x.shape[1]):
+            values, self.ranks[f] = np.unique(x[:, f], return_inverse=True)
+            self.values.append(values)
+
+    def cut(self, feature: int, threshold: np.ndarray) -> np.ndarray:
+        return self.values[feature].searchsorted(threshold, "right").astype(np.uint16)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], inputs: list[str]) -> Iterator[Block]:
+    held, count = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK_ROWS):
+            part = batch.slice(start, BLOCK_ROWS)
+            if count + part.num_rows > BLOCK_ROWS:
+                yield Block(*(np.concatenate(p) for p in zip(*held)))
+                held, count = [], 0
+            held.append((matrix(part, inputs), matrix(part, ["target"])[:, 0]))
+            count += part.num_rows
+    if count:
+        yield Block(*(np.concatenate(p) for p in zip(*held)))
 
 
 def _partial(level: Level, inputs: list[str], ranges: bool):
-    """Per task: what it holds of every (tree, node, feature), `low` and `high` or rows and sums below the threshold."""
-    size, width = level.open.size, level.open.shape[1]
+    """Per task: what it holds of every (tree, node, feature), `low` and `high` or rows and sums below the threshold. Within a
+    block the rows of a tree are ordered by node, so that each node's are reduced in one run."""
+    trees, many = level.trees, len(inputs)
+    splits = np.nonzero(trees.feature >= 0)
+    split_by = [tuple(i[trees.feature[splits] == f] for i in splits) for f in range(many)]
+    open_ = np.nonzero(level.open)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = (len(inputs), size)
+        shape = (many, *level.open.shape)
         a, b = (np.full(shape, np.inf), np.full(shape, -np.inf)) if ranges else (np.zeros(shape), np.zeros(shape))
-        for batch in batches:
-            x, y = matrix(batch, inputs), matrix(batch, ["target"])[:, 0]
-            place, row = level.where(x)
-            for f in range(len(inputs)):
-                value = x[row, f]
-                if ranges:
-                    np.minimum.at(a[f], place, value)
-                    np.maximum.at(b[f], place, value)
-                else:
-                    below = value <= level.threshold.reshape(size, -1)[place, f]
-                    a[f] += np.bincount(place[below], minlength=size)
-                    b[f] += np.bincount(place[below], y[row[below]], minlength=size)
-        seen = np.isfinite(a) if ranges else a > 0
-        f, place = np.nonzero(seen)
+        cut, limit = np.zeros(level.open.shape, np.uint16), np.zeros(shape, np.uint16)
+        rooms = [np.empty(BLOCK_ROWS, t) for t in (np.uint16, float, float, float)]
+        for block in blocks(batches, inputs):
+            # Written to again for each tree and feature: they stay in the cache, as new arrays would not.
+            held, y, under, part = (r[: len(block.y)] for r in rooms)
+            for f in range(many):
+                cut[split_by[f]] = block.cut(f, trees.threshold[split_by[f]])
+                if not ranges:
+                    limit[f][open_] = block.cut(f, level.threshold[(*open_, f)])
+            if level.depth == 0:
+                # All trees begin with one node of all rows: nothing is ordered by node.
+                for f, values in enumerate(block.values):
+                    if ranges:
+                        a[f], b[f] = np.minimum(a[f], values[0]), np.maximum(b[f], values[-1])
+                    else:
+                        for out, weights in ((a, None), (b, block.y)):
+                            up_to = np.bincount(block.ranks[f], weights).cumsum()
+                            out[f] += np.concatenate([[0.0], up_to])[limit[f]]
+                continue
+            for tree in np.flatnonzero(level.open.any(1)):
+                slot, nodes = level.places(tree, block, cut)
+                order, count = np.argsort(slot, kind="stable"), np.bincount(slot, minlength=len(nodes))
+                there = np.flatnonzero(count)
+                starts, at, count = (count.cumsum() - count)[there], nodes[there], count[there]
+                known = np.flatnonzero(level.open[tree, at] & (at >= 0))
+                place = at[known]
+                if not ranges:
+                    np.take(block.y, order, out=y, mode="clip")
+                for f, values in enumerate(block.values):
+                    np.take(block.ranks[f], order, out=held, mode="clip")
+                    if ranges:
+                        low, high = (values[r.reduceat(held, starts)[known]] for r in (np.minimum, np.maximum))
+                        a[f, tree, place] = np.minimum(a[f, tree, place], low)
+                        b[f, tree, place] = np.maximum(b[f, tree, place], high)
+                    else:
+                        np.less(held, np.repeat(limit[f, tree, at], count), out=under)
+                        a[f, tree, place] += np.add.reduceat(under, starts)[known]
+                        b[f, tree, place] += np.add.reduceat(np.multiply(under, y, out=part), starts)[known]
+        f, tree, node = np.nonzero(np.isfinite(a) if ranges else a > 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(place // width), pa.array(place % width), pa.array(f), pa.array(a[seen]), pa.array(b[seen])],
+            [pa.array(tree), pa.array(node), pa.array(f), pa.array(a[f, tree, node]), pa.array(b[f, tree, node])],
             names=["tree", "node", "feature", "a", "b"],
         )
 

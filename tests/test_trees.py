@@ -184,3 +184,67 @@ def test_exchanges_do_not_wait_for_the_barrier(spark, monkeypatch):
     few = {"a": trees.Boosting(1, 0.5, 4, 2)}
     barrier = trees.boosted(df, INPUTS, few)
     np.testing.assert_allclose(one["a"][1].predict(x, 2)[0], barrier["a"][1].predict(x, 2)[0], rtol=1e-9)
+
+
+@pytest.mark.parametrize("ranges", [True, False])
+def test_blocks_of_a_level(monkeypatch, ranges):
+    """Ranges and sums of every open node, over blocks of any size, are those of its rows one by one."""
+    rng = np.random.default_rng(3)
+    n, many, width = 9_000, 12, 15
+    x, y = np.column_stack([rng.normal(size=n).round(1), rng.integers(0, 9, n).astype(float)]), rng.normal(size=n)
+    feature, left = np.full((many, width), -1), np.full((many, width), -1)
+    feature[:, :7], left[:, :7] = rng.integers(0, 2, (many, 7)), 2 * np.arange(7) + 1
+    feature[0, 2] = feature[0, 5] = feature[0, 6] = -1  # a leaf two levels above the others
+    threshold = np.where(feature == 0, rng.normal(size=(many, width)), rng.integers(1, 8, (many, width)))
+    open_ = np.zeros((many, width), bool)
+    open_[:, 7:] = True
+    open_[0, 11:] = open_[1, 8] = False
+    model = trees.Trees(feature, threshold, left, np.zeros((many, width)))
+    level = trees.Level(model, 3, open_, np.stack([rng.normal(size=(many, width)).round(1), rng.integers(0, 9, (many, width))], 2))
+    batches = [
+        trees.pa.RecordBatch.from_arrays([trees.pa.array(c[a : a + 700]) for c in (*x.T, y)], names=["f0", "f1", "target"])
+        for a in range(0, n, 700)
+    ]
+    for size in (65_535, 1_000, 333):
+        monkeypatch.setattr(trees, "BLOCK_ROWS", size)
+        (out,) = trees._partial(level, ["f0", "f1"], ranges)(iter(batches))
+        got = {tuple(r[c] for c in ("tree", "node", "feature")): (r["a"], r["b"]) for r in out.to_pylist()}
+        want = {}
+        for t, place in enumerate(model.places(x, 3)):
+            for node in np.flatnonzero(open_[t]):
+                inside = place == node
+                for f in range(2):
+                    v, at = x[inside, f], level.threshold[t, node, f]
+                    if ranges and len(v):
+                        want[t, node, f] = (v.min(), v.max())
+                    elif not ranges and (v <= at).any():
+                        want[t, node, f] = ((v <= at).sum(), y[inside][v <= at].sum())
+        assert got.keys() == want.keys()
+        np.testing.assert_allclose([got[k] for k in want], list(want.values()), rtol=1e-9, atol=1e-9)
+
+
+def test_a_level_costs_less_than_walking():
+    """What a task does for a level, all sums included, takes less than its rows' walk from the root did alone."""
+    rng = np.random.default_rng(4)
+    n, many, depth = 60_000, 16, 6
+    width, inner = 2 ** (depth + 1) - 1, 2**depth - 1
+    x, y = rng.normal(size=(n, 6)), rng.normal(size=n)
+    feature, left = np.full((many, width), -1), np.full((many, width), -1)
+    feature[:, :inner], left[:, :inner] = rng.integers(0, 6, (many, inner)), 2 * np.arange(inner) + 1
+    open_ = np.broadcast_to(np.arange(width) >= inner, (many, width))
+    model = trees.Trees(feature, rng.normal(size=(many, width)), left, np.zeros((many, width)))
+    level = trees.Level(model, depth, open_, rng.normal(size=(many, width, 6)))
+    names = [f"f{i}" for i in range(6)]
+    batch = trees.pa.RecordBatch.from_arrays([trees.pa.array(c) for c in (*x.T, y)], names=[*names, "target"])
+
+    def best(work):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            work()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    walk = best(lambda: model.places(x, depth))
+    for ranges in (True, False):
+        assert best(lambda: list(trees._partial(level, names, ranges)(iter([batch])))) < walk
