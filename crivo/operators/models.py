@@ -13,7 +13,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ from crivo.operators.clean import as_features, feature_columns
 from crivo.operators.evaluate import ensemble, scored, wide
 from crivo.operators.history import latest, prepared
 from crivo.operators.order import quantiles
-from crivo.operators.trees import Boosting, extra_trees, mean_of, sum_of
+from crivo.operators.trees import Boosting, extra_trees, mean_of, random_forest, sum_of
 from crivo.operators.trees import boosted as boosted_together
 from crivo.session import cut, ship
 from crivo.spec import BASELINE, MODELS, AssetSpec
@@ -162,10 +162,10 @@ def ridge(t: Training, alpha: float = RIDGE_ALPHA) -> DataFrame:
 
 
 def forest(t: Training, trees: int = TREES) -> DataFrame:
-    model = RandomForestRegressor(
-        labelCol="target", numTrees=trees, maxDepth=TREE_DEPTH, minInstancesPerNode=MIN_LEAF, seed=SEED, featureSubsetStrategy="all"
-    )
-    return _fit(model, t)
+    """Random forest: samples with replacement, every feature at every node."""
+    ship(t.train.sparkSession)
+    model = random_forest(t.train, t.inputs, trees, TREE_DEPTH, MIN_LEAF, SEED)
+    return mean_of(model, t.today, t.inputs, TREE_DEPTH)
 
 
 def random_splits(t: Training, trees: int = TREES) -> DataFrame:

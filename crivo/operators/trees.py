@@ -40,6 +40,9 @@ from crivo.session import checkpoint_folder
 
 BINS = 128
 BLOCK_ROWS = 65_535  # of a task that are worked on at once: ranks within them fit 16 bits
+FOREST_BINS = 32
+HISTOGRAMS = 1_000  # sent at once
+POISSON = [float(x) for x in np.cumsum(1 / np.e / np.cumprod(np.maximum(np.arange(18), 1)))]  # shares of at most 0, 1, ... times
 ROWS_PER_TASK = 250_000
 PATIENCE = 3600  # seconds a task waits for the others' histograms
 
@@ -126,31 +129,40 @@ class Level:
 
 class Block:
     """Some rows of a task with each feature as its rank among the block's values: ranks are small, and `value <= threshold` is
-    `rank < cut(threshold)`, exactly."""
+    `rank < cut(threshold)`, exactly. With edges given, the bin takes the rank's place."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.y, self.values = y, []
-        self.ranks = np.empty(x.shape[::-1], np.uint16)
+    def __init__(self, x: np.ndarray, y: np.ndarray, keys: np.ndarray | None, edges: list[np.ndarray] | None):
+        self.y, self.keys, self.values = y, keys, edges or []
+        self.ranks = np.empty(x.shape[::-1], np.uint8 if edges else np.uint16)
         for f in range(x.shape[1]):
-            values, self.ranks[f] = np.unique(x[:, f], return_inverse=True)
-            self.values.append(values)
+            if edges:
+                self.ranks[f] = edges[f].searchsorted(x[:, f], "left")
+            else:
+                values, self.ranks[f] = np.unique(x[:, f], return_inverse=True)
+                self.values.append(values)
 
     def cut(self, feature: int, threshold: np.ndarray) -> np.ndarray:
         return self.values[feature].searchsorted(threshold, "right").astype(np.uint16)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], inputs: list[str]) -> Iterator[Block]:
-    held, count = [], 0
+def blocks(batches: Iterator[pa.RecordBatch], inputs: list[str], edges: list[np.ndarray] | None = None) -> Iterator[Block]:
+    """The rows in blocks; with edges, their keys too."""
+
+    def block() -> Block:
+        together = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        keys = together.column(together.schema.get_field_index("key")).to_numpy().view(np.uint64) if edges else None
+        return Block(matrix(together, inputs), matrix(together, ["target"])[:, 0], keys, edges)
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         for start in range(0, batch.num_rows, BLOCK_ROWS):
             part = batch.slice(start, BLOCK_ROWS)
-            if count + part.num_rows > BLOCK_ROWS:
-                yield Block(*(np.concatenate(p) for p in zip(*held)))
-                held, count = [], 0
-            held.append((matrix(part, inputs), matrix(part, ["target"])[:, 0]))
-            count += part.num_rows
-    if count:
-        yield Block(*(np.concatenate(p) for p in zip(*held)))
+            if held and sum(h.num_rows for h in held) + part.num_rows > BLOCK_ROWS:
+                yield block()
+                held = []
+            held.append(part)
+    if held:
+        yield block()
 
 
 def _partial(level: Level, inputs: list[str], ranges: bool):
@@ -305,6 +317,108 @@ def _next(level: Level, best: np.ndarray, split: np.ndarray, below: tuple, whole
     return Level(trees, level.depth + 1, new), rows, total
 
 
+# === random forests =====================================================================================
+
+
+def bagged(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """How often a tree's sample with replacement has each row: Poisson numbers of mean 1, from the row's key and the tree."""
+    share, times = mixed(keys, seed * 100_003 + tree), np.zeros(len(keys), np.uint8)
+    for most in POISSON:
+        times += share >= most
+    return times
+
+
+def _histograms(level: Level, inputs: list[str], edges: list[np.ndarray], bins: int, seed: int):
+    """Per task: rows and sums of its sample by (feature, bin) for each open (tree, node)."""
+    trees, many = level.trees, len(inputs)
+    splits = np.nonzero(trees.feature >= 0)
+    cut = np.zeros(trees.feature.shape, np.uint8)
+    for f in range(many):
+        by = tuple(i[trees.feature[splits] == f] for i in splits)
+        cut[by] = edges[f].searchsorted(trees.threshold[by], "right")
+    place = np.full(level.open.shape, -1)
+    place[level.open] = np.arange(level.open.sum())
+
+    def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((level.open.sum(), 2, many, bins))
+        for block in blocks(batches, inputs, edges):
+            for tree in np.flatnonzero(level.open.any(1)):
+                times = bagged(block.keys, int(tree), seed)
+                slot, nodes = level.places(tree, block, cut)
+                at, slots = place[tree, nodes], len(nodes)
+                open_ = (nodes >= 0) & (at >= 0)
+                start, weight = slot.astype(np.int64) * bins, times.astype(float)
+                sums = (weight, weight * block.y)
+                for f in range(many):
+                    cell = start + block.ranks[f]
+                    for i, of in enumerate(sums):
+                        held[at[open_], i, f] += np.bincount(cell, of, minlength=slots * bins).reshape(slots, bins)[open_]
+        tree, node = np.nonzero(level.open)
+        seen = np.flatnonzero(held[:, 0, 0].any(1))
+        for start in range(0, len(seen), HISTOGRAMS):
+            part = seen[start : start + HISTOGRAMS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tree[part]), pa.array(node[part]), pa.array([h.tobytes() for h in held[part]], pa.binary())],
+                names=["tree", "node", "histogram"],
+            )
+
+    return histograms
+
+
+def _best_splits(many: int, bins: int, setting: Boosting):
+    """Adds the tasks' histograms of each (tree, node) and takes its best split, feature -1 where there is none."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for tree, node, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                known = held.setdefault((tree, node), np.zeros((2, many, bins)))
+                known += np.frombuffer(part).reshape(known.shape)
+        out = []
+        for (tree, node), histogram in held.items():
+            rows, total = histogram[:, 0].sum(1)
+            leaf = Leaf(histogram, rows, total, 0, node)
+            _, f, b = (best_split(leaf, np.arange(many), setting) if rows else None) or (0.0, -1, 0)
+            out.append((tree, node, f, b, rows, total, *histogram[:, f, : b + 1].sum(1)))
+        columns = list(zip(*out)) or [()] * 8
+        kinds = [pa.int64()] * 4 + [pa.float64()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=BEST_COLUMNS)
+
+    return best
+
+
+BEST_COLUMNS = ["tree", "node", "feature", "bin", "rows", "total", "rows_below", "total_below"]
+BEST = ", ".join(f"{c} {'bigint' if i < 4 else 'double'}" for i, c in enumerate(BEST_COLUMNS))
+
+
+def random_forest(train: DataFrame, inputs: list[str], trees: int, depth: int, min_leaf: int, seed: int, bins: int = FOREST_BINS) -> Trees:
+    """Trees grown on (id, date, inputs, target), each on a sample with replacement. A node is split where its squared error falls
+    most, between any two of `bins` bins of any feature, if both sides keep `min_leaf` rows of the sample."""
+    edges = bin_edges(train, inputs, bins)
+    keyed = train.select(*inputs, "target", F.xxhash64("id", "date").alias("key"))
+    setting = Boosting(1, 1.0, 2, 1, min_leaf)
+    level = first_level(trees)
+    for step in range(depth):
+        if not level.open.any():
+            break
+        parts = keyed.mapInArrow(_histograms(level, inputs, edges, bins, seed), "tree bigint, node bigint, histogram binary")
+        found = parts.repartition("tree", "node").mapInArrow(_best_splits(len(inputs), bins, setting), BEST).toArrow()
+        tree, node, feature, at, *sums = (found.column(c).to_numpy() for c in BEST_COLUMNS)
+        shape = (*level.open.shape, len(inputs))
+        level.threshold = np.zeros(shape)
+        rows, total, n, s = np.zeros(shape[:2]), np.zeros(shape[:2]), np.zeros(shape), np.zeros(shape)
+        best, split = np.zeros(shape[:2], np.int64), np.zeros(shape[:2], bool)
+        rows[tree, node], total[tree, node] = sums[:2]
+        if step == 0:
+            level.trees.value[tree, node] = total[tree, node] / rows[tree, node]
+        best[tree, node], split[tree, node] = np.maximum(feature, 0), feature >= 0
+        for t, node_, f, b, below, sum_below in zip(tree, node, feature, at, *sums[2:]):
+            if f >= 0:
+                level.threshold[t, node_, f], n[t, node_, f], s[t, node_, f] = edges[f][b], below, sum_below
+        level, _, _ = _next(level, best, split, (n, s), (rows, total))
+    return level.trees
+
+
 def mean_of(trees: Trees, today: DataFrame, inputs: list[str], depth: int) -> DataFrame:
     """`today` (id, date, inputs) with the mean of all trees as predicted_return."""
 

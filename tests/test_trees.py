@@ -248,3 +248,53 @@ def test_a_level_costs_less_than_walking():
     walk = best(lambda: model.places(x, depth))
     for ranges in (True, False):
         assert best(lambda: list(trees._partial(level, names, ranges)(iter([batch])))) < walk
+
+
+def plain_forest_tree(bins, y, times, depth, min_leaf):
+    """One tree by trying every split, with rows counted as often as its sample has them; each row's value."""
+    out = np.zeros(len(y))
+
+    def grow(rows, left):
+        w = times[rows]
+        found, whole = None, (w * y[rows]).sum() ** 2 / w.sum()
+        for f in range(bins.shape[1]) if left else ():
+            for b in range(int(bins[:, f].max())):
+                side = bins[rows, f] <= b
+                n, m = w[side].sum(), w[~side].sum()
+                if min(n, m) >= min_leaf:
+                    gain = (w * y[rows])[side].sum() ** 2 / n + (w * y[rows])[~side].sum() ** 2 / m - whole
+                    if gain > 1e-12 and (found is None or gain > found[0] + 1e-12):
+                        found = (gain, rows[side], rows[~side])
+        if found:
+            grow(found[1], left - 1)
+            grow(found[2], left - 1)
+        else:
+            out[rows] = (w * y[rows]).sum() / w.sum()
+
+    grow(np.arange(len(y)), depth)
+    return out
+
+
+def test_forest_is_that_of_all_splits(spark):
+    ship(spark)
+    x, y, df = table(spark)
+    keys = {r.id: r.k for r in df.selectExpr("id", "xxhash64(id, date) as k").collect()}
+    keys = np.array([keys[f"t{i}"] for i in range(len(y))]).view(np.uint64)
+    edges = trees.bin_edges(df, INPUTS, 8)
+    bins = np.column_stack([np.searchsorted(e, x[:, i], "left") for i, e in enumerate(edges)])
+    model = trees.random_forest(df, INPUTS, 5, 4, 3, 42, 8)
+    found = model.predict(x, 4)
+    for tree in range(5):
+        want = plain_forest_tree(bins, y, trees.bagged(keys, tree, 42).astype(float), 4, 3)
+        np.testing.assert_allclose(found[tree], want, rtol=1e-9)
+    assert len({tuple(t.round(9)) for t in found}) == 5
+    again = trees.random_forest(df.repartition(7), INPUTS, 5, 4, 3, 42, 8)
+    np.testing.assert_allclose(again.predict(x, 4), found, rtol=1e-9)
+
+
+def test_samples_are_drawn_with_replacement():
+    keys = np.random.default_rng(1).integers(0, 2**62, 200_000).astype(np.uint64)
+    one, other = (trees.bagged(keys, t, 42) for t in (0, 1))
+    share = np.bincount(one, minlength=4)[:4] / len(keys)
+    np.testing.assert_allclose(share, np.exp(-1) / np.array([1, 1, 2, 6]), atol=0.005)
+    assert abs(np.corrcoef(one, other)[0, 1]) < 0.01 and (one == trees.bagged(keys, 0, 42)).all()
