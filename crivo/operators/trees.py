@@ -455,6 +455,7 @@ class Leaf:
     total: float
     depth: int
     node: int
+    at: np.ndarray | None = None  # the task's rows
     best: tuple[float, int, int] | None = None  # gain, feature, bin
     children: list[Leaf] = field(default_factory=list)
 
@@ -485,26 +486,34 @@ def boost(bins: np.ndarray, y: np.ndarray, keys: np.ndarray, count: int, setting
     """Grows the trees over the rows at hand; yields arrays of its own rows and is sent their sum over all tasks. Returns (base,
     trees), a tree being arrays feature, bin, left, value by node."""
     n, width = bins.shape
-    flat = bins.astype(np.int64) + np.arange(width) * count
+    columns, everything = np.ascontiguousarray(bins.T), np.arange(n)
     whole = yield np.array([n, y.sum()])
     base = whole[1] / whole[0]
     predicted, out = np.full(n, base), []
 
-    def counted(rows: np.ndarray, residual: np.ndarray) -> np.ndarray:
-        at = flat[rows].ravel()
-        return np.stack([
-            np.bincount(at, minlength=width * count), np.bincount(at, np.repeat(residual[rows], width), minlength=width * count)
-        ]).reshape(2, width, count)
+    def counted(at: np.ndarray, residual: np.ndarray, used: np.ndarray | None) -> np.ndarray:
+        at = at if used is None else at[used[at]]
+        held, sums = np.empty((2, width, count)), residual[at]
+        for f in range(width):
+            cell = columns[f][at].astype(np.intp)
+            held[0, f], held[1, f] = np.bincount(cell, minlength=count), np.bincount(cell, sums, count)
+        return held
+
+    def parted(leaf: Leaf) -> None:
+        """Deals a leaf's rows out to its children, in order: later steps touch these rows alone."""
+        if leaf.children[0].at is None:
+            _, f, b = leaf.best
+            below = columns[f][leaf.at] <= b
+            leaf.children[0].at, leaf.children[1].at = leaf.at[below], leaf.at[~below]
 
     for turn in range(setting.rounds):
         residual = y - predicted
-        used = mixed(keys, 2 * (setting.seed * 100_003 + turn)) < setting.rows
+        used = mixed(keys, 2 * (setting.seed * 100_003 + turn)) < setting.rows if setting.rows < 1 else None
         order = np.argsort(mixed(np.arange(width), 2 * (setting.seed * 100_003 + turn) + 1), kind="stable")
         features = np.sort(order[: max(1, int(np.ceil(setting.features * width)))])
-        place = np.zeros(n, np.int64)
         nodes = [[-1, -1, -1, 0.0]]
-        histogram = (yield counted(np.flatnonzero(used), residual).ravel()).reshape(2, width, count)
-        root = Leaf(histogram, histogram[0, 0].sum(), histogram[1, 0].sum(), 0, 0)
+        histogram = (yield counted(everything, residual, used).ravel()).reshape(2, width, count)
+        root = Leaf(histogram, histogram[0, 0].sum(), histogram[1, 0].sum(), 0, 0, everything)
         root.best = best_split(root, features, setting) if root.rows else None
         leaves = [root]
         while len(leaves) < setting.leaves:
@@ -523,10 +532,9 @@ def boost(bins: np.ndarray, y: np.ndarray, keys: np.ndarray, count: int, setting
                     x.children = [Leaf(None, rows, total, x.depth + 1, -1), Leaf(None, x.rows - rows, x.total - total, x.depth + 1, -1)]
                 open_ = [x for x in asked if x.depth + 1 < setting.depth and left > 1]
                 for x in open_:
-                    _, f, b = x.best
-                    below = bins[:, f] <= b
-                    small = below if x.children[0].rows <= x.children[1].rows else ~below
-                    parts.append(counted(np.flatnonzero(used & (place == x.node) & small), residual))
+                    parted(x)
+                    small = x.children[0] if x.children[0].rows <= x.children[1].rows else x.children[1]
+                    parts.append(counted(small.at, residual, used))
                 if open_:
                     told = (yield np.stack(parts).ravel()).reshape(len(open_), 2, width, count)
                     for x, child in zip(open_, told):
@@ -542,13 +550,13 @@ def boost(bins: np.ndarray, y: np.ndarray, keys: np.ndarray, count: int, setting
                 leaf.node = len(nodes)
                 nodes.append([-1, -1, -1, 0.0])
             nodes[chosen.node][:3] = [f, b, chosen.children[0].node]
-            mine = place == chosen.node
-            place[mine] = np.where(bins[mine, f] <= b, chosen.children[0].node, chosen.children[1].node)
+            parted(chosen)
+            chosen.at = None
             leaves.remove(chosen)
             leaves += chosen.children
         for leaf in leaves:
             nodes[leaf.node][3] = setting.rate * leaf.total / leaf.rows if leaf.rows else 0.0
-        predicted += np.array([x[3] for x in nodes])[place]
+            predicted[leaf.at] += nodes[leaf.node][3]
         out.append([np.array(column) for column in zip(*nodes)])
     return base, out
 
@@ -619,7 +627,7 @@ class Exchange:
     def _through_files(self, held: bytes) -> list[bytes]:
         mine, self.turn = self.context.partitionId(), self.turn + 1
         self._leave(self.files, f"{self.folder}/{self.turn}-{mine}", held)
-        parts, began, pause = {mine: held}, time.monotonic(), 0.001
+        parts, began = {mine: held}, time.monotonic()
         while len(parts) < self.tasks:
             missing = [t for t in range(self.tasks) if t not in parts]
             infos = self.files.get_file_info([f"{self.folder}/{self.turn}-{t}" for t in missing])
@@ -628,10 +636,10 @@ class Exchange:
                 with self.files.open_input_stream(f"{self.folder}/{self.turn}-{t}") as source:
                     parts[t] = source.read()
             if not there:
-                if time.monotonic() - began > PATIENCE:
+                waited = time.monotonic() - began
+                if waited > PATIENCE:
                     raise TimeoutError(f"histograms of tasks {missing} did not come")
-                time.sleep(pause)
-                pause = min(2 * pause, 0.05)
+                time.sleep(min(max(0.1 * waited, 0.001), 0.05))  # a tenth more than the others need, at most
         if self.turn > 1:
             self.files.delete_file(f"{self.folder}/{self.turn - 1}-{mine}")
         return [parts[t] for t in range(self.tasks)]

@@ -2,6 +2,7 @@
 
 import datetime
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -298,3 +299,16 @@ def test_samples_are_drawn_with_replacement():
     share = np.bincount(one, minlength=4)[:4] / len(keys)
     np.testing.assert_allclose(share, np.exp(-1) / np.array([1, 1, 2, 6]), atol=0.005)
     assert abs(np.corrcoef(one, other)[0, 1]) < 0.01 and (one == trees.bagged(keys, 0, 42)).all()
+
+
+def test_boosting_holds_lists_of_rows_not_of_cells():
+    """Beside the bins themselves, a task holds some numbers a row, not eight bytes and more for every (row, feature)."""
+    rng = np.random.default_rng(6)
+    n, width = 50_000, 40
+    bins, keys = rng.integers(0, 64, (n, width)).astype(np.uint8), rng.integers(0, 2**62, n).astype(np.uint64)
+    y = bins[:, 0] + rng.normal(size=n)
+    tracemalloc.start()
+    trees.in_step({"a": trees.boost(bins, y, keys, 64, trees.Boosting(1, 0.3, 8, 4, rows=0.9))}, lambda a: a)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * n * width
