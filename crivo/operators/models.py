@@ -1,7 +1,7 @@
 """Return models in shadow mode: trained on past dates, predicting the latest one.
 
-Data stay distributed throughout; the driver sees only counts, medians, moments and fitted models. Randomly split trees
-and boosted trees are those of `trees.py`: `score_xgboost`, `score_lightgbm` and `score_catboost` are three settings of
+Data stay distributed throughout; the driver sees only counts, medians, moments and fitted models. Forests, randomly
+split trees and boosted trees are those of `trees.py`: `score_xgboost`, `score_lightgbm` and `score_catboost` are three settings of
 the same boosting, trained together, so their numbers differ from what three outside libraries would give.
 """
 

@@ -1,4 +1,4 @@
-"""Randomly split trees and boosted trees on Spark, for data that stay in their partitions.
+"""Randomly split trees, random forests and boosted trees on Spark, for data that stay in their partitions.
 
 * **Extra trees.** Every node draws one threshold per feature, evenly between the smallest and the largest value among its
   rows, and keeps the one that lowers the squared error most. All trees grow together: per level one aggregate brings
@@ -6,6 +6,9 @@
   they hold before the shuffle; what comes to the driver is as large as the level of the model. Draws depend on (seed,
   tree, node, feature) alone. A task compares ranks within blocks of its rows, not values, and orders a block by node once
   for each tree, so that a row costs each tree some ten short runs over arrays a level.
+* **Random forests.** Features are binned; per level the tasks add up rows and sums by (tree, node, feature, bin), and the
+  histograms of a node meet in one task, which names its best split. How often a tree's sample has a row depends on the row's
+  key and the tree alone, so no counts are kept.
 * **Boosted trees.** Features are binned once; trees grow leaf by leaf, the best gain first, up to a number of leaves or a
   depth. A histogram holds rows and residual sums by (leaf, feature, bin); only the smaller child of a split is counted,
   its sibling is the parent less the child. Hundreds of rounds of a few steps each would read the rows and replay the trees
